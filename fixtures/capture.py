@@ -198,3 +198,85 @@ def change_frames(spark: SparkSession, sf_dir: str, extras: bool = True) -> Data
         customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
         parts += [orders_boundaries(orders), orders_extras(orders), customer_rows(customer)]
     return reduce(DataFrame.unionByName, parts)
+
+
+def part_relations(part: DataFrame) -> DataFrame:
+    """One relation description per part: a table of two columns named after it."""
+    key = F.col("p_partkey")
+    message = F.concat(
+        blob(b"R"),
+        int_bytes(key + 20000, 4),
+        text_bytes(F.concat(F.lit("cat_"), F.col("p_size").cast("string"))),
+        blob(b"\0"),
+        text_bytes(F.concat(F.lit("t"), key.cast("string"))),
+        blob(b"\0d\0\x02\x01id\0\0\0\0\x14\xff\xff\xff\xff\0"),
+        text_bytes(F.col("p_type")),
+        blob(b"\0\0\0\0\x19"),
+        int_bytes(F.col("p_size"), 4),
+    )
+    return _frames(part, "s4", key + 1, data_frame(key + 1, message))
+
+
+LINEITEM_REL = 16600
+LINEITEM_COLUMNS = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_returnflag",
+    "l_linestatus",
+]
+
+
+def lineitem_rows(lineitem: DataFrame) -> DataFrame:
+    """Session ``s5``: every line as an insert of seven text columns."""
+    spark = lineitem.sparkSession
+    described = relation(LINEITEM_REL, "public", "lineitem", [(n, False, 25, -1) for n in LINEITEM_COLUMNS])
+    first = _frames(_one(spark), "s5", F.lit(1), data_frame(F.lit(1), blob(described)))
+    number = F.col("l_orderkey") * 8 + F.col("l_linenumber") + 16
+    cells = [
+        cell((F.col(n).cast("bigint") if n == "l_quantity" else F.col(n)).cast("string")) for n in LINEITEM_COLUMNS
+    ]
+    message = F.concat(row_head("I", LINEITEM_REL, "N"), image(*cells))
+    return first.unionByName(_frames(lineitem, "s5", number, data_frame(number, message)))
+
+
+def document_rows(documents: DataFrame) -> DataFrame:
+    """Session ``s6``: the whole text of each document, then a byte that is not UTF-8, then ``B``."""
+    key = F.col("doc_id")
+    body = F.concat(text_bytes(F.col("text")), blob(b"\xffB"))
+    sent = F.concat(blob(b"t"), int_bytes(F.octet_length(body), 4), body)
+    message = F.concat(row_head("I", 99, "N"), image(sent))
+    return _frames(documents, "s6", key + 1, data_frame(key + 1, message))
+
+
+def binary_rows(events: DataFrame) -> DataFrame:
+    """Session ``s7``: the properties of each event as a binary cell."""
+    key, body = F.col("event_id"), text_bytes(F.col("props"))
+    sent = F.concat(blob(b"b"), int_bytes(F.octet_length(body), 4), body)
+    message = F.concat(row_head("I", 99, "N"), image(sent))
+    return _frames(events, "s7", key + 1, data_frame(key + 1, message))
+
+
+def broken_frames(orders: DataFrame) -> DataFrame:
+    """A session per order whose third frame cannot be read; the fourth is past the end."""
+    key = F.col("o_orderkey")
+    good = F.concat(row_head("I", 99, "N"), image(cell(key.cast("string"))))
+    bad = (
+        F.when(key % 5 == 0, blob(b""))
+        .when(key % 5 == 1, blob(b"z123"))
+        .when(key % 5 == 2, blob(b"w" + bytes(20)))
+        .when(key % 5 == 3, blob(b"k" + bytes(9)))
+        .otherwise(data_frame(F.lit(3), blob(b"B\0\0\0")))
+    )
+    session = F.concat(F.lit("b"), key.cast("string"))
+    frames = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(n).cast("bigint").alias("frame_no"), payload.alias("payload"))
+                for n, payload in ((1, data_frame(F.lit(1), good)), (3, bad), (4, data_frame(F.lit(4), good)))
+            ]
+        )
+    ).alias("f")
+    return orders.select(session.alias("session_id"), frames).select("session_id", "f.frame_no", "f.payload")

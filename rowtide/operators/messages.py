@@ -25,16 +25,17 @@ CHUNK = 64
 def tuple_bounds(data: str, start: str, size: str) -> str:
     """Positions of the cells of the row image at ``start``, then its end.
 
-    n columns give n + 1 positions. The last one is NULL when the image is
+    n columns give n + 1 positions. The last one is 0 when the image is
     malformed: it ends early or has a cell of unknown kind. Bytes after the
     image are ignored.
     """
     pos = "element_at(cells, -1)"
-    after = f"""CASE WHEN {b.byte(data, pos)} IN ({b.tags('t', 'b')}) AND {pos} + 4 <= {size}
+    after = f"""CASE WHEN {pos} = 0 THEN 0L
+                     WHEN {b.byte(data, pos)} IN ({b.tags('t', 'b')}) AND {pos} + 4 <= {size}
                      THEN {b.uint32(data, f'{pos} + 1')} + {pos} + 5
-                     WHEN {b.byte(data, pos)} IN ({b.tags('n', 'u')}) THEN {pos} + 1L END"""
+                     WHEN {b.byte(data, pos)} IN ({b.tags('n', 'u')}) THEN {pos} + 1L ELSE 0L END"""
     # A length running past the end leaves no position, and the rest none either.
-    within = b.let(after, "after", f"if(after <= {size} + 1, cast(after AS int), NULL)")
+    within = b.let(after, "after", f"if(after <= {size} + 1, cast(after AS int), 0)")
     step = f"(cells, i) -> array_append(cells, {within})"
     begin = f"array(cast({start} + 2 AS int))"
     chunk = f"""aggregate(sequence(1, least(n - c * {CHUNK}, {CHUNK})), array(element_at(seen, -1)), {step},
@@ -42,12 +43,12 @@ def tuple_bounds(data: str, start: str, size: str) -> str:
     walk = f"""CASE WHEN n = 0 THEN {begin}
         WHEN n <= {CHUNK} THEN aggregate(sequence(1, n), {begin}, {step})
         ELSE aggregate(sequence(0, (n - 1) div {CHUNK}), {begin}, (seen, c) -> {chunk}) END"""
-    count = f"if({start} + 1 <= {size}, {b.uint16(data, start)}, NULL)"
-    return b.let(count, "n", f"if(n IS NULL, NULL, {walk})")
+    count = f"if({start} + 1 <= {size}, {b.uint16(data, start)}, -1)"
+    return b.let(count, "n", f"if(n < 0, array(0), {walk})")
 
 
 def image_end(bounds: str) -> str:
-    """Position after the image, NULL when there is none or it is malformed."""
+    """Position after the image, 0 when it is malformed, NULL when there is none."""
     return f"if({bounds} IS NULL, NULL, element_at({bounds}, -1))"
 
 

@@ -102,15 +102,23 @@ def control_records(frames: DataFrame, prior: DataFrame | None = None) -> DataFr
 
     ``prior`` adds the records still in force from earlier micro-batches.
     """
-    few = classified_frames(frames.filter(fr.is_described() | fr.is_fatal())).selectExpr(
-        "*",
-        f"if(kind = 'relation' AND error_class IS NULL, {ms.decode_relation('payload', fr.MESSAGE)}, NULL) AS relation",
-        f"if(kind = 'truncate' AND error_class IS NULL, {ms.decode_truncate('payload', fr.MESSAGE)}, NULL) AS truncate",
+    few = classified_frames(frames.filter(fr.is_described() | fr.is_fatal()))
+    kept = [c for c in few.columns if c not in ("payload", "size", "error_class", "error")]
+    opened = few.selectExpr(
+        *few.columns,
+        b.once(
+            relation=f"""if(kind = 'relation' AND error_class IS NULL,
+                {ms.decode_relation('payload', fr.MESSAGE)}, NULL)""",
+            truncate=f"""if(kind = 'truncate' AND error_class IS NULL,
+                {ms.decode_truncate('payload', fr.MESSAGE)}, NULL)""",
+        ),
     )
     malformed = """error_class IS NULL
         AND ((kind = 'relation' AND relation IS NULL) OR (kind = 'truncate' AND truncate IS NULL))"""
-    found = few.selectExpr(
-        *[c for c in few.columns if c not in ("payload", "size", "error_class", "error")],
+    found = opened.selectExpr(
+        *kept,
+        "relation",
+        "truncate",
         f"if({malformed}, 'record', error_class) AS error_class",
         f"if({malformed}, 'message cut short', error) AS error",
         "false AS carried",
@@ -218,15 +226,19 @@ def decode_rows(resolved: DataFrame) -> DataFrame:
         )
         .selectExpr(
             "*",
-            f"""if(_images IN ('one', 'two'),
-                   {ms.tuple_bounds('payload', str(fr.MESSAGE + 6), 'size')}, NULL) AS _first""",
+            b.once(
+                _first=f"""if(_images IN ('one', 'two'),
+                    {ms.tuple_bounds('payload', str(fr.MESSAGE + 6), 'size')}, NULL)"""
+            ),
         )
         .selectExpr("*", f"{ms.image_end('_first')} AS _after")
         # One byte separates the two images of an update.
         .selectExpr(
             "*",
-            f"""if(_images = 'two' AND _after IS NOT NULL,
-                   {ms.tuple_bounds('payload', '(_after + 1)', 'size')}, NULL) AS _second""",
+            b.once(
+                _second=f"""if(_images = 'two' AND _after > 0,
+                    {ms.tuple_bounds('payload', '(_after + 1)', 'size')}, NULL)"""
+            ),
         )
         .selectExpr(
             *kept,
@@ -235,18 +247,19 @@ def decode_rows(resolved: DataFrame) -> DataFrame:
             "_second",
             f"""CASE WHEN _images = 'none' THEN error
                      WHEN _images = 'unreadable' THEN concat('unexpected update flag 0x', hex({flag}))
-                     WHEN _after IS NULL OR (_images = 'two' AND {ms.image_end('_second')} IS NULL)
-                     THEN 'row image malformed' END AS error""",
+                     WHEN _after = 0 OR {ms.image_end('_second')} = 0 THEN 'row image malformed' END AS error""",
             "error_class AS _class",
         )
         .selectExpr(
             *plain,
             "names",
             "_images",
-            f"if(error IS NULL, {ms.image_values('payload', '_first')}, NULL) AS _first",
-            f"if(error IS NULL, {ms.image_values('payload', '_second')}, NULL) AS _second",
             "coalesce(_class, if(error IS NULL, NULL, 'record')) AS error_class",
             "error",
+            b.once(
+                _first=f"if(error IS NULL, {ms.image_values('payload', '_first')}, NULL)",
+                _second=f"if(error IS NULL, {ms.image_values('payload', '_second')}, NULL)",
+            ),
         )
         .selectExpr(
             *plain,
@@ -258,10 +271,9 @@ def decode_rows(resolved: DataFrame) -> DataFrame:
         )
         .selectExpr(
             *plain,
-            f"{ms.row_image('_old', 'names')} AS old",
-            f"{ms.row_image('_new', 'names')} AS new",
             "error_class",
             "error",
+            b.once(old=ms.row_image("_old", "names"), new=ms.row_image("_new", "names")),
         )
     )
 
