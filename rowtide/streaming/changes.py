@@ -84,10 +84,11 @@ def process_batch(stream: ChangeStream, batch: DataFrame, batch_id: int) -> None
     """Run one micro-batch to the end: outbox or delivery, then positions, then snapshot."""
     spark, consumer = batch.sparkSession, stream.consumer
     configure(spark)
-    batch = batch.persist()
+    control = changes.read_control(batch, _carried(spark, consumer, batch_id))
+    # Decoded once for outbox, dead letters and positions; the micro-batch is
+    # bounded by its trigger and spills to disk when it must.
+    events = changes.decode_changes(batch, control=control).persist()
     try:
-        control = changes.read_control(batch, _carried(spark, consumer, batch_id))
-        events = changes.decode_changes(batch, control=control)
         rows = stream.address(events)
         failures = None
         if stream.deliver is None:
@@ -102,7 +103,7 @@ def process_batch(stream: ChangeStream, batch: DataFrame, batch_id: int) -> None
         ).write.mode("overwrite").parquet(consumer.batch_folder("progress", batch_id))
         _still_in_force(control).write.mode("overwrite").parquet(consumer.batch_folder("control", batch_id))
     finally:
-        batch.unpersist()
+        events.unpersist()
 
 
 def _deliver(stream: ChangeStream, rows: DataFrame, batch_id: int) -> DataFrame:

@@ -40,7 +40,7 @@ SQL_TEXTS = {
     "S1_sql_rank_window": """SELECT o_custkey, o_orderkey,
         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS rn FROM orders""",
     "S1_sql_frame_window": """SELECT l_orderkey, l_linenumber, CAST(sum(CAST(l_quantity AS BIGINT)) OVER (
-        PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS BIGINT) AS q
+        PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS BIGINT) AS q
         FROM lineitem""",
     "S1_sql_union": "SELECT n_name AS name FROM nation UNION SELECT r_name AS name FROM region",
     "S1_sql_intersect": "SELECT o_custkey AS k FROM orders INTERSECT SELECT c_custkey AS k FROM customer",
