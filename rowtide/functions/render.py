@@ -51,7 +51,7 @@ def _positional(scientific: str) -> str:
 
 def float_text(value: str, kind: str = "double") -> Column:
     """Shortest decimal text, never an exponent: ``1.0`` is ``1``, ``1e10`` is ``10000000000``."""
-    digits = [7, 8] if kind == "float" else [15, 16]
+    digits = [7, 8, 9] if kind == "float" else [15, 16, 17]
     special = f"""CASE WHEN isnan({value}) THEN 'NaN'
         WHEN {value} = cast('Infinity' AS {kind}) THEN 'inf'
         WHEN {value} = cast('-Infinity' AS {kind}) THEN '-inf'"""
