@@ -43,7 +43,7 @@ def main() -> None:
     parts = int(cores) * 2
     frames = write_shared(capture.change_frames(spark, folder).repartition(parts), "bench-frames")
     wide = write_shared(capture.lineitem_rows(table(spark, folder, "lineitem")).repartition(parts), "bench-lines")
-    notify = write_shared(messages.notify_messages(spark, folder), "bench-notify")
+    notify = write_shared(messages.notify_messages(spark, folder).repartition(parts), "bench-notify")
     rows = {
         "decode": frames.count(),
         "decode_lineitem": wide.count(),

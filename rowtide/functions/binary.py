@@ -58,18 +58,6 @@ def let(value: str, name: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def once(**columns: str) -> str:
-    """Add columns computed once per row, whatever is filtered on them later.
-
-    A filter on an ordinary computed column is pushed below it by copying the
-    expression, which for nested walks multiplies the work. A generator that
-    gives exactly one row keeps such a filter above it, while filters on other
-    columns still move below.
-    """
-    fields = ", ".join(f"'{name}', {value}" for name, value in columns.items())
-    return f"inline(array(named_struct({fields})))"
-
-
 def tags(*chars: str) -> str:
     """Binary literals, comma separated."""
     return ", ".join(f"X'{ord(c):02X}'" for c in chars)

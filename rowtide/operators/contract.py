@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from rowtide.constants import DEFAULT_SCHEMA_VERSION
-from rowtide.functions.binary import once
+from rowtide.functions.plan import settle
 
 TEXT_FIELDS = [
     "rabbitmq_exchange",
@@ -53,7 +53,7 @@ def parse_contracts(notify: DataFrame) -> DataFrame:
     text), the optional routing texts and the four header maps.
     """
     kept = notify.columns
-    parsed = notify.selectExpr("*", once(_parsed=_WRAPPED))
+    parsed = settle(notify.selectExpr("*", f"{_WRAPPED} AS _parsed"), "_parsed")
     parts = parsed.selectExpr(
         *kept,
         f"if({_IS_WHOLE}, try_variant_get(_parsed, '$[0].meta', 'variant'), {_MISSING}) AS _meta",
@@ -91,7 +91,8 @@ def parse_contracts(notify: DataFrame) -> DataFrame:
         *[_text_or_nothing(f"_{name}") for name in TEXT_FIELDS],
         *map_checks,
     ]
-    checked = mapped.selectExpr("*", once(is_contract=f"coalesce({' AND '.join(checks)}, false)"))
+    checked = mapped.selectExpr("*", f"coalesce({' AND '.join(checks)}, false) AS is_contract")
+    checked = settle(checked, "is_contract")
 
     def texts(name: str) -> str:
         entries = f"transform_values(_{name}, (k, v) -> try_variant_get(v, '$', 'string'))"
@@ -104,6 +105,7 @@ def parse_contracts(notify: DataFrame) -> DataFrame:
         *[f"'{name}', {_text('_' + name)}" for name in TEXT_FIELDS],
         *[f"'{name}', {texts(name)}" for name in MAP_FIELDS],
     ]
-    return checked.selectExpr(
-        *kept, "is_contract", once(contract=f"if(is_contract, named_struct({', '.join(items)}), NULL)")
+    opened = checked.selectExpr(
+        *kept, "is_contract", f"if(is_contract, named_struct({', '.join(items)}), NULL) AS contract"
     )
+    return settle(opened, "contract")

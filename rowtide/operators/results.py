@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.constants import DISPLAY_LIMIT
-from rowtide.functions.render import cell_text
+from rowtide.functions.render import cell_text, with_number_texts
 from rowtide.operators.filters import limit_rows
 
 
 def render(df: DataFrame, limit: int = 0) -> DataFrame:
     """Every cell as text, in one projection over the first ``limit`` rows (0 = all)."""
-    return limit_rows(df, limit).select(*[cell_text(field) for field in df.schema.fields])
+    return with_number_texts(limit_rows(df, limit)).select(*[cell_text(field) for field in df.schema.fields])
 
 
 def json_records(rendered: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from rowtide.constants import DML
 from rowtide.functions import binary as b
+from rowtide.functions.plan import settle
 from rowtide.operators import frames as fr
 from rowtide.operators import messages as ms
 from rowtide.operators import relations as rel
@@ -104,14 +105,16 @@ def control_records(frames: DataFrame, prior: DataFrame | None = None) -> DataFr
     """
     few = classified_frames(frames.filter(fr.is_described() | fr.is_fatal()))
     kept = [c for c in few.columns if c not in ("payload", "size", "error_class", "error")]
-    opened = few.selectExpr(
-        *few.columns,
-        b.once(
-            relation=f"""if(kind = 'relation' AND error_class IS NULL,
-                {ms.decode_relation('payload', fr.MESSAGE)}, NULL)""",
-            truncate=f"""if(kind = 'truncate' AND error_class IS NULL,
-                {ms.decode_truncate('payload', fr.MESSAGE)}, NULL)""",
+    opened = settle(
+        few.selectExpr(
+            *few.columns,
+            f"""if(kind = 'relation' AND error_class IS NULL,
+                {ms.decode_relation('payload', fr.MESSAGE)}, NULL) AS relation""",
+            f"""if(kind = 'truncate' AND error_class IS NULL,
+                {ms.decode_truncate('payload', fr.MESSAGE)}, NULL) AS truncate""",
         ),
+        "relation",
+        "truncate",
     )
     malformed = """error_class IS NULL
         AND ((kind = 'relation' AND relation IS NULL) OR (kind = 'truncate' AND truncate IS NULL))"""
@@ -209,13 +212,16 @@ def resolve_rows(classified: DataFrame, control: Control, limit: int, width: int
     ).withColumn("table", F.when(is_row, rel.table_or_unknown(F.col("table"))))
 
 
-def decode_rows(resolved: DataFrame) -> DataFrame:
-    """Add ``old`` and ``new`` images and mark malformed rows."""
+def decode_rows(resolved: DataFrame, images: bool = True) -> DataFrame:
+    """Add ``old`` and ``new`` images and mark malformed rows.
+
+    Without ``images`` rows are only checked; both images are then NULL.
+    """
     kept = [c for c in resolved.columns if c not in ("error", "error_class")]
     plain = [c for c in kept if c not in ("payload", "size", "names")]
     dml = ", ".join(f"'{op}'" for op in DML)
     flag = b.byte("payload", fr.MESSAGE + 5)
-    return (
+    walked = (
         # What a row message holds: its first image, for an update possibly a
         # second one, or nothing readable.
         resolved.selectExpr(
@@ -226,20 +232,19 @@ def decode_rows(resolved: DataFrame) -> DataFrame:
         )
         .selectExpr(
             "*",
-            b.once(
-                _first=f"""if(_images IN ('one', 'two'),
-                    {ms.tuple_bounds('payload', str(fr.MESSAGE + 6), 'size')}, NULL)"""
-            ),
+            f"""if(_images IN ('one', 'two'),
+                {ms.tuple_bounds('payload', str(fr.MESSAGE + 6), 'size')}, NULL) AS _first""",
         )
         .selectExpr("*", f"{ms.image_end('_first')} AS _after")
         # One byte separates the two images of an update.
         .selectExpr(
             "*",
-            b.once(
-                _second=f"""if(_images = 'two' AND _after > 0,
-                    {ms.tuple_bounds('payload', '(_after + 1)', 'size')}, NULL)"""
-            ),
+            f"""if(_images = 'two' AND _after > 0,
+                {ms.tuple_bounds('payload', '(_after + 1)', 'size')}, NULL) AS _second""",
         )
+    )
+    checked = (
+        settle(walked, "_first", "_after", "_second")
         .selectExpr(
             *kept,
             "_images",
@@ -250,16 +255,19 @@ def decode_rows(resolved: DataFrame) -> DataFrame:
                      WHEN _after = 0 OR {ms.image_end('_second')} = 0 THEN 'row image malformed' END AS error""",
             "error_class AS _class",
         )
-        .selectExpr(
+        .withColumn("error_class", F.expr("coalesce(_class, if(error IS NULL, NULL, 'record'))"))
+    )
+    if not images:
+        return checked.select(*plain, "error_class", "error")
+    valued = (
+        checked.selectExpr(
             *plain,
             "names",
             "_images",
-            "coalesce(_class, if(error IS NULL, NULL, 'record')) AS error_class",
+            "error_class",
             "error",
-            b.once(
-                _first=f"if(error IS NULL, {ms.image_values('payload', '_first')}, NULL)",
-                _second=f"if(error IS NULL, {ms.image_values('payload', '_second')}, NULL)",
-            ),
+            f"if(error IS NULL, {ms.image_values('payload', '_first')}, NULL) AS _first",
+            f"if(error IS NULL, {ms.image_values('payload', '_second')}, NULL) AS _second",
         )
         .selectExpr(
             *plain,
@@ -273,9 +281,11 @@ def decode_rows(resolved: DataFrame) -> DataFrame:
             *plain,
             "error_class",
             "error",
-            b.once(old=ms.row_image("_old", "names"), new=ms.row_image("_new", "names")),
+            f"{ms.row_image('_old', 'names')} AS old",
+            f"{ms.row_image('_new', 'names')} AS new",
         )
     )
+    return settle(valued, "old", "new")
 
 
 def _with_all_columns(events: DataFrame) -> DataFrame:
@@ -348,13 +358,15 @@ def decode_changes(
     prior: DataFrame | None = None,
     control: Control | None = None,
     where: Column | None = None,
+    images: bool = True,
     broadcast_limit: int = rel.BROADCAST_LIMIT_BYTES,
     range_width: int = rel.RANGE_WIDTH,
 ) -> DataFrame:
     """Every frame as one event row (``EVENT_COLUMNS``).
 
     ``where`` may use ``kind``, ``rel_id``, ``schema`` and ``table``; rows that
-    fail it are dropped before their images are decoded.
+    fail it are dropped before their images are decoded. ``images=False`` checks
+    rows without building their images, enough for positions and dead letters.
     """
     configure(frames.sparkSession)
     control = control or read_control(frames, prior)
@@ -362,7 +374,7 @@ def decode_changes(
     rows = resolve_rows(rows, control, broadcast_limit, range_width)
     if where is not None:
         rows = rows.filter(where)
-    events = _with_all_columns(decode_rows(rows))
+    events = _with_all_columns(decode_rows(rows, images))
     rare = relation_events(control)
     if control.truncates:
         rare = rare.unionByName(truncate_events(control, broadcast_limit, range_width))

@@ -286,7 +286,7 @@ def skipped_messages(spark, sf_dir):
              FROM log WHERE error_class = 'record'"""),
 )
 def malformed_records(spark, sf_dir):
-    letters = changes.dead_letters(events(spark, sf_dir))
+    letters = changes.dead_letters(events(spark, sf_dir, images=False))
     return letters.withColumn("wal_end", F.col("wal_end").cast(BIGINT))
 
 

@@ -39,7 +39,7 @@ def _run(source, stream):
     over_log("SELECT session_id, max(position) AS position FROM log WHERE error_class IS NULL GROUP BY session_id"),
 )
 def confirmed_position(spark, sf_dir):
-    reached = progress.confirmed_positions(events(spark, sf_dir))
+    reached = progress.confirmed_positions(events(spark, sf_dir, images=False))
     return reached.withColumn("position", F.col("position").cast("bigint"))
 
 
