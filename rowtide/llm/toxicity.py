@@ -243,11 +243,14 @@ def _count_features(model, wanted, batches: Iterator[pa.RecordBatch]) -> Iterato
     yield flush()
 
 
-def _totals(evidence: Evidence, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Evidence totals, rounded to tenths, by label."""
+def _totals(model, weights: dict[int, dict[str, float]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Evidence totals, rounded to tenths, by label; ``weights`` by label, too."""
     counts: Counter = Counter()
-    for found, toxic in _document_features(evidence.model, batches, frozenset(evidence.weights)):
-        counts[round(10 * evidence.total(found)), toxic] += 1
+    by_label = {label: Evidence(model, w, 1.0, 0.0) for label, w in weights.items()}
+    wanted = frozenset().union(*weights.values())
+    for found, toxic in _document_features(model, batches, wanted):
+        known = by_label[toxic].weights
+        counts[round(10 * by_label[toxic].total({f for f in found if f in known})), toxic] += 1
     keys = list(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array([k for k, _ in keys], pa.int64()), pa.array([t for _, t in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())],
@@ -319,22 +322,30 @@ def learn(
     frequent = {r["feature"]: r["n"] for r in count(1, None).where(F.col("n") >= LEAST_DOCUMENTS).collect()}
     others = {r["feature"]: r["n"] for r in count(0, frozenset(frequent)).collect()}
     rate, bound = toxic / (toxic + clean), math.log(max(len(frequent), 1) / ALPHA)
-    weights = {}
-    for feature, a in frequent.items():
-        b = others.get(feature, 0)
+
+    def weigh(a: int, b: int) -> float | None:
+        if a < 1:
+            return None
         share = a / (a + b)
         surprise = a * math.log(share / rate) + (b * math.log((1 - share) / (1 - rate)) if b else 0.0)
-        if share > max(rate, 0.5) and surprise > bound:
-            weights[feature] = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
-    plain = Evidence(model, weights, 1.0, 0.0)
+        if share <= max(rate, 0.5) or surprise <= bound:
+            return None
+        return math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
+
+    def weights_without(a_less: int, b_less: int) -> dict[str, float]:
+        found = {f: weigh(a - a_less, max(others.get(f, 0) - b_less, 0)) for f, a in frequent.items()}
+        return {f: w for f, w in found.items() if w is not None}
+
+    # The logistic is fitted on totals that leave each text's own counts out.
+    left_out = {0: weights_without(0, 1), 1: weights_without(1, 0)}
     totals = (
-        train.mapInArrow(functools.partial(_totals, plain), "total long, toxic int, n long")
+        train.mapInArrow(functools.partial(_totals, model, left_out), "total long, toxic int, n long")
         .groupBy("total", "toxic")
         .agg(F.sum("n").alias("n"))
         .collect()
     )
     slope, bias = _logistic([(r["total"] / 10, r["toxic"], r["n"]) for r in totals])
-    return Evidence(model, weights, max(slope, 0.05), bias)
+    return Evidence(model, weights_without(0, 0), max(slope, 0.05), bias)
 
 
 def score_documents(docs: DataFrame, evidence: Evidence, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
