@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,10 @@ from rowtide.llm.common import stored, text_or_empty
 # Labelled rows that the score is fitted on, at most: those of the smallest hash of the id.
 TRAIN_ROWS = 30_000
 LEAST_DOCUMENTS = 5
+# Copies of a text repeat a word's neighbours as well: evidence stands between different ones this often.
+LEAST_VARIETY = 0.4
+# A beginning that one word accounts for to this share says no more than the word.
+EXPLAINED = 0.9
 # Chance that some feature without meaning is taken for evidence.
 ALPHA = 0.01
 THRESHOLD = 0.7
@@ -243,6 +248,23 @@ def _count_features(model, wanted, batches: Iterator[pa.RecordBatch]) -> Iterato
     yield flush()
 
 
+def _contexts(model, wanted: frozenset[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Wanted features with a hash of the chunks before and after them, distinct within a batch."""
+    memo = Memo(lambda c: tuple(f for f in features_of(c, model) if f in wanted), REMEMBERED // 4)
+    for batch in batches:
+        seen = set()
+        for text in batch.column("text"):
+            chunks = ["", *text.as_py().split(), ""]
+            for k, features in enumerate(map(memo.__getitem__, chunks)):
+                if features:
+                    around = xxhash.xxh3_64_intdigest(f"{chunks[k - 1]} {chunks[k + 1]}") >> 1
+                    seen.update((f, around) for f in features)
+        rows = list(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f for f, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.int64())], ["feature", "around"]
+        )
+
+
 def _totals(model, weights: dict[int, dict[str, float]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Evidence totals, rounded to tenths, by label; ``weights`` by label, too."""
     counts: Counter = Counter()
@@ -268,8 +290,8 @@ def _logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     design = np.stack([x, np.ones_like(x)])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(w @ design, -30, 30)))
-        gradient = design @ (n * (y - p)) - np.array([w[0] - 1.0, 0.0])
-        hessian = (design * (n * p * (1 - p))) @ design.T + np.diag([1.0, 1e-3])
+        gradient = design @ (n * (y - p)) - 0.02 * np.array([w[0] - 1.0, 0.0])
+        hessian = (design * (n * p * (1 - p))) @ design.T + np.diag([0.02, 1e-3])
         w = w + np.clip(np.linalg.solve(hessian, gradient), -2, 2)
     return float(w[0]), float(w[1])
 
@@ -286,7 +308,7 @@ def learn(
 
     At most ``train_rows`` labelled rows are used (those of the smallest hash of the id); equal texts count
     once. A feature is evidence if it is in five toxic texts or more, toxic in most, and more often
-    so than chance allows over all features looked at. Null labels and ids are not learned from; without
+    so than chance allows over all features looked at, between varied neighbours. Null labels and ids are not learned from; without
     toxic or other rows the score is one constant.
     """
     model = character_model(docs, text_col)
@@ -332,6 +354,23 @@ def learn(
             return None
         return math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
 
+    evident = frozenset(f for f, a in frequent.items() if weigh(a, others.get(f, 0)) is not None)
+    varied = (
+        train.where("toxic = 1")
+        .mapInArrow(functools.partial(_contexts, model, evident), "feature string, around long")
+        .distinct()
+        .groupBy("feature")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    kept = {r["feature"] for r in varied if r["n"] >= LEAST_VARIETY * frequent[r["feature"]]}
+    for word in [f for f in kept if not f.endswith("-")]:
+        for n in BEGINNINGS:
+            start = f"{word[:n]}-"
+            if len(word) > n and start in kept and frequent[word] >= EXPLAINED * frequent[start]:
+                kept.discard(start)
+    frequent = {f: a for f, a in frequent.items() if f in kept}
+
     def weights_without(a_less: int, b_less: int) -> dict[str, float]:
         found = {f: weigh(a - a_less, max(others.get(f, 0) - b_less, 0)) for f, a in frequent.items()}
         return {f: w for f, w in found.items() if w is not None}
