@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import heapq
 import json
@@ -154,6 +155,7 @@ class WordBpe:
 @functools.lru_cache(maxsize=4)
 def load(path: str) -> WordBpe:
     """One per Python worker."""
+    gc.set_threshold(500_000)  # what is remembered holds no cycles
     return WordBpe(path)
 
 

@@ -24,7 +24,7 @@ from rowtide.llm.token_counts import Remembered, load, values_of
 
 CAPACITY = 4096
 END_ID = 1
-REMEMBERED = 1_000_000
+REMEMBERED = 1_600_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 

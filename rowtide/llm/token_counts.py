@@ -7,6 +7,7 @@ about equal bytes, and counts of pieces that come again are remembered up to a b
 from __future__ import annotations
 
 import functools
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -21,7 +22,7 @@ from rowtide.llm.common import text_or_empty
 BATCH_BYTES = 1 << 18
 BLOCK_CHARS = 1 << 20
 LONG_CHARS = 1 << 16
-REMEMBERED = 800_000
+REMEMBERED = 1_600_000
 
 
 def words_drop_space(spec: str) -> bool:
@@ -34,12 +35,14 @@ class Library:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already fill the cores
+        # What is remembered holds no cycles; the default would walk through it again and again.
+        gc.set_threshold(500_000)
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda batch: model.encode(batch, num_threads=1)
-            self.by_word = False
+            self.by_word = self.lower = False
         else:
             from tokenizers import Tokenizer
 
@@ -48,12 +51,15 @@ class Library:
             model.no_padding()
             self.encode = lambda batch: [e.ids for e in model.encode_batch_fast(batch, add_special_tokens=False)]
             with open(path, encoding="utf-8") as file:
-                self.by_word = words_drop_space(file.read())
+                spec = file.read()
+            self.by_word, self.lower = words_drop_space(spec), '"Lowercase"' in spec
         # Otherwise a token starts anew at the last space between two lower-case letters.
         self.long_cut = regex.compile(r"(?<=\p{Ll})(?= \p{Ll})")
 
     def cut(self, text: str) -> list[str]:
         if self.by_word:
+            if self.lower and text.isascii() and "<" not in text:  # no special string that case could make
+                text = text.lower()
             return pieces(text)
         if len(text) <= LONG_CHARS or not self.long_cut.search(text):
             return [text]
