@@ -3,9 +3,10 @@
 A signature is read in several orders ("trees"). Documents whose signatures agree on the first
 ``DEPTH`` places of an order share a region. Regions first link their members to the region's
 smallest id; only regions that still hold more than one component go on: small ones compare
-their members across components, crowded ones are cut by a longer common prefix (the depth adapts
-to the region). What a crowded region may have lost by that is found by an exact index of rare
-shingles, so no link depends on how crowded a region is.
+their members across components, in crowded ones members are compared with their neighbours in
+sorted order, which share the longest prefixes (so the depth adapts to the region). What a crowded
+region may have lost by that is found by an exact index of rare shingles, so no link depends
+on how crowded a region is.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ SHINGLE = 5
 PERCENT = 75
 HASHES = 128
 TREES = 32
-DEPTHS = (4, 8, 12)
-# Members of a region that are compared with each other; beyond it the region is cut deeper.
+DEPTH = 4
+# Places of a signature that sort the members of a crowded region.
+SORTED_BY = 24
+# Members of a region that are compared with each other; beyond it only neighbours are.
 REGION = 48
 # Pairs of J >= 0.75 agree on 96 of 128 places on average, standard deviation 5; below 66 they are left out.
 LEAST_AGREED = 66
@@ -96,25 +99,39 @@ def _matrix(column: pa.Array, dtype: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), -1)
 
 
-def _regions(depth: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, v, tree) of each tree's prefix; of the trees listed in the batch, if there is such a column."""
+def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, v, tree) of each document's region in each tree."""
     for batch in batches:
-        if not len(batch):
-            continue
         places = _matrix(batch.column("signature"), "<u4").astype(np.uint64)
-        ids = batch.column("v").to_numpy(zero_copy_only=False)
-        only = batch.column("tree").to_numpy(zero_copy_only=False) if "tree" in batch.schema.names else None
-        for tree in range(TREES):
-            rows = slice(None) if only is None else np.flatnonzero(only == tree)
-            mine = places[rows][:, _ORDERS[tree][:depth]]
-            if not len(mine):
-                continue
-            key = np.full(len(mine), tree, np.uint64)
-            for column in mine.T:
-                key = _mix(key * _MIX + column)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(ids[rows]), pa.array(np.full(len(mine), tree, np.int32))], ["key", "v", "tree"]
-            )
+        for tree in range(TREES if len(batch) else 0):
+            key = np.full(len(places), tree, np.uint64)
+            for place in _ORDERS[tree][:DEPTH]:
+                key = _mix(key * _MIX + places[:, place])
+            trees = pa.array(np.full(len(places), tree, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("v"), trees], ["key", "v", "tree"])
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds each row's signature in the order of its tree, as bytes that sort."""
+    for batch in batches:
+        if len(batch):
+            places, trees = _matrix(batch.column("signature"), "<u4"), batch.column("tree").to_numpy(zero_copy_only=False)
+            ordered = np.take_along_axis(places, _ORDERS[trees][:, :SORTED_BY], axis=1).astype(">u4")
+            yield batch.select(["key", "v", "root"]).append_column("sorted", pa.array([r.tobytes() for r in ordered], pa.binary()))
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows that follow each other in a region, of different components."""
+    before = None
+    for batch in batches:
+        pairs = []
+        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "v", "root"))):
+            if before is not None and before[0] == row[0] and before[2] != row[2]:
+                pairs.append((min(before[1], row[1]), max(before[1], row[1])))
+            before = row
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["a", "b"]
+        )
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,31 +241,47 @@ class _Forest:
         new = merged.join(self.roots, "v", "left_anti")
         self.roots = stored(old.unionByName(new), "roots")
 
-    def level(self, members: DataFrame, depth: int) -> DataFrame:
-        """Work off the regions of one depth; (tree, v) of those that are crowded and still mixed."""
-        rows = stored(members.mapInArrow(functools.partial(_regions, depth), "key long, v long, tree int"), f"tree-{depth}")
+    def search(self) -> DataFrame:
+        """Work off the regions of all trees; ids of those whose regions stay crowded and mixed."""
+        rows = stored(self.classes.select("v", "signature").mapInArrow(_regions, "key long, v long, tree int"), "trees")
         regions = stored(
             rows.groupBy("key").agg(F.min("v").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1"),
-            f"regions-{depth}",
+            "regions",
         )
         # Most documents are alone in most regions: the bitmap spares them the exchange.
         some = perhaps_in(rows, "key", stored(bitmap_of(regions, "key"), "occupied"), "some").where("some").drop("some")
-        held = stored(some.join(regions, "key"), f"members-{depth}")
-        stars = held.where("v != leader").select(F.col("leader").alias("a"), F.col("v").alias("b")).distinct()
-        self.confirm(stars)
-        rooted = self.root_of(held, "v", "root")
-        mixed = (
+        held = stored(some.join(regions, "key"), "members")
+        self.confirm(held.where("v != leader").select(F.col("leader").alias("a"), F.col("v").alias("b")).distinct())
+
+        rooted = self.mixed(held)
+        small = rooted.where(F.col("size") <= REGION).select("key", "v", "root")
+        across = small.join(small.toDF("key", "w", "other"), "key").where("v < w and root != other")
+        self.confirm(across.select(F.col("v").alias("a"), F.col("w").alias("b")).distinct())
+
+        crowded = held.where(F.col("size") > REGION)
+        for _ in range(2):
+            crowded = self.mixed(crowded)
+            if crowded.isEmpty():
+                break
+            ordered = (
+                crowded.join(self.classes.select("v", "signature"), "v")
+                .mapInArrow(_in_order, "key long, v long, root long, sorted binary")
+                .repartitionByRange("key", "sorted", "v")
+                .sortWithinPartitions("key", "sorted", "v")
+            )
+            self.confirm(ordered.mapInArrow(_neighbours, "a long, b long").distinct())
+        return self.mixed(crowded).select("v").distinct()
+
+    def mixed(self, members: DataFrame) -> DataFrame:
+        """Members, with their roots, of the regions that hold more than one component."""
+        rooted = self.root_of(members.select("key", "v", "tree", "size"), "v", "root")
+        keys = (
             rooted.groupBy("key")
             .agg(F.min("root").alias("low"), F.max("root").alias("high"))
             .where("low != high")
             .select("key")
         )
-        rooted = stored(rooted.join(mixed, "key"), f"mixed-{depth}")
-        small = rooted.where(F.col("size") <= REGION).select("key", "v", "root")
-        other = small.toDF("key", "w", "other")
-        across = small.join(other, "key").where("v < w and root != other")
-        self.confirm(across.select(F.col("v").alias("a"), F.col("w").alias("b")).distinct())
-        return rooted.where(F.col("size") > REGION).select("tree", "v").distinct()
+        return stored(rooted.join(keys, "key"), "mixed")
 
     def rare_shingles(self, crowded: DataFrame) -> None:
         """All links among crowded documents: similar sets share one of their rarest shingles.
@@ -266,16 +299,28 @@ class _Forest:
         alone = all_rows.groupBy("v").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("all"))
         shared = counted.groupBy("v").agg(F.count(F.lit(1)).alias("shared"))
         budget = alone.join(shared, "v").select(
-            "v", "n", (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("all") - F.col("shared"))).alias("left")
+            "v",
+            "n",
+            (F.col("all") - F.col("shared")).alias("own"),
+            (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("all") - F.col("shared"))).alias("left"),
         ).where("left > 0")
         # Shingles of one document come first and link nothing; what is left of the budget goes by rank.
         ordered = counted.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
-        first = ordered.join(budget, "v").select("v", "n", F.explode(F.slice("s", 1, F.col("left").cast("int"))).alias("s"))
-        postings = stored(self.root_of(first.select("v", "n", "s.shingle"), "v", "root"), "rare")
+        first = ordered.join(budget, "v").select(
+            "v", "n", "own", F.posexplode(F.slice("s", 1, F.col("left").cast("int"))).alias("at", "s")
+        )
+        # What a document still holds from a shingle on, in the common order, bounds what it can share.
+        rest = (F.col("n") - F.col("own") - F.col("at")).alias("rest")
+        postings = stored(self.root_of(first.select("v", "n", rest, "s.shingle"), "v", "root"), "rare")
         mixed = postings.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
         left = postings.join(mixed.select("shingle"), "shingle")
-        right = left.select("shingle", F.col("v").alias("w"), F.col("n").alias("m"), F.col("root").alias("other"))
-        near = f"v < w and root != other and 100 * least(n, m) >= {PERCENT} * greatest(n, m)"
+        right = left.select(
+            "shingle", F.col("v").alias("w"), F.col("n").alias("m"), F.col("rest").alias("rest_w"), F.col("root").alias("other")
+        )
+        near = (
+            f"v < w and root != other and 100 * least(n, m) >= {PERCENT} * greatest(n, m)"
+            f" and {100 + PERCENT} * least(rest, rest_w) >= {PERCENT} * (n + m)"
+        )
         self.confirm(left.join(right, "shingle").where(near).select(F.col("v").alias("a"), F.col("w").alias("b")).distinct())
 
 
@@ -301,13 +346,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     brief = F.unhex(F.regexp_replace(F.hex("signature"), "(..)......", "$1")).alias("brief")
     forest = _Forest(texts, classes.select("v", "signature", brief))
 
-    members, crowded = classes.select("v", "signature"), None
-    for depth in DEPTHS:
-        rest = stored(forest.level(members, depth), f"crowded-{depth}")
-        crowded = rest if crowded is None else crowded
-        if rest.isEmpty():
-            break
-        members = rest.join(classes.select("v", "signature"), "v")
+    crowded = forest.search()
     if not crowded.isEmpty():
         forest.rare_shingles(crowded)
 
