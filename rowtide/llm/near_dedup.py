@@ -221,7 +221,7 @@ class _Forest:
             return
         self.tried = likely if self.tried is None else self.tried.union(likely)
         wanted = stored(bitmap_of(likely.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v"), "wanted")
-        sets = self.sets(wanted)
+        sets = stored(self.sets(wanted), "sets")
         links = (
             likely.join(sets.toDF("b", "set_b"), "b")
             .join(sets.toDF("a", "set_a"), "a")
