@@ -6,6 +6,8 @@ every value, the text form ``HI/LO`` is for display only.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from rowtide.constants import SERVER_EPOCH_MICROS
 from rowtide.functions.binary import U64, hex_of
 
 # Hex digits with an optional plus sign, as an unsigned number is written.
-_HALF = r"^\+?0*([0-9A-Fa-f]{1,16})$"
+_HALF = r"^\+?0*([0-9A-Fa-f]{1,16})\z"
 
 
 def lsn_text(position: Column) -> Column:
@@ -60,9 +62,11 @@ def parse_lsn(text: Column, strict: bool = True) -> Column:
 def parse_position(text: str) -> int:
     """Check and convert one log position given as an argument."""
     high, slash, low = text.partition("/")
-    if not slash:
-        raise ValueError(f"invalid log position {text!r}: no slash")
-    return ((int(high, 16) & 0xFFFFFFFF) << 32) | int(low, 16)
+    halves = [re.fullmatch(_HALF.removesuffix(r"\z"), half) for half in (high, low)]
+    if not slash or not all(halves):
+        raise ValueError(f"invalid log position {text!r}")
+    upper, lower = (int(half[1], 16) for half in halves)
+    return ((upper & 0xFFFFFFFF) << 32) | lower
 
 
 def is_zero(position: Column) -> Column:

@@ -28,8 +28,8 @@ OUTBOX_COLUMNS = [
 _TEXT_MAP = "map<string,string>"
 
 # Characters allowed in the name and the value of a web header.
-_HEADER_NAME = r"^[A-Za-z0-9!#$%&'*+\-.^_`|~]+$"
-_HEADER_VALUE = r"^[\t\x20-\x7E]*$"
+_HEADER_NAME = r"^[A-Za-z0-9!#$%&'*+\-.^_`|~]+\z"
+_HEADER_VALUE = r"^[\t\x20-\x7E]*\z"
 
 
 def text_map(values: Mapping[str, str] | None) -> Column:

@@ -5,23 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.constants import DISPLAY_LIMIT
 from rowtide.functions.render import cell_text, with_number_texts
 from rowtide.operators.filters import limit_rows
 
 
 def render(df: DataFrame, limit: int = 0) -> DataFrame:
-    """Every cell as text, in one projection over the first ``limit`` rows (0 = all)."""
-    return with_number_texts(limit_rows(df, limit)).select(*[cell_text(field) for field in df.schema.fields])
+    """Every cell as text, in one projection over the first ``limit`` rows (0 = all).
+
+    Columns are taken by position, so names may repeat or hold any character.
+    """
+    placed = limit_rows(df, limit).toDF(*[f"_{i}" for i in range(len(df.columns))])
+    cells = [cell_text(field) for field in placed.schema.fields]
+    return with_number_texts(placed).select(*[cell.alias(name) for cell, name in zip(cells, df.columns)])
 
 
 def json_records(rendered: DataFrame) -> DataFrame:
-    """One JSON object per row, keys sorted, every value a string."""
-    names = sorted(rendered.columns)
-    return rendered.select(F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])).alias("record"))
+    """One JSON object per row, keys sorted, every value a string; of equal names the last column counts."""
+    last = {name: f"_{i}" for i, name in enumerate(rendered.columns)}
+    placed = rendered.toDF(*[f"_{i}" for i in range(len(rendered.columns))])
+    return placed.select(F.to_json(F.struct(*[F.col(last[n]).alias(n) for n in sorted(last)])).alias("record"))
 
 
-def display(df: DataFrame, limit: int = DISPLAY_LIMIT) -> DataFrame:
+def display(df: DataFrame, limit: int = 0) -> DataFrame:
+    """Text cells of the first ``limit`` rows; all rows unless asked otherwise."""
     return render(df, limit)
 
 

@@ -18,8 +18,10 @@ ROW_MASK = (1 << 33) - 1  # row part of a monotonically increasing id
 
 
 def number_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
-    """Add a 0-based row number in result order."""
-    placed = write_shared(df.withColumn(PLACE, F.monotonically_increasing_id()), "rows")
+    """Add a 0-based row number in result order; ``df``'s own columns are carried along untouched."""
+    own = [f"_{i}" for i in range(len(df.columns))]
+    row = F.struct(*own).alias("row")
+    placed = write_shared(df.toDF(*own).select(row, F.monotonically_increasing_id().alias(PLACE)), "rows")
     part = F.shiftright(F.col(PLACE), 33)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per partition of the result: bounded by the number of tasks.
@@ -29,15 +31,26 @@ def number_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + inside)
-        .drop("_part", "_offset", PLACE)
+        .select(*[F.col("row")[o].alias(c_) for o, c_ in zip(own, df.columns)], (F.col("_offset") + inside).alias(name))
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, underscored until no column of ``df`` has it."""
+    taken = {c_.lower() for c_ in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def split_sheets(rendered: DataFrame, rows_per_sheet: int = c.SHEET_DATA_ROWS) -> DataFrame:
-    """Add ``row_no`` and the 1-based ``sheet`` each row falls into."""
-    numbered = number_rows(rendered)
-    return numbered.withColumn("sheet", (F.floor(F.col("row_no") / rows_per_sheet) + 1).cast("int"))
+    """Add ``row_no`` and the 1-based ``sheet`` each row falls into, as the last two columns.
+
+    Where the result has columns of these names, the added ones take an underscore in front.
+    """
+    row_no, sheet = free_name(rendered, "row_no"), free_name(rendered, "sheet")
+    numbered = number_rows(rendered, row_no)
+    return numbered.withColumn(sheet, (F.floor(F.col(row_no) / rows_per_sheet) + 1).cast("int"))
 
 
 def safe_sheet_name(name: Column, limit: int = c.SHEET_NAME_BYTES) -> Column:
@@ -61,7 +74,7 @@ def sheet_name(base: Column, sheet: Column) -> Column:
 
 
 # A number as the sheet writer reads one: no blanks, no type suffix.
-_NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))$"
+_NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\z"
 
 
 def cell_kind(cell: Column) -> Column:
@@ -75,22 +88,26 @@ def cell_kind(cell: Column) -> Column:
 
 
 def column_widths(sheets: DataFrame) -> DataFrame:
-    """``(sheet, column, width)``: longest of header and cells, clamped and padded."""
-    cells = [n for n in sheets.columns if n not in ("sheet", "row_no")]
-    longest = sheets.groupBy("sheet").agg(*[F.max(F.char_length(F.col(f"`{n}`"))).alias(n) for n in cells])
+    """``(sheet, column, width)`` of ``split_sheets``: longest of header and cells, clamped and padded."""
+    names = sheets.columns
+    added = [n.lstrip("_") for n in names[-2:]] == ["row_no", "sheet"]
+    sheet = len(names) - 1 if added else names.index("sheet")
+    own = [i for i, n in enumerate(names) if i != sheet and (i != len(names) - 2 if added else n != "row_no")]
+    placed = sheets.toDF(*["sheet" if i == sheet else f"_{i}" for i in range(len(names))])
+    longest = placed.groupBy("sheet").agg(*[F.max(F.char_length(f"_{i}")).alias(f"_{i}") for i in own])
     widths = F.explode(
         F.array(
             *[
                 F.struct(
-                    F.lit(n).alias("column"),
+                    F.lit(names[i]).alias("column"),
                     (
                         F.least(
-                            F.greatest(F.col(f"`{n}`"), F.lit(len(n)), F.lit(c.WIDTH_MIN)), F.lit(c.WIDTH_MAX)
+                            F.greatest(F.col(f"_{i}"), F.lit(len(names[i])), F.lit(c.WIDTH_MIN)), F.lit(c.WIDTH_MAX)
                         )
                         + c.WIDTH_PAD
                     ).alias("width"),
                 )
-                for n in cells
+                for i in own
             ]
         )
     ).alias("w")
@@ -103,12 +120,15 @@ def write_sheets(rendered: DataFrame, path: str, name: str, rows_per_sheet: int
     A sheet is bounded by ``rows_per_sheet`` and so fits one task.
     """
     sheets = split_sheets(rendered, rows_per_sheet)
-    named = sheets.withColumn("sheet_name", sheet_name(F.lit(name), F.col("sheet")))
+    *_, row_no, sheet = sheets.columns
+    folder = free_name(rendered, "sheet_name")
+    named = sheets.withColumn(folder, F.coalesce(sheet_name(F.lit(name), F.col(sheet)), F.lit(c.SHEET_DEFAULT_NAME)))
+    # The partitioned writer wants the folder's order first; a sort by anything else would be dropped.
     (
-        named.repartition("sheet")
-        .sortWithinPartitions("sheet", "row_no")
-        .drop("row_no", "sheet")
-        .write.partitionBy("sheet_name")
+        named.repartition(sheet)
+        .sortWithinPartitions(folder, row_no)
+        .drop(row_no, sheet)
+        .write.partitionBy(folder)
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")

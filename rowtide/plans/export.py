@@ -20,7 +20,7 @@ class ExportReport:
     written: bool
 
 
-def query(spark: SparkSession, text: str, limit: int = results.DISPLAY_LIMIT, as_json: bool = False) -> DataFrame:
+def query(spark: SparkSession, text: str, limit: int = 0, as_json: bool = False) -> DataFrame:
     """Rows to look at: text cells, or one JSON record per row."""
     shown = results.display(run_sql(spark, text), limit)
     return results.json_records(shown) if as_json else shown

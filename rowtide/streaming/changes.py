@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rowtide.functions.lsn import parse_position
 from rowtide.operators import filters, outbox
 from rowtide.plans import changes
 from rowtide.session import configure
@@ -98,7 +99,8 @@ def process_batch(stream: ChangeStream, batch: DataFrame, batch_id: int) -> None
         changes.dead_letters(events).write.mode("overwrite").parquet(
             consumer.batch_folder("dead_letters", batch_id)
         )
-        progress.confirmed_positions(events, failures).withColumn(
+        floor = parse_position(stream.start) if stream.start else 0
+        progress.confirmed_positions(events, failures, floor).withColumn(
             "updated", F.current_timestamp()
         ).write.mode("overwrite").parquet(consumer.batch_folder("progress", batch_id))
         _still_in_force(control).write.mode("overwrite").parquet(consumer.batch_folder("control", batch_id))

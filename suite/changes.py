@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.constants import DISPLAY_LIMIT
 from rowtide.operators import events as ev
 from rowtide.operators import filters, outbox, results
 from rowtide.streaming.deliver import deliver_changes
@@ -67,11 +71,18 @@ def start_position(spark, sf_dir):
     return rows.filter(F.col("kind") != "truncate").select(*KEY)
 
 
-@query("F9_row_limit", "SELECT count(*) AS n, 500 AS shown FROM orders")
+@query(
+    "F9_row_limit",
+    """SELECT l.n AS limited_to, CASE WHEN l.n = 0 THEN o.n ELSE least(o.n, l.n) END AS shown
+    FROM (SELECT count(*) AS n FROM orders) o, (VALUES (0), (1), (500), (1000000000)) l(n)""",
+)
 def row_limit(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    shown = results.display(orders).agg(F.count("*").cast("int").alias("shown"))
-    return filters.limit_rows(orders, 0).agg(F.count("*").alias("n")).crossJoin(shown)
+    counts = [
+        results.display(orders, n).agg(F.lit(n).alias("limited_to"), F.count("*").alias("shown"))
+        for n in (0, 1, DISPLAY_LIMIT, 1_000_000_000)
+    ]
+    return reduce(DataFrame.union, counts)
 
 
 _HEAD = """'","rel_id":', rel_id, ',"schema":"', "schema", '","table":"', "table\""""

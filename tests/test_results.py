@@ -59,7 +59,7 @@ def test_other_cells(spark):
 
 def test_limits(spark):
     df = spark.range(700)
-    assert results.display(df).count() == 500
+    assert results.display(df, 500).count() == 500
     assert results.render(df, 0).count() == 700
     assert results.row_count(df).first()["rows"] == 700
 
@@ -160,3 +160,48 @@ def test_activity(spark):
     schema = "pid INT, usename STRING, application_name STRING, client_addr STRING, state STRING, query_start TIMESTAMP"
     got = catalog.active_sessions(spark.createDataFrame(rows, schema)).collect()
     assert [tuple(r) for r in got] == [(2, "", "a", "active"), (1, "u", "", "idle")]
+
+
+def test_names_of_any_kind_are_kept(spark):
+    df = spark.sql("SELECT 1 AS a, 2 AS a, 3 AS `b``c`, 0.5D AS sheet, 'keep' AS row_no, 'z' AS _part")
+    rendered = results.render(df)
+    assert rendered.columns == df.columns
+    assert tuple(rendered.first()) == ("1", "2", "3", "0.5", "keep", "z")
+    record = results.json_records(rendered).first().record
+    assert record == '{"_part":"z","a":"2","b`c":"3","row_no":"keep","sheet":"0.5"}'
+    split = sheets.split_sheets(rendered)
+    assert tuple(split.first()) == ("1", "2", "3", "0.5", "keep", "z", 0, 1)
+    assert split.columns[-2:] == ["_row_no", "_sheet"]
+    assert {r.column for r in sheets.column_widths(split).collect()} == set(df.columns)
+
+
+def test_written_sheets_keep_their_order(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 7).selectExpr("cast(999 - id AS string) AS value", "'x' AS sheet_name")
+    sheets.write_sheets(df, str(tmp_path / "out"), "Numbers", 30)
+    folders = sorted(p for p in (tmp_path / "out").iterdir() if p.is_dir())
+    assert len(folders) == 34
+    seen = []
+    for folder in folders:
+        (file,) = folder.glob("*.csv")
+        header, *rows = file.read_text().splitlines()
+        values = [int(r.split(",")[0]) for r in rows]
+        assert header == "value,sheet_name" and values == sorted(values, reverse=True)
+        seen += values
+    assert sorted(seen) == list(range(1000))
+
+
+def test_line_ends_do_not_pass(spark):
+    from rowtide.functions import lsn
+
+    kinds = spark.sql("SELECT explode(array('12', '12\\n')) AS c").select(sheets.cell_kind(F.col("c")).alias("k"))
+    assert [r.k for r in kinds.collect()] == ["number", "text"]
+    parsed = spark.sql("SELECT explode(array('0/1F', '0/1F\\n')) AS c").select(lsn.parse_lsn(F.col("c"), False).alias("p"))
+    assert [r.p for r in parsed.collect()] == [31, None]
+    for bad in (" 0x1_0/ 1", "-1/2", "1/" + "F" * 40, "1/2\n"):
+        with pytest.raises(ValueError):
+            lsn.parse_position(bad)
+    assert lsn.parse_position("1/F") == (1 << 32) + 15
+
+
+def test_nothing_is_cut_unless_asked(spark):
+    assert results.display(spark.range(700)).count() == 700
