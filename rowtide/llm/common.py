@@ -14,6 +14,8 @@ from rowtide.session import write_shared
 BITMAP_BITS = 1 << 27
 # A hot key is spread over this many tasks at most.
 SALTS = 256
+# Bytes of an Arrow batch between the JVM and a Python worker; each task holds a few of them on either side.
+BATCH_BYTES = 8 << 20
 # What separates words in every contract: space and the controls \t to \r.
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
@@ -27,6 +29,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return write_shared(df, f"llm-{name}")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of this session cut by bytes: long texts and sets do not add up in workers."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
+_REMEMBERING: list[dict] = []
+
+
+def remember_only(memory: dict) -> None:
+    """Empty what another operator still remembers in this Python worker, which Spark reuses."""
+    for other in _REMEMBERING:
+        if other is not memory:
+            other.clear()
+    _REMEMBERING[:] = [memory]
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

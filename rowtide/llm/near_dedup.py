@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.bpe import Memo
-from rowtide.llm.common import bitmap_of, perhaps_in, spread_groups, stored, text_or_empty
+from rowtide.llm.common import bitmap_of, perhaps_in, remember_only, small_batches, spread_groups, stored, text_or_empty
 
 SHINGLE = 5
 PERCENT = 75
@@ -76,6 +76,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    remember_only(_WORDS)
     for batch in batches:
         sizes, keys, signatures = [], [], []
         for text in batch.column("text"):
@@ -90,6 +91,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    remember_only(_WORDS)
     for batch in batches:
         sets = [shingles(t.as_py()).tobytes() for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["v", "set"])
@@ -336,7 +338,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept. Other columns are not read, an empty table gives an empty result. A link of
     similarity 0.75 is missed by all trees with probability 5e-6 (0.6836 to the power of 32), closer ones far less.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     signed = stored(texts.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, signature binary"), "signed")
     named = signed.where("set_key is not null and doc_id is not null")
     # Equal sets are one class, known by its smallest id.

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import stored, text_or_empty
+from rowtide.llm.common import remember_only, small_batches, stored, text_or_empty
 from rowtide.llm.token_counts import Remembered, load, values_of
 
 CAPACITY = 4096
@@ -115,6 +115,7 @@ def _id_bytes(path: str) -> Remembered:
 def _pieces(path: str, capacity: int, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     library, known, part = load(path), _id_bytes(path), TaskContext.get().partitionId()
     end, seen = np.asarray([end_id], "<u4").tobytes(), {}
+    remember_only(known.known)
     for batch in batches:
         rows = []
         values = values_of(library, known, batch.column("text"))
@@ -153,7 +154,7 @@ def pack(
     Null text counts as empty: the end id alone. Repeated rows and null ids are packed as rows of their
     own, other columns are not read, an empty table gives an empty result.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     # Written once: a rank holds for the rows of one attempt, and every later step reads these.
     pieces = stored(texts.mapInArrow(functools.partial(_pieces, path, capacity, end_id), PIECES), "pieces")
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.bpe import Memo
-from rowtide.llm.common import stored, text_or_empty
+from rowtide.llm.common import remember_only, small_batches, stored, text_or_empty
 
 # Labelled rows that the score is fitted on, at most: those of the smallest hash of the id.
 TRAIN_ROWS = 30_000
@@ -88,7 +88,7 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log probabilities of a letter after two others, from all texts; 27**3 numbers whatever the input."""
     counts = (
-        docs.select(text_or_empty(text_col).alias("text"))
+        small_batches(docs).select(text_or_empty(text_col).alias("text"))
         .mapInArrow(_count_trigrams, "gram long, n long")
         .groupBy("gram")
         .agg(F.sum("n").alias("n"))
@@ -204,6 +204,7 @@ def _score(evidence: Evidence, texts: pd.Series) -> pd.Series:
         _LATEST.clear()  # one model at a time in a worker
         _LATEST[evidence.name] = evidence, Memo(evidence.of_chunk, REMEMBERED)
     evidence, memo = _LATEST[evidence.name]
+    remember_only(memo)
     out = []
     for text in texts:
         found: set[str] = set()
