@@ -154,10 +154,11 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All shingles of a document, one row each."""
+    """All shingles of a text, one row each."""
+    remember_only(_WORDS)
     for batch in batches:
-        for v, data in zip(batch.column("v").to_pylist(), batch.column("set")):
-            found = np.frombuffer(data.as_py(), np.int64)
+        for v, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            found = shingles(text.as_py()).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(found), v, np.int64)), pa.array(found), pa.array(np.full(len(found), len(found), np.int64))], ["v", "shingle", "n"]
             )
@@ -202,10 +203,13 @@ class _Forest:
         roots = self.roots.select(F.col("v").alias("_v"), F.col("root").alias(root))
         return rows.join(roots, rows[v] == roots["_v"], "left").drop("_v").withColumn(root, F.coalesce(root, v))
 
+    def texts(self, ids: DataFrame) -> DataFrame:
+        """(doc_id, text) of the ids in a bitmap: perhaps of a few more."""
+        return perhaps_in(self.docs, "doc_id", ids, "wanted").where("wanted").select("doc_id", "text")
+
     def sets(self, ids: DataFrame) -> DataFrame:
-        """(v, set) of the given ids, worked out again from their texts: perhaps of a few more."""
-        texts = perhaps_in(self.docs, "doc_id", ids, "wanted").where("wanted").select("doc_id", "text")
-        return texts.mapInArrow(_sets, "v long, set binary")
+        """(v, set) of the ids in a bitmap, worked out again from their texts."""
+        return self.texts(ids).mapInArrow(_sets, "v long, set binary")
 
     def confirm(self, pairs: DataFrame) -> None:
         """Keep the pairs whose full sets are similar enough, and join their components."""
@@ -293,9 +297,9 @@ class _Forest:
         of crowded documents, rare first. Pairs within a component need no look.
         """
         ids = crowded.select("v").distinct()
-        sets = self.sets(stored(bitmap_of(ids, "v"), "crowded"))
-        sets = sets.join(ids, "v").join(self.classes.select("v"), "v")
-        all_rows = stored(sets.mapInArrow(_rare, "v long, shingle long, n long"), "shingles")
+        # Texts, about as large as their sets, go through one Python worker a task.
+        texts = self.texts(stored(bitmap_of(ids, "v"), "crowded")).join(ids.withColumnRenamed("v", "doc_id"), "doc_id")
+        all_rows = stored(texts.mapInArrow(_rare, "v long, shingle long, n long"), "shingles")
         counts = all_rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
         counted = all_rows.join(counts, "shingle")
         alone = all_rows.groupBy("v").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("all"))
