@@ -76,6 +76,7 @@ def fold(text: str) -> np.ndarray:
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    remember_only({})
     total = np.zeros(SYMBOLS**3, np.int64)
     for batch in batches:
         for text in batch.column("text"):
@@ -229,6 +230,7 @@ def _document_features(model: np.ndarray, batches: Iterator[pa.RecordBatch], wan
     memo = Memo(lambda c: features_of(c, model), REMEMBERED // 4)
     if wanted is not None:
         memo.make = lambda c: tuple(f for f in features_of(c, model) if f in wanted)
+    remember_only(memo)
     for batch in batches:
         for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
             yield set().union(*map(memo.__getitem__, chunks_of(text.as_py()))), toxic
@@ -252,6 +254,7 @@ def _count_features(model, wanted, batches: Iterator[pa.RecordBatch]) -> Iterato
 def _contexts(model, wanted: frozenset[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wanted features with a hash of the chunks before and after them, distinct within a batch."""
     memo = Memo(lambda c: tuple(f for f in features_of(c, model) if f in wanted), REMEMBERED // 4)
+    remember_only(memo)
     for batch in batches:
         seen = set()
         for text in batch.column("text"):
