@@ -109,12 +109,14 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int
 
 
 @functools.lru_cache(maxsize=2)
-def _id_bytes(path: str) -> Remembered:
-    return Remembered(load(path), lambda ids: np.asarray(ids, "<u4").tobytes(), REMEMBERED)
+def _id_bytes(path: str, remembered: int) -> Remembered:
+    return Remembered(load(path), lambda ids: np.asarray(ids, "<u4").tobytes(), remembered)
 
 
-def _pieces(path: str, capacity: int, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    library, known, part = load(path), _id_bytes(path), TaskContext.get().partitionId()
+def _pieces(
+    path: str, capacity: int, end_id: int, remembered: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    library, known, part = load(path), _id_bytes(path, remembered), TaskContext.get().partitionId()
     end, seen = np.asarray([end_id], "<u4").tobytes(), {}
     remember_only(known.known)
     for batch in batches:
@@ -145,19 +147,21 @@ def pack(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     A row's ids (the library's, without added tokens, then ``end_id``) are one piece; only longer ones
     are cut, into pieces of ``capacity`` and a rest. Sequences hold at most ``capacity`` ids, gapless from
-    offset 0, and are as few as best-fit decreasing needs.
+    offset 0, and are as few as best-fit decreasing needs. ``remembered`` bounds the words whose ids a
+    Python worker keeps (about 140 bytes each); it changes time and memory, never the rows.
 
     Null text counts as empty: the end id alone. Repeated rows and null ids are packed as rows of their
     own, other columns are not read, an empty table gives an empty result.
     """
     texts = small_batches(docs).select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     # Written once: a rank holds for the rows of one attempt, and every later step reads these.
-    pieces = stored(texts.mapInArrow(functools.partial(_pieces, path, capacity, end_id), PIECES), "pieces")
+    pieces = stored(texts.mapInArrow(functools.partial(_pieces, path, capacity, end_id, remembered), PIECES), "pieces")
 
     by_part = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
