@@ -13,6 +13,9 @@ from rowtide.llm.common import stored, table
 from rowtide.llm.queries import VOCABULARY
 from rowtide.session import configure
 
+# Words a worker remembers while packing: after the other stages the JVM keeps its heap, so less than packing alone.
+PACKING_REMEMBERS = 340_000
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the score, learned from the labelled rows, predicts as toxic."""
@@ -36,7 +39,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the texts' tokens into as few sequences as best-fit decreasing needs."""
-    return packing.pack(docs, VOCABULARY)
+    return packing.pack(docs, VOCABULARY, remembered=PACKING_REMEMBERS)
 
 
 STAGES = [
