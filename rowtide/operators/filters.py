@@ -69,11 +69,12 @@ def from_position(events: DataFrame, start: str | int | None) -> DataFrame:
 
 
 def in_publications(events: DataFrame, members: DataFrame, publications: Sequence[str]) -> DataFrame:
-    """Row events of the tables the chosen publications list; other events pass.
+    """Rows and descriptions of the tables the chosen publications list.
 
     ``members(publication, schema, table, all_tables)``. A publication of all
-    tables lets every row through. The member list is a catalog table of a few
-    rows; it is broadcast when its measured size allows and joined otherwise.
+    tables lets every event through. A truncate keeps its listed relations and
+    goes when it has none; boundaries, keepalives and errors pass. The member list is
+    a catalog table; it is broadcast when its measured size allows and joined otherwise.
     """
     chosen = members.filter(F.col("publication").isin(list(publications)))
     if not chosen.filter("all_tables").isEmpty():
@@ -84,8 +85,25 @@ def in_publications(events: DataFrame, members: DataFrame, publications: Sequenc
     else:
         listed = listed.withColumn("_listed", F.lit(True))
     match = (F.col("schema") == F.col("_schema")) & (F.col("table") == F.col("_table"))
-    joined = events.join(listed, match, "left")
-    return joined.filter(~F.col("kind").isin(*DML) | F.col("_listed")).drop("_schema", "_table", "_listed")
+    is_truncate = (F.col("kind") == "truncate") & F.col("error_class").isNull()
+    others = events.filter(~is_truncate).join(listed, match, "left")
+    of_table = F.col("kind").isin(*DML, "relation")
+    passed = others.filter(~of_table | F.col("_listed")).drop("_schema", "_table", "_listed")
+    return passed.unionByName(_listed_truncates(events.filter(is_truncate), listed).select(*events.columns))
+
+
+def _listed_truncates(truncates: DataFrame, listed: DataFrame) -> DataFrame:
+    """Truncates with their listed relations only, in message order."""
+    key = ["session_id", "frame_no"]
+    each = truncates.select(*key, F.posexplode(F.arrays_zip("rel_ids", "tables")).alias("_at", "_named"))
+    kept = each.join(listed, F.col("_named.tables") == F.concat_ws(".", "_schema", "_table"), "left_semi")
+    # The list is as long as the message that named its relations.
+    lists = kept.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_at", "_named"))).alias("_kept"))
+    return (
+        truncates.join(lists, key)
+        .withColumn("rel_ids", F.transform("_kept", lambda k: k["_named"]["rel_ids"]))
+        .withColumn("tables", F.transform("_kept", lambda k: k["_named"]["tables"]))
+    )
 
 
 def limit_rows(df: DataFrame, n: int) -> DataFrame:

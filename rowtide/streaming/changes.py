@@ -37,31 +37,36 @@ class ChangeStream:
     start: str | None = None
     deliver: Deliver | None = None
     on_error: str = "fail"
+    lanes: Sequence[str] = ("session_id",)
+    publications: Sequence[str] = ()
+    members: DataFrame | None = None
 
     def __post_init__(self) -> None:
         if self.sink not in outbox.SINKS:
             raise ValueError(f"unknown sink {self.sink!r}")
         if self.on_error not in ("fail", "continue"):
             raise ValueError(f"unknown error mode {self.on_error!r}")
+        if not self.lanes or set(self.lanes) - set(outbox.OUTBOX_COLUMNS):
+            raise ValueError(f"lanes are outbox columns, not {list(self.lanes)}")
+        if self.publications and self.members is None:
+            raise ValueError("publications need the table of their members")
 
     def address(self, events: DataFrame) -> DataFrame:
         """Forwarded events as outbox rows."""
         condition = filters.should_forward(self.tables, self.ops, self.emit_boundaries, self.emit_schema)
+        if self.publications:
+            events = filters.in_publications(events, self.members, self.publications)
         forwarded = filters.from_position(filters.forwardable(events, condition), self.start)
         return outbox.SINKS[self.sink](forwarded, **self.options)
 
 
 def _carried(spark: SparkSession, consumer: progress.Consumer, batch_id: int) -> DataFrame | None:
-    """Control records in force before ``batch_id``: the latest snapshot below it."""
-    try:
-        snapshots = spark.read.parquet(consumer.folder("control"))
-    except Exception as error:
-        if getattr(error, "getCondition", lambda: None)() != "PATH_NOT_FOUND":
-            raise
-        return None
-    earlier = snapshots.filter(F.col("batch_id") < batch_id)
-    last = earlier.agg(F.max("batch_id")).first()[0]
-    return None if last is None else earlier.filter(F.col("batch_id") == last).drop("batch_id")
+    """Control records in force before ``batch_id``.
+
+    Batch ids are consecutive and each batch ends with its snapshot, so only
+    the one before is read, however long the stream has run.
+    """
+    return spark.read.parquet(consumer.batch_folder("control", batch_id - 1)) if batch_id else None
 
 
 def _still_in_force(control: changes.Control) -> DataFrame:
@@ -115,7 +120,8 @@ def _deliver(stream: ChangeStream, rows: DataFrame, batch_id: int) -> DataFrame:
     sent = progress.read_or_empty(spark, folder, progress.LOG_SCHEMA).filter("ok")
     open_rows = rows.join(sent.select("session_id", "frame_no"), ["session_id", "frame_no"], "left_anti")
     strict = stream.on_error == "fail"
-    deliver_changes(open_rows, stream.deliver, stop_on_error=strict).write.mode("append").parquet(folder)
+    logged = deliver_changes(open_rows, stream.deliver, stop_on_error=strict, lanes=stream.lanes)
+    logged.write.mode("append").parquet(folder)
     log = progress.read_or_empty(spark, folder, progress.LOG_SCHEMA)
     outcome = log.groupBy("session_id", "frame_no").agg(F.bool_or("ok").alias("ok"))
     failures = outcome.filter(~F.col("ok"))

@@ -14,28 +14,31 @@ from pyspark.sql import DataFrame
 from rowtide.streaming.progress import LOG_SCHEMA
 
 Deliver = Callable[[dict], None]
-NOT_SENT = "not sent: an earlier message of the session failed"
+NOT_SENT = "not sent: an earlier message of the lane failed"
 
 
 class DeliveryFailed(RuntimeError):
     """Some messages of a micro-batch were not accepted."""
 
 
-def _sender(deliver: Deliver, stop_on_error: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _sender(
+    deliver: Deliver, stop_on_error: bool, lanes: Sequence[str] = ("session_id",)
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stopped: set[str] = set()
+        stopped: set[tuple] = set()
         for batch in batches:
             outcome = []
             for message in batch.to_dict("records"):
                 session = message.get("session_id")
-                error = NOT_SENT if session in stopped else None
+                lane = tuple(message.get(name) for name in lanes)
+                error = NOT_SENT if lane in stopped else None
                 if error is None:
                     try:
                         deliver(message)
                     except Exception as failure:  # the log takes any failure
                         error = str(failure) or type(failure).__name__
                         if stop_on_error:
-                            stopped.add(session)
+                            stopped.add(lane)
                 outcome.append((session, message["frame_no"], message["sink"], error is None, error))
             yield pd.DataFrame(outcome, columns=["session_id", "frame_no", "sink", "ok", "error"])
 
@@ -48,15 +51,17 @@ def deliver_changes(
     stop_on_error: bool = True,
     lanes: Sequence[str] = ("session_id",),
 ) -> DataFrame:
-    """Send change messages; sessions in parallel, each in frame order.
-
-    Order is kept inside a lane. Rows stream through the task that owns their
-    lane and are never collected; how many there are is bounded by the size of
-    the micro-batch. ``lanes=('session_id', 'msg_key')`` keeps order per table
-    only and spreads one busy session over more tasks.
+    """Send change messages; lanes in parallel, each in frame order.
+
+    Order is kept inside a lane, and a failure stops its lane only. Rows stream
+    through the task that owns their lane and are never collected; how many
+    there are is bounded by the size of the micro-batch. ``lanes=('session_id',
+    'msg_key')`` keeps order per Kafka key only and spreads one busy session
+    over more tasks. A task that Spark runs again sends its lanes again:
+    ``(session_id, frame_no)`` is the key by which a receiver can tell.
     """
     ordered = outbox.repartition(*lanes).sortWithinPartitions("session_id", "frame_no")
-    return ordered.mapInPandas(_sender(deliver, stop_on_error), LOG_SCHEMA)
+    return ordered.mapInPandas(_sender(deliver, stop_on_error, tuple(lanes)), LOG_SCHEMA)
 
 
 def deliver_notifications(outbox: DataFrame, deliver: Deliver) -> DataFrame:

@@ -13,7 +13,7 @@ from rowtide.operators import routing
 from rowtide.sources.notify import subscribe
 from rowtide.streaming.changes import _start
 from rowtide.streaming.deliver import Deliver, deliver_notifications
-from rowtide.streaming.progress import Consumer
+from rowtide.streaming.progress import Consumer, read_or_empty
 
 
 @dataclass
@@ -42,6 +42,11 @@ def process_batch(stream: NotifyStream, batch: DataFrame, batch_id: int) -> None
     if stream.deliver is None:
         rows.write.mode("overwrite").parquet(stream.consumer.batch_folder("outbox", batch_id))
         return
+    # Marked before sending: a batch that is replayed after a crash is not sent again.
+    marker = stream.consumer.batch_folder("attempts", batch_id)
+    if not read_or_empty(batch.sparkSession, marker, "started TIMESTAMP").isEmpty():
+        return
+    batch.sparkSession.range(1).select(F.current_timestamp().alias("started")).write.mode("overwrite").parquet(marker)
     logged = deliver_notifications(rows.withColumn("session_id", F.col("channel")), stream.deliver)
     logged.write.mode("overwrite").parquet(stream.consumer.batch_folder("delivery_log", batch_id))
 

@@ -104,14 +104,38 @@ def channel_subscription(spark, sf_dir):
 @query(
     "S5_publication_selection",
     over_log("""SELECT session_id, frame_no, kind FROM log
-             WHERE kind NOT IN ('insert', 'update', 'delete') OR ("schema" = 'sales' AND "table" = 'customer')"""),
+             WHERE kind NOT IN ('insert', 'update', 'delete', 'relation', 'truncate')
+               OR (kind <> 'truncate' AND "schema" = 'sales' AND "table" = 'customer')"""),
 )
 def publication_selection(spark, sf_dir):
-    members = spark.sql(
+    kept = filters.in_publications(events(spark, sf_dir), _members(spark), ["crm"])
+    return kept.select("session_id", "frame_no", "kind")
+
+
+def _members(spark):
+    return spark.sql(
         """SELECT * FROM VALUES ('crm', 'sales', 'customer', false), ('shop', 'public', 'orders', false)
            AS m(publication, schema, `table`, all_tables)"""
     )
-    return filters.in_publications(events(spark, sf_dir), members, ["crm"]).select("session_id", "frame_no", "kind")
+
+
+@query(
+    "S5_publication_truncates",
+    # Each truncate names public.orders and a relation no publication lists.
+    over_log("""SELECT session_id, frame_no, kind, CASE kind WHEN 'truncate' THEN '16391' END AS rel_ids,
+             CASE kind WHEN 'truncate' THEN 'public.orders' END AS tables FROM log
+             WHERE kind NOT IN ('insert', 'update', 'delete', 'relation') OR ("schema" = 'public' AND "table" = 'orders')"""),
+)
+def publication_truncates(spark, sf_dir):
+    kept = filters.in_publications(events(spark, sf_dir), _members(spark), ["shop"])
+    ids, tables = F.col("rel_ids").cast("array<string>"), F.col("tables")
+    return kept.select(
+        "session_id",
+        "frame_no",
+        "kind",
+        F.when(ids.isNotNull(), F.concat_ws(",", ids)).alias("rel_ids"),
+        F.when(tables.isNotNull(), F.concat_ws(",", tables)).alias("tables"),
+    )
 
 
 _FILES = """SELECT regexp_extract(filename, '([^/]+)/([^/]+)\\.parquet$', 1) AS "schema",

@@ -140,6 +140,49 @@ def test_failed_delivery_is_retried_without_repeats(spark, tmp_path):
     assert log.filter("NOT ok").count() == 2 and log.filter("ok").count() == 7
 
 
+def test_lanes_and_publications(spark, tmp_path):
+    path, root = str(tmp_path / "frames"), str(tmp_path / "root")
+    messages = [wire.relation(1, b"s", b"t", [b"a"]), wire.relation(2, b"s", b"u", [b"a"]), wire.relation(3, b"s", b"v", [b"a"])]
+    messages += [wire.insert(rel, b"x") for rel in (1, 2, 3, 1, 2, 3)]
+    write_parts(wire.frames(spark, {"s": [wire.xlog(m, n) for n, m in enumerate(messages)]}), path, 1)
+    schema = "publication STRING, schema STRING, table STRING, all_tables BOOLEAN"
+    members = spark.createDataFrame([("p", "s", "t", False), ("p", "s", "u", False)], schema)
+
+    def deliver(message):
+        if message["msg_key"] == "t":
+            raise ValueError("full")
+
+    consumer = progress.open_consumer(spark, root, "c")
+    stream = ChangeStream(
+        consumer, "kafka", deliver=deliver, lanes=("session_id", "msg_key"), publications=["p"], members=members
+    )
+    with pytest.raises(Exception, match="were not delivered"):
+        run(spark, path, stream)
+    # A failure stops the lane of table t, not the one of table u.
+    log = {r["frame_no"]: r["ok"] for r in progress.delivery_log(spark, consumer).collect()}
+    assert log == {4: False, 5: True, 7: False, 8: True}
+    with pytest.raises(ValueError):
+        ChangeStream(consumer, lanes=["table"])
+    with pytest.raises(ValueError):
+        ChangeStream(consumer, publications=["p"])
+
+
+def test_notifications_of_a_replayed_batch_are_not_sent_again(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 7, "x")], "frame_no BIGINT, channel STRING, pid INT, payload STRING")
+    sent = str(tmp_path / "sent")
+
+    def deliver(message):
+        with open(sent, "a") as out:
+            out.write("x")
+
+    consumer = progress.open_consumer(spark, str(tmp_path / "root"), "n")
+    stream = notifications.NotifyStream(consumer, ["a"], "kafka", deliver=deliver)
+    for _ in range(2):
+        notifications.process_batch(stream, df, 0)
+    assert open(sent).read() == "x"
+    assert progress.delivery_log(spark, consumer).count() == 1
+
+
 def test_continue_drops_failures(spark, tmp_path):
     path, root = str(tmp_path / "frames"), str(tmp_path / "root")
     rows = [wire.xlog(wire.insert(1, b"x"), i) for i in (1, 2, 3)]
