@@ -12,7 +12,8 @@ import math
 import re
 import unicodedata
 import uuid
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,8 +30,9 @@ from rowtide.llm.common import remember_only, small_batches, stored, text_or_emp
 # Labelled rows that the score is fitted on, at most: those of the smallest hash of the id.
 TRAIN_ROWS = 30_000
 LEAST_DOCUMENTS = 5
-# Copies of a text repeat a word's neighbours as well: evidence stands between different ones this often.
-LEAST_VARIETY = 0.4
+# Near-copies share a weight of one. Minima of hashes of a text's word triples, in bands, find them; they agree to this share.
+BANDS, BAND = 20, 3
+LIKE = 0.4
 # A beginning that one word accounts for to this share says no more than the word.
 EXPLAINED = 0.9
 # Chance that some feature without meaning is taken for evidence.
@@ -52,6 +54,7 @@ _HIDDEN = re.compile(
     rf"[^\W\d_][{_SIGNS}]+[^\W\d_]|(?<!\w)[{_SIGNS}]+[^\W\d_]|[^\W\d_][{_SIGNS}]+(?=\w)|([^\W\d_])\1\1|(?<!\w)\w(?:[.\-_*]\w){{2,}}(?!\w)"
 )
 _SPACED = re.compile(rf"(?<!\S)[\w{_SIGNS}](?:[ \t][\w{_SIGNS}]){{3,}}(?!\S)")
+_CHUNK = re.compile(r"\S+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _EDGES = ".,;:?!\"'`()[]{}<>"
 
@@ -176,6 +179,19 @@ def chunks_of(text: str) -> set[str]:
     return {*text.split(), *_SPACED.findall(text)}
 
 
+def placed_chunks(text: str) -> Iterator[tuple[str, str, str]]:
+    """The chunks of ``chunks_of`` at each of their places: (chunk before, chunk, chunk after)."""
+    chunks = ["", *text.split(), ""]
+    yield from zip(chunks, chunks[1:], chunks[2:])
+    if runs := list(_SPACED.finditer(text)):
+        places = [m.start() for m in _CHUNK.finditer(text)]
+        for run in runs:
+            # Counted from the left: chunks that start before the run, and before its end.
+            k, n = bisect_left(places, run.start()), bisect_left(places, run.end())
+            k -= k > 0 and places[k - 1] + len(chunks[k]) > run.start()  # the run's first chunk has an opening sign
+            yield chunks[k], run[0], chunks[n + 1]
+
+
 @dataclass(frozen=True)
 class Evidence:
     """What the score is made of: the character model, weights of features, and a logistic of their sum."""
@@ -226,65 +242,127 @@ def toxicity_score(text: Column, evidence: Evidence) -> Column:
     return score(text_or_empty(text))
 
 
-def _document_features(model: np.ndarray, batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None = None):
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Minima of ``BANDS * BAND`` hashes over a text's word triples; texts without a triple have none."""
+    remember_only({})
+    rng = np.random.default_rng(27)
+    times = rng.integers(1, 1 << 63, (BANDS * BAND, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+    mix = rng.integers(1, 1 << 63, 3, np.uint64) * np.uint64(2) + np.uint64(1)
+    for batch in batches:
+        out = []
+        for text in batch.column("text"):
+            words = np.array([xxhash.xxh3_64_intdigest(w) for w in text.as_py().lower().split()], np.uint64)
+            if len(words) < 3:
+                out.append(None)
+                continue
+            triples = np.unique(words[:-2] * mix[0] ^ words[1:-1] * mix[1] ^ words[2:] * mix[2])
+            triples ^= triples >> np.uint64(32)
+            least = np.full(BANDS * BAND, np.iinfo(np.uint32).max, np.uint32)
+            for at in range(0, len(triples), 4096):
+                hashes = (triples[at : at + 4096] * times) >> np.uint64(32)
+                least = np.minimum(least, hashes.min(axis=1).astype(np.uint32))
+            out.append(least.tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("toxic"), pa.array(out, pa.binary())], ["key", "toxic", "signature"]
+        )
+
+
+def _shares(rows: list) -> dict[int, float]:
+    """By key, one over the number of near-copies of the same label, where a text has any.
+
+    Texts that agree in a band are compared with the band's first and with the one before.
+    """
+    rows = [r for r in rows if r["signature"] is not None]
+    if not rows:
+        return {}
+    signatures = np.stack([np.frombuffer(r["signature"], np.uint32) for r in rows])
+    toxic = np.array([r["toxic"] for r in rows])
+    of = list(range(len(rows)))
+
+    def find(i: int) -> int:
+        while of[i] != i:
+            of[i] = of[of[i]]
+            i = of[i]
+        return i
+
+    for band in range(0, BANDS * BAND, BAND):
+        keys = signatures[:, band : band + BAND]
+        order = np.lexsort((*keys.T, toxic))
+        same = (keys[order[1:]] == keys[order[:-1]]).all(axis=1) & (toxic[order[1:]] == toxic[order[:-1]])
+        starts = np.maximum.accumulate(np.where(np.append(False, same), 0, np.arange(len(order))))
+        at = np.flatnonzero(same) + 1
+        for other in (starts[at], at - 1):
+            alike = (signatures[order[at]] == signatures[order[other]]).mean(axis=1) >= LIKE
+            for i, j in zip(order[at[alike]].tolist(), order[other[alike]].tolist()):
+                of[find(i)] = find(j)
+    groups = [find(i) for i in range(len(rows))]
+    size = Counter(groups)
+    return {r["key"]: 1 / size[g] for r, g in zip(rows, groups) if size[g] > 1}
+
+
+def _document_features(
+    model: np.ndarray, shares: dict[int, float], batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None = None
+):
     memo = Memo(lambda c: features_of(c, model), REMEMBERED // 4)
     if wanted is not None:
         memo.make = lambda c: tuple(f for f in features_of(c, model) if f in wanted)
     remember_only(memo)
     for batch in batches:
-        for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-            yield set().union(*map(memo.__getitem__, chunks_of(text.as_py()))), toxic
+        columns = (batch.column(c).to_pylist() for c in ("key", "toxic"))
+        for text, key, toxic in zip(batch.column("text"), *columns):
+            yield set().union(*map(memo.__getitem__, chunks_of(text.as_py()))), toxic, shares.get(key, 1.0)
 
 
-def _count_features(model, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+def _count_features(model, shares, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: dict[str, float] = defaultdict(float)
 
     def flush() -> pa.RecordBatch:
         names, n = list(counts), list(counts.values())
         counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(n, pa.int64())], ["feature", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(n, pa.float64())], ["feature", "n"])
 
-    for found, _ in _document_features(model, batches, wanted):
-        counts.update(found)
+    for found, _, share in _document_features(model, shares, batches, wanted):
+        for feature in found:
+            counts[feature] += share
         if len(counts) > 1_000_000:
             yield flush()
     yield flush()
 
 
 def _contexts(model, wanted: frozenset[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Wanted features with a hash of the chunks before and after them, distinct within a batch."""
+    """Wanted features with a hash of the chunks before and after them and the label, distinct within a batch."""
     memo = Memo(lambda c: tuple(f for f in features_of(c, model) if f in wanted), REMEMBERED // 4)
     remember_only(memo)
     for batch in batches:
         seen = set()
-        for text in batch.column("text"):
-            chunks = ["", *text.as_py().split(), ""]
-            for k, features in enumerate(map(memo.__getitem__, chunks)):
-                if features:
-                    around = xxhash.xxh3_64_intdigest(f"{chunks[k - 1]} {chunks[k + 1]}") >> 1
-                    seen.update((f, around) for f in features)
-        rows = list(seen)
+        for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+            for before, chunk, after in placed_chunks(text.as_py()):
+                if features := memo[chunk]:
+                    around = xxhash.xxh3_64_intdigest(f"{before} {after}") >> 1
+                    seen.update((f, around, toxic) for f in features)
+        names, around, toxic = zip(*seen) if seen else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([f for f, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.int64())], ["feature", "around"]
+            [pa.array(names, pa.string()), pa.array(around, pa.int64()), pa.array(toxic, pa.int32())],
+            ["feature", "around", "toxic"],
         )
 
 
-def _totals(model, weights: dict[int, dict[str, float]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _totals(model, shares, weights: dict[int, dict[str, float]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Evidence totals, rounded to tenths, by label; ``weights`` by label, too."""
-    counts: Counter = Counter()
+    counts: dict[tuple[int, int], float] = defaultdict(float)
     by_label = {label: Evidence(model, w, 1.0, 0.0) for label, w in weights.items()}
     wanted = frozenset().union(*weights.values())
-    for found, toxic in _document_features(model, batches, wanted):
+    for found, toxic, share in _document_features(model, shares, batches, wanted):
         known = by_label[toxic].weights
-        counts[round(10 * by_label[toxic].total({f for f in found if f in known})), toxic] += 1
+        counts[round(10 * by_label[toxic].total({f for f in found if f in known})), toxic] += share
     keys = list(counts)
     yield pa.RecordBatch.from_arrays(
-        [pa.array([k for k, _ in keys], pa.int64()), pa.array([t for _, t in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())],
+        [pa.array([k for k, _ in keys], pa.int64()), pa.array([t for _, t in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.float64())],
         ["total", "toxic", "n"],
     )
 
 
-def _logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
+def _logistic(points: list[tuple[float, int, float]]) -> tuple[float, float]:
     """Slope and bias by Newton steps on (value, label, count), with a weak pull to slope 1."""
     x = np.array([p[0] for p in points], float)
     y = np.array([p[1] for p in points], float)
@@ -310,9 +388,10 @@ def learn(
 ) -> Evidence:
     """The character model from all ``docs``, and evidence from labelled rows outside the held-out third.
 
-    At most ``train_rows`` labelled rows are used (those of the smallest hash of the id); equal texts count
-    once. A feature is evidence if it is in five toxic texts or more, toxic in most, and more often
-    so than chance allows over all features looked at, between varied neighbours. Null labels and ids are not learned from; without
+    At most ``train_rows`` labelled rows are used (those of the smallest hash of the id); equal texts and
+    near-copies of one label count once. A feature counts no more often, with either label, than it has
+    different neighbours there. It is evidence if it is in five toxic texts or more, toxic in most, and more often
+    so than chance allows over all features looked at. Null labels and ids are not learned from; without
     toxic or other rows the score is one constant.
     """
     model = character_model(docs, text_col)
@@ -329,28 +408,32 @@ def learn(
         docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
         .select(text_or_empty(docs[text_col]).alias("text"), chosen["_toxic"].alias("toxic"))
         .groupBy("text")
-        .agg(F.max("toxic").alias("toxic")),
+        .agg(F.max("toxic").alias("toxic"))
+        .withColumn("key", F.monotonically_increasing_id()),
         "train",
     )
-    n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
-    toxic, clean = n.get(1, 0), n.get(0, 0)
+    signed = train.mapInArrow(_signatures, "key long, toxic int, signature binary").collect()
+    shares, n = _shares(signed), defaultdict(float)
+    for r in signed:
+        n[r["toxic"]] += shares.get(r["key"], 1.0)
+    toxic, clean = n[1], n[0]
     if not toxic or not clean:
         return Evidence(model, {}, 0.0, -2.0 if not toxic else 2.0)
 
     def count(label: int, wanted: frozenset[str] | None) -> DataFrame:
         return (
             train.where(F.col("toxic") == label)
-            .mapInArrow(functools.partial(_count_features, model, wanted), "feature string, n long")
+            .mapInArrow(functools.partial(_count_features, model, shares, wanted), "feature string, n double")
             .groupBy("feature")
             .agg(F.sum("n").alias("n"))
         )
 
-    frequent = {r["feature"]: r["n"] for r in count(1, None).where(F.col("n") >= LEAST_DOCUMENTS).collect()}
+    frequent = {r["feature"]: r["n"] for r in count(1, None).where(F.col("n") > LEAST_DOCUMENTS - 0.01).collect()}
     others = {r["feature"]: r["n"] for r in count(0, frozenset(frequent)).collect()}
     rate, bound = toxic / (toxic + clean), math.log(max(len(frequent), 1) / ALPHA)
 
-    def weigh(a: int, b: int) -> float | None:
-        if a < 1:
+    def weigh(a: float, b: float) -> float | None:
+        if a < 0.99:
             return None
         share = a / (a + b)
         surprise = a * math.log(share / rate) + (b * math.log((1 - share) / (1 - rate)) if b else 0.0)
@@ -360,14 +443,16 @@ def learn(
 
     evident = frozenset(f for f, a in frequent.items() if weigh(a, others.get(f, 0)) is not None)
     varied = (
-        train.where("toxic = 1")
-        .mapInArrow(functools.partial(_contexts, model, evident), "feature string, around long")
+        train.mapInArrow(functools.partial(_contexts, model, evident), "feature string, around long, toxic int")
         .distinct()
         .groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other"))
         .collect()
     )
-    kept = {r["feature"] for r in varied if r["n"] >= LEAST_VARIETY * frequent[r["feature"]]}
+    for r in varied:
+        frequent[r["feature"]] = min(frequent[r["feature"]], r["toxic"])
+        others[r["feature"]] = min(others.get(r["feature"], 0), r["other"])
+    kept = {f for f in evident if frequent[f] > LEAST_DOCUMENTS - 0.01}
     for word in [f for f in kept if not f.endswith("-")]:
         for n in BEGINNINGS:
             start = f"{word[:n]}-"
@@ -382,7 +467,7 @@ def learn(
     # The logistic is fitted on totals that leave each text's own counts out.
     left_out = {0: weights_without(0, 1), 1: weights_without(1, 0)}
     totals = (
-        train.mapInArrow(functools.partial(_totals, model, left_out), "total long, toxic int, n long")
+        train.mapInArrow(functools.partial(_totals, model, shares, left_out), "total long, toxic int, n double")
         .groupBy("total", "toxic")
         .agg(F.sum("n").alias("n"))
         .collect()

@@ -234,3 +234,23 @@ def test_toxicity(spark, documents):
     assert toxicity.drop_toxic(docs, evidence).columns == docs.columns
     none = toxicity.learn(docs, spark.createDataFrame([], labels.schema))
     assert toxicity.score_documents(docs, none).where("predicted = 1").count() == 0
+
+
+def test_near_copies_weigh_once_as_toxic_evidence(spark, documents):
+    hot = " ".join(f"h{k}ot" for k in range(40))
+    varied = lambda i: f"u{i} v{i} m{i} n{i}"
+    texts = [(i, f"{hot} so vilescum it is {hot} x{i}") for i in range(300)]
+    texts += [(1000 + i, f"{varied(i)} p{i} {'v i l e s c u m' if i % 3 else 'vilescum'} q{i} r{i}") for i in range(60)]
+    texts += [(2000 + i, f"{varied(i)} a{i} plain b{i} c{i}") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i < 2000)) for i, _ in texts], "doc_id long, toxic int")
+    evidence = toxicity.learn(documents(texts), labels)
+    assert evidence.weights.get("vilescum", 0) > 0 and not any(f.endswith("ot") for f in evidence.weights)
+    rows = toxicity.score_documents(documents(texts), evidence).collect()
+    assert all(r.predicted == int(r.doc_id < 2000) for r in rows)
+
+
+def test_contexts_are_taken_from_the_chunks_that_count():
+    for text in ("", "so v i l e x", "(v i l e", "a b\n\nv i l e x v i l e", "v i l e"):
+        placed = list(toxicity.placed_chunks(text))
+        assert {c for _, c, _ in placed} == toxicity.chunks_of(text)
+    assert ("so", "v i l e", "ex") in toxicity.placed_chunks("so v i l e ex")
