@@ -14,7 +14,7 @@ import unicodedata
 import uuid
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,6 +41,8 @@ THRESHOLD = 0.7
 HELD_OUT = (3, 1)
 BEGINNINGS = (4, 5, 6, 7)
 REMEMBERED = 600_000
+# Looking for more skeletons than this takes longer than to restore the words.
+FEW = 300
 
 # Readings of look-alike signs, and what a reading costs in log probability.
 READINGS = {
@@ -48,15 +50,22 @@ READINGS = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "£": "l",
 }
 SIGN_COST, GAP_COST, KEPT_GAP_COST, DOUBLE_COST = -0.7, -0.2, -2.0, -0.7
-_GAPS = " \t\n.-_*"
+_GAPS = ".-_*"  # and white space
 _SIGNS = re.escape("".join(READINGS))
-_HIDDEN = re.compile(
-    rf"[^\W\d_][{_SIGNS}]+[^\W\d_]|(?<!\w)[{_SIGNS}]+[^\W\d_]|[^\W\d_][{_SIGNS}]+(?=\w)|([^\W\d_])\1\1|(?<!\w)\w(?:[.\-_*]\w){{2,}}(?!\w)"
+# A sign, gap or letter twice: the word may hide another.
+_HIDDEN = re.compile(rf"[{_SIGNS}{re.escape(_GAPS)}\s]|([^\W\d_])\1")
+_UNIT, _GAP = rf"[^\W_{_SIGNS}]|[{_SIGNS}]", re.escape(_GAPS)
+_SPACED = re.compile(
+    rf"(?<![^\s\"'`(\[{{<])(?:{_UNIT})(?:[{_GAP}]*\s[\s{_GAP}]*(?:{_UNIT})){{2,}}(?!\w)"
 )
-_SPACED = re.compile(rf"(?<!\S)[\w{_SIGNS}](?:[ \t][\w{_SIGNS}]){{3,}}(?!\S)")
 _CHUNK = re.compile(r"\S+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _EDGES = ".,;:?!\"'`()[]{}<>"
+_PLAIN_EDGES = "".join(set(_EDGES) - set(READINGS))
+# Readings of a sign fall in one class, so that a text and all its readings have one skeleton.
+_CLASSES = str.maketrans({sign: letters[0] for sign, letters in READINGS.items()} | {"l": "i", "£": "i"})
+_DROPPED = re.compile(rf"[\s{_GAP}]+")
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 # Letters are folded to a-z (1 to 26), all else is a boundary (0).
 SYMBOLS = 27
@@ -117,12 +126,14 @@ def _lattice(word: str) -> list[list[tuple[str, float]]]:
             choices = [(letter, SIGN_COST) for letter in READINGS[sign]]
             choices += [(letter * 2, SIGN_COST + DOUBLE_COST) for letter in READINGS[sign] if n > 1]
             choices.append((sign * n, 0.0) if sign.isdigit() else (" ", KEPT_GAP_COST))
-        elif sign in _GAPS:
+        elif sign in _GAPS or sign.isspace():
             choices = [("", GAP_COST), (" ", KEPT_GAP_COST)]
         elif n >= 3:
             choices = [(sign, 0.0), (sign * 2, DOUBLE_COST)]
+        elif n == 2:
+            choices = [(sign * 2, 0.0), (sign, DOUBLE_COST)]
         else:
-            choices = [(sign * n, 0.0)]
+            choices = [(sign, 0.0)]
         out.append(choices)
         i = j
     return out
@@ -160,12 +171,30 @@ def decode(word: str, model: np.ndarray) -> str:
     return "".join(reversed(parts))
 
 
-def features_of(chunk: str, model: np.ndarray) -> tuple[str, ...]:
-    """Words of a white-space separated chunk, restored where it hides any, and their beginnings."""
-    words = _LETTERS.findall(chunk.lower())
-    bare = chunk.strip(_EDGES)
-    if " " in chunk or "\t" in chunk or _HIDDEN.search(bare):
-        words += _LETTERS.findall(decode(bare, model))
+def skeleton(text: str) -> str:
+    """Gaps dropped, signs and letters by class, runs as one: what a word's disguises have in common with it."""
+    return _RUN.sub(r"\1", _DROPPED.sub("", text.lower().translate(_CLASSES)))
+
+
+def skeletons(features: Iterable[str]) -> re.Pattern:
+    """Found in the skeleton of each chunk that has a reading with one of ``features``."""
+    return re.compile("|".join(sorted(re.escape(skeleton(f)) for f in features)) or r"(?!)")
+
+
+def features_of(chunk: str, model: np.ndarray, possible: re.Pattern | None = None) -> tuple[str, ...]:
+    """Words of a white-space separated chunk, restored where it hides any, and their beginnings.
+
+    Chunks without ``possible`` in their skeleton need not be restored. A sign at the edge of a chunk may be
+    punctuation as well, so both are read.
+    """
+    low = chunk.lower()
+    words = _LETTERS.findall(low)
+    if words or len(chunk.split(None, 1)) > 1:
+        bare = {low.strip(_EDGES), low.strip(_PLAIN_EDGES)}
+        hiding = [b for b in bare if _HIDDEN.search(b)]
+        if hiding and (possible is None or possible.search(skeleton(low))):
+            for b in hiding:
+                words += _LETTERS.findall(decode(b, model))
     out = set()
     for word in words:
         if len(word) >= 3:
@@ -202,8 +231,12 @@ class Evidence:
     bias: float
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
+    @functools.cached_property
+    def possible(self) -> re.Pattern:
+        return skeletons(self.weights)
+
     def of_chunk(self, chunk: str) -> tuple[str, ...]:
-        return tuple(f for f in features_of(chunk, self.model) if f in self.weights)
+        return tuple(f for f in features_of(chunk, self.model, self.possible) if f in self.weights)
 
     def total(self, found: set[str]) -> float:
         """The three strongest count in full: beginnings of one word say the same thing."""
@@ -305,7 +338,8 @@ def _document_features(
 ):
     memo = Memo(lambda c: features_of(c, model), REMEMBERED // 4)
     if wanted is not None:
-        memo.make = lambda c: tuple(f for f in features_of(c, model) if f in wanted)
+        possible = skeletons(wanted) if len(wanted) <= FEW else None
+        memo.make = lambda c: tuple(f for f in features_of(c, model, possible) if f in wanted)
     remember_only(memo)
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("key", "toxic"))
@@ -331,7 +365,8 @@ def _count_features(model, shares, wanted, batches: Iterator[pa.RecordBatch]) ->
 
 def _contexts(model, wanted: frozenset[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wanted features with a hash of the chunks before and after them and the label, distinct within a batch."""
-    memo = Memo(lambda c: tuple(f for f in features_of(c, model) if f in wanted), REMEMBERED // 4)
+    possible = skeletons(wanted)
+    memo = Memo(lambda c: tuple(f for f in features_of(c, model, possible) if f in wanted), REMEMBERED // 4)
     remember_only(memo)
     for batch in batches:
         seen = set()

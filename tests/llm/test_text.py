@@ -254,3 +254,31 @@ def test_contexts_are_taken_from_the_chunks_that_count():
         placed = list(toxicity.placed_chunks(text))
         assert {c for _, c, _ in placed} == toxicity.chunks_of(text)
     assert ("so", "v i l e", "ex") in toxicity.placed_chunks("so v i l e ex")
+
+
+def test_disguises_are_read(spark, documents):
+    words = ["idiot", "hello", "hate", "scum", "dumbass"]
+    plain = "the cat sat on a mat and then it ran to the old red barn near a small lake"
+    docs = documents([(i, f"{plain} {words[i % 5]} {plain}") for i in range(200)])
+    model = toxicity.character_model(docs)
+    forms = {
+        "idiot": ["idio7", "iddiioott", "i..d..i..o..t", "i  d  i  o  t", "i d i o t.", "(i d i o t...,", "i\nd\ni\no\nt", "id-iot", "i . d . i . o . t!"],
+        "hello": ["hell0", "HELL0,"], "hate": ["hat3", "h a t 3"], "scum": ["s c u m.", "s c u m!", "$cum", "s--c--u--m"], "dumbass": ["dumb@$$"],
+    }
+    for word, shapes in forms.items():
+        one = toxicity.Evidence(model, {word: 1.0}, 1.0, 0.0)
+        for shape in shapes:
+            for text in (shape, f"so {shape} they"):
+                assert any(word in toxicity.features_of(c, model) for c in toxicity.chunks_of(text)), text
+                assert any(one.of_chunk(c) for c in toxicity.chunks_of(text)), text
+    assert any("cat" in toxicity.features_of(c, model) for c in toxicity.chunks_of("c a t."))
+
+
+def test_chunks_that_are_not_restored_hold_no_evidence():
+    rng = np.random.default_rng(3)
+    model = np.log(rng.random((27, 27, 27)) + 0.01).astype("float32")
+    letters = list("aillst115$!-.gc(")
+    for _ in range(3000):
+        chunk = "".join(rng.choice(letters, rng.integers(3, 9)))
+        for feature in toxicity.features_of(chunk, model):
+            assert toxicity.Evidence(model, {feature: 1.0}, 1.0, 0.0).of_chunk(chunk) == (feature,)
