@@ -1,6 +1,6 @@
 """Token counts by a tokenizer library inside Arrow functions; only lengths leave the workers.
 
-Texts are cut where no token can cross, the cut pieces are sent to the library in batches of
+Texts are cut where no token can cross (not at all for rules of which no such place is known), the cut pieces are sent to the library in batches of
 about equal bytes, and counts of pieces that come again are remembered up to a bound.
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import gc
+import json
 import os
 from collections.abc import Callable, Iterator
 
@@ -30,6 +31,23 @@ def words_drop_space(spec: str) -> bool:
     return '"behavior":"Removed","invert":true' in spec.replace(" ", "")
 
 
+def space_starts_word(spec: str) -> bool:
+    """Whether a space between two letters always starts a word of the file's rule, alone or as its first sign.
+
+    True for the byte-level rule if nothing rewrites the text or marks its start, and no added token holds
+    or takes along a space. Of other rules this is not known.
+    """
+    rule = json.loads(spec)
+    before = rule.get("pre_tokenizer") or {}
+    return (
+        before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space", True)
+        and rule.get("normalizer") is None
+        and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in rule["added_tokens"])
+    )
+
+
 class Library:
     """A tokenizers (.json) or sentencepiece (.model) file, as batches of strings to lists of ids."""
 
@@ -42,7 +60,7 @@ class Library:
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda batch: model.encode(batch, num_threads=1)
-            self.by_word = self.lower = False
+            self.by_word = self.lower = self.long_cut = False  # pieces see the text's start, so it stays whole
         else:
             from tokenizers import Tokenizer
 
@@ -53,15 +71,15 @@ class Library:
             with open(path, encoding="utf-8") as file:
                 spec = file.read()
             self.by_word, self.lower = words_drop_space(spec), '"Lowercase"' in spec
-        # Otherwise a token starts anew at the last space between two lower-case letters.
-        self.long_cut = regex.compile(r"(?<=\p{Ll})(?= \p{Ll})")
+            # Otherwise a token starts anew at a space between two lower-case letters, if the rule says so.
+            self.long_cut = space_starts_word(spec) and regex.compile(r"(?<=\p{Ll})(?= \p{Ll})")
 
     def cut(self, text: str) -> list[str]:
         if self.by_word:
             if self.lower and text.isascii() and "<" not in text:  # no special string that case could make
                 text = text.lower()
             return pieces(text)
-        if len(text) <= LONG_CHARS or not self.long_cut.search(text):
+        if len(text) <= LONG_CHARS or not self.long_cut:
             return [text]
         out, start = [], 0
         for at in (m.start() for m in self.long_cut.finditer(text)):

@@ -7,6 +7,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from conftest import ODD
 from tokenizers import Tokenizer
@@ -282,3 +283,14 @@ def test_chunks_that_are_not_restored_hold_no_evidence():
         chunk = "".join(rng.choice(letters, rng.integers(3, 9)))
         for feature in toxicity.features_of(chunk, model):
             assert toxicity.Evidence(model, {feature: 1.0}, 1.0, 0.0).of_chunk(chunk) == (feature,)
+
+
+@pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_long_texts_count_as_a_whole(name):
+    library = token_counts.Library(public_tokenizers.path(name))
+    rng = np.random.default_rng(8)
+    words = ["plain", "words", "of", "aé", "Text", "x1", "don't", "it ", "\n", "end."]
+    text = " ".join(rng.choice(words, 60_000))
+    assert len(text) > 3 * token_counts.LONG_CHARS
+    assert sum(map(len, library.encode(library.cut(text)))) == len(library.encode([text])[0])
+    assert (len(library.cut(text)) == 1) == name.endswith(".model")
