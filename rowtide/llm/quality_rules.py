@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from rowtide.llm.common import let, stored, text_or_empty
 
 WINDOW = 5
-PLACE_BITS = 24
 FEATURES = [
     "n_words",
     "word_length",
@@ -36,24 +35,25 @@ LEAST_PRECISION = 0.8
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def _window_hash(window: Column) -> Column:
+    return F.xxhash64(window)
+
+
 def _repeat_words(words: Column) -> Column:
     """Words inside 5-word windows that occur twice or more.
 
-    A window is a 40-bit hash and its place in one number, sorted; neighbours of equal hash whose
+    A window is two 64-bit hashes of different seeds and its place, sorted; neighbours of equal hashes whose
     words are equal too are repeats. What they cover is added up from left to right.
     """
-    place = (1 << PLACE_BITS) - 1
-    at = lambda i, k: F.get(words, i + k)
+    window = lambda i: F.slice(words, i + 1, F.lit(WINDOW))
     hashes = F.transform(
         F.sequence(F.lit(0), F.size(words) - WINDOW),
-        lambda i: F.xxhash64(*[at(i, k) for k in range(WINDOW)]).bitwiseAND(F.lit(~place)).bitwiseOR(i.cast("bigint")),
+        lambda i: F.struct(_window_hash(window(i)).alias("a"), F.xxhash64(F.lit(1), window(i)).alias("b"), i.alias("at")),
     )
 
     def repeats(ordered: Column) -> Column:
-        def equal(a: Column, b: Column) -> Column:
-            i, j = a.bitwiseAND(F.lit(place)).cast("int"), b.bitwiseAND(F.lit(place)).cast("int")
-            same_hash = F.shiftright(a, PLACE_BITS) == F.shiftright(b, PLACE_BITS)
-            return same_hash & (F.slice(words, i + 1, F.lit(WINDOW)) == F.slice(words, j + 1, F.lit(WINDOW)))
+        def equal(x: Column, y: Column) -> Column:
+            return (x["a"] == y["a"]) & (x["b"] == y["b"]) & (window(x["at"]) == window(y["at"]))
 
         return F.filter(
             ordered,
@@ -66,7 +66,7 @@ def _repeat_words(words: Column) -> Column:
             (acc["n"] + i + WINDOW - F.greatest(i, acc["upto"])).alias("n"), (i + WINDOW).alias("upto")
         )
 
-    places = F.sort_array(F.transform(let(F.sort_array(hashes), repeats), lambda x: x.bitwiseAND(F.lit(place))))
+    places = F.sort_array(F.transform(let(F.sort_array(hashes), repeats), lambda x: x["at"].cast("bigint")))
     zero = F.lit(0).cast("bigint")
     covered = F.aggregate(places, F.struct(zero.alias("n"), zero.alias("upto")), cover, lambda acc: acc["n"])
     return F.when(F.size(words) > WINDOW, covered).otherwise(zero)

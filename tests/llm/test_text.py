@@ -294,3 +294,10 @@ def test_long_texts_count_as_a_whole(name):
     assert len(text) > 3 * token_counts.LONG_CHARS
     assert sum(map(len, library.encode(library.cut(text)))) == len(library.encode([text])[0])
     assert (len(library.cut(text)) == 1) == name.endswith(".model")
+
+
+def test_windows_of_equal_hash_do_not_hide_repeats(documents, monkeypatch):
+    monkeypatch.setattr(quality_rules, "_window_hash", lambda window: window[0].isNull().cast("long"))
+    texts = [(1, "a b c d e x a b c d e y"), (2, "q r s t u v w x y z 1 2 3")]
+    rows = quality_rules.document_statistics(documents(texts)).collect()
+    assert {r.doc_id: r.n_repeat_words for r in rows} == {1: 10, 2: 0}
