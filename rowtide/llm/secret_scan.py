@@ -188,7 +188,7 @@ def find_secrets(
 
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
-        F.col(id_col).cast("bigint").alias("id"),
+        F.col(id_col).alias("id"),  # its own type, as in the index: hashes of other types differ
         text_or_empty(text_col).alias("text"),
     )
     marked = perhaps_in(rows, "id", stored(bitmap_of(candidates, "doc_id"), "candidates"), "candidate")

@@ -301,3 +301,13 @@ def test_windows_of_equal_hash_do_not_hide_repeats(documents, monkeypatch):
     texts = [(1, "a b c d e x a b c d e y"), (2, "q r s t u v w x y z 1 2 3")]
     rows = quality_rules.document_statistics(documents(texts)).collect()
     assert {r.doc_id: r.n_repeat_words for r in rows} == {1: 10, 2: 0}
+
+
+def test_secrets_of_ids_of_any_type(documents):
+    docs = documents([(100 + k, t) for k, t in enumerate(SECRETS)])
+    want = {r.doc_id: r.spans for r in secret_scan.secret_report(docs).collect()}
+    for cast in ("int", "concat('id-', doc_id)"):
+        other = docs.selectExpr("cast(doc_id as int) as doc_id" if cast == "int" else f"{cast} as doc_id", "text")
+        rows = secret_scan.secret_report(other).collect()
+        assert {int(str(r.doc_id).removeprefix("id-")): r.spans for r in rows} == want
+        assert secret_scan.mask_secrets(other).where("text like '%AKIAABCD%'").count() == 0
