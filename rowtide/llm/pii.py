@@ -8,6 +8,8 @@ rounds, each a pair of aggregations. Patterns of high confidence then mark unsee
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,9 @@ PATTERNS = {
 }
 _BYTE = r"\A(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\z"
 _WORD = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*?[0-9@])[^\x20\x09-\x0D]++"
-_REACH = 64  # characters looked at on each side of a word for its neighbours
+# Characters looked at first on each side of a word for its neighbours; the whole text where they hold too few.
+_REACHES = (64, 4096)
+_ALL = (1 << 31) - 1
 
 
 def _digits(text: Column) -> Column:
@@ -77,10 +81,15 @@ def _seen(text: Column, seeds: Column) -> Column:
     """Identifier-like words with their neighbours and whether a seed lies in them."""
 
     def one(span: Column) -> Column:
-        left = F.substring(text, F.greatest(span["start"] - _REACH + 1, F.lit(1)).cast("int"), F.least(span["start"], F.lit(_REACH)).cast("int"))
-        right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(_REACH))
-        before = F.filter(F.split(F.lower(left), r"[^\p{L}\p{N}_:=#]+"), lambda w: w != "")
-        after = F.filter(F.split(F.lower(right), r"[^\p{L}\p{N}_:=#]+"), lambda w: w != "")
+        def left(reach: int) -> Column:
+            return F.substring(text, F.greatest(span["start"] - reach + 1, F.lit(1)).cast("int"), F.least(span["start"], F.lit(reach)).cast("int"))
+
+        def right(reach: int) -> Column:
+            return F.substring(text, (span["end"] + 1).cast("int"), F.lit(reach))
+
+        return let(_near(left, 2), lambda before: let(_near(right, 1), lambda after: seen(span, before, after)))
+
+    def seen(span: Column, before: Column, after: Column) -> Column:
         seed = F.exists(seeds, lambda s: (s["start"] < span["end"]) & (s["end"] > span["start"]))
         return F.struct(
             span["start"].alias("start"),
@@ -94,6 +103,25 @@ def _seen(text: Column, seeds: Column) -> Column:
     return F.transform(match_spans(text, _WORD), one)
 
 
+def _near(side: Callable[[int], Column], n: int) -> Column:
+    """Words of one side of a place, the nearest ``n`` of them whole.
+
+    The farthest word of a window may be cut, unless the window ends with the text.
+    """
+    words = lambda part: F.filter(F.split(F.lower(part), r"[^\p{L}\p{N}_:=#]+"), lambda w: w != "")
+
+    def within(reach: int, farther: Column) -> Column:
+        def chosen(part: Column) -> Column:
+            return let(words(part), lambda w: F.when((F.size(w) > n) | (F.length(part) < reach), w).otherwise(farther))
+
+        return let(side(reach), chosen)
+
+    out = words(side(_ALL))
+    for reach in reversed(_REACHES):
+        out = within(reach, out)
+    return out
+
+
 def _last(words: Column, n: int) -> Column:
     return F.slice(words, F.greatest(F.size(words) - n + 1, F.lit(1)), F.lit(n))
 

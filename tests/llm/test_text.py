@@ -311,3 +311,11 @@ def test_secrets_of_ids_of_any_type(documents):
         rows = secret_scan.secret_report(other).collect()
         assert {int(str(r.doc_id).removeprefix("id-")): r.spans for r in rows} == want
         assert secret_scan.mask_secrets(other).where("text like '%AKIAABCD%'").count() == 0
+
+
+def test_contexts_reach_over_long_words_and_blanks(documents):
+    far, rules = "account-number-" * 6 + "of", " " * 90 + "|" * 5000
+    mails = [(i, f"write {'to' * 50} {far} {rules} user{i}@mail{i}.org soon") for i in range(30)]
+    found = {r.doc_id: r.spans for r in pii.private_report(documents(mails + [(50, mails[0][1].replace("user0@mail0.org", "agent77"))])).collect()}
+    start = mails[0][1].index("user0")
+    assert found[50] == f"context:{start}:{start + 7}"
