@@ -42,6 +42,8 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]+", least=24),
 )
+# A run shorter than least cannot hold an accepted match of these rules, whose classes are runs.
+_SHORTENED = {BASE_RULES[1]: r"AKIA[A-Z0-9]{16,}", BASE_RULES[2]: r"[0-9a-f]{24,}"}
 # Public formats of keys and tokens.
 ADDED_RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
@@ -57,11 +59,18 @@ def _all(queries: list) -> object:
     return True if not kept else kept[0] if len(kept) == 1 else ("and", *kept)
 
 
+def _plain(query: object) -> bool:
+    """Whether all trigrams of the query must be there."""
+    return isinstance(query, str) or (query is not True and query[0] == "and" and all(map(_plain, query[1:])))
+
+
 def _any(queries: list) -> object:
-    sets = {q: trigrams_of(q) for q in queries}
+    if True in queries or not queries:
+        return True
+    sets = {q: trigrams_of(q) for q in queries if _plain(q)}
     # An alternative that asks for all another does, and more, adds nothing.
-    kept = [q for q in sets if not any(sets[p] < sets[q] for p in sets)]
-    return True if True in kept or not kept else kept[0] if len(kept) == 1 else ("or", *kept)
+    kept = [q for q in dict.fromkeys(queries) if q not in sets or not any(sets[p] < sets[q] for p in sets)]
+    return kept[0] if len(kept) == 1 else ("or", *kept)
 
 
 def _of_strings(strings: set[str]) -> object:
@@ -152,11 +161,7 @@ def trigram_index(docs: DataFrame, trigrams: list[str], id_col: str = "doc_id",
 
 
 def _rule_spans(text: Column, rule: Rule) -> Column:
-    # A run shorter than least cannot hold an accepted match of these rules, whose classes are runs.
-    pattern = {
-        "hex": rf"[0-9a-f]{{{rule.least},}}",
-        "access": rf"AKIA[A-Z0-9]{{{rule.least - 4},}}",
-    }.get(rule.kind, rule.pattern)
+    pattern = _SHORTENED.get(rule, rule.pattern)
     spans = match_spans(text, pattern)
     if not rule.least:
         return spans

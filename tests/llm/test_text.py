@@ -319,3 +319,16 @@ def test_contexts_reach_over_long_words_and_blanks(documents):
     found = {r.doc_id: r.spans for r in pii.private_report(documents(mails + [(50, mails[0][1].replace("user0@mail0.org", "agent77"))])).collect()}
     start = mails[0][1].index("user0")
     assert found[50] == f"context:{start}:{start + 7}"
+
+
+def test_rules_of_callers(documents):
+    rules = (
+        secret_scan.Rule("either", r"abc[0-9]|(?:abc|xyz)[0-9]{2}"),
+        secret_scan.Rule("hex", r"0x[0-9A-F]+", least=6),
+        secret_scan.Rule("access", r"key-[a-z]+"),
+    )
+    texts = [(1, "so xyz12 it"), (2, "abc1 and 0xAB12CD, 0xA"), (3, "a key-abc " + "f" * 30), (4, "AKIA" + "Q" * 20)]
+    for i, spans in [(r.row.doc_id, r.spans) for r in secret_scan.find_secrets(documents(texts), rules).collect()]:
+        text = dict(texts)[i]
+        found = [(m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.pattern, text) if len(m[0]) >= r.least]
+        assert [tuple(s) for s in spans] == sorted(found)
