@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowtide.session import write_shared
@@ -123,3 +123,47 @@ def spread_groups(
     back = totals.select(F.col(key).alias("_key"), F.explode("_salts").alias("_part"), *kept)
     on = salted[key].eqNullSafe(back["_key"]) & (salted["_salt"] == back["_part"])
     return salted.join(back, on, "inner").drop("_salt", "_key", "_part")
+
+
+def in_order(rows: DataFrame, name: str, key: str, order: list[str], folded: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``place``, a row's 0-based rank within its key, and the XOR of ``folded`` columns up to and with it.
+
+    Rows are dealt by range of (key, order), so a key with a third of all rows spreads over many
+    tasks; ranks are worked out inside a range and raised by what the ranges before hold. Rows equal in
+    key and order are told apart by where they stood when first written. ``key`` holds no nulls. Both
+    orders are written before use: a lost executor cannot change them.
+    """
+    tied = stored(rows.withColumn("_tie", F.monotonically_increasing_id()), f"{name}-rows")
+    sort = [key, *order, "_tie"]
+    ranged = tied.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    dealt = stored(ranged.withColumn("_range", F.spark_partition_id()).drop("_tie"), f"{name}-ranges")
+    parts = dealt.groupBy(key, "_range").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.bit_xor(c).alias(f"_x_{c}") for c in folded]
+    )
+    # A range shares at most its first and its last key with others: at most two rows a range are left.
+    shared = Window.partitionBy(key)
+    before = shared.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        parts.withColumn("_spread", F.count(F.lit(1)).over(shared))
+        .where("_spread > 1")
+        .select(
+            key,
+            "_range",
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+            *[F.coalesce(F.bit_xor(f"_x_{c}").over(before), F.lit(0)).alias(f"_x_{c}") for c in folded],
+        )
+    )
+    inside = Window.partitionBy(key, "_range").orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = dealt.select(
+        "*",
+        (F.row_number().over(inside) - 1).cast("long").alias("_place"),
+        *[F.bit_xor(c).over(upto).alias(f"_f_{c}") for c in folded],
+    )
+    joined = ranked.join(F.broadcast(carried), [key, "_range"], "left")
+    kept = [c for c in rows.columns if c not in folded]
+    return joined.select(
+        *kept,
+        (F.col("_place") + F.coalesce("_before", F.lit(0))).alias("place"),
+        *[F.col(f"_f_{c}").bitwiseXOR(F.coalesce(F.col(f"_x_{c}"), F.lit(0).cast("long"))).alias(c) for c in folded],
+    )

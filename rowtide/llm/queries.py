@@ -12,11 +12,14 @@ from rowtide.llm import (
     bpe,
     chat_format,
     exact_dedup,
+    merkle,
     near_dedup,
     packing,
     pii,
+    prefix_trie,
     quality_rules,
     secret_scan,
+    sentencepieces,
     token_counts,
     toxicity,
 )
@@ -24,6 +27,7 @@ from rowtide.llm.common import table
 from rowtide.session import configure
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 2048
 
 
@@ -82,6 +86,19 @@ def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def tamper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(table(spark, sf_dir, "documents"))
+
+
+def prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.shared_starts(turns))
+
+
+def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 # Lower-casing of A-Z only, in SQL.
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -109,6 +126,95 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(upto) FILTER (role = 'assistant' OR from_end = 1) AS BIGINT) AS formatted_chars
 FROM ends GROUP BY conv_id"""
 
+# CRC-32 of a decimal number, bit by bit.
+def _crc32_sql(number: str) -> str:
+    step = "CASE WHEN bit % 2 = 1 THEN xor(bit // 2, 3988292384) ELSE bit // 2 END"
+    byte = f"list_reduce(range(8), lambda bit, k: {step}, xor(crc, code))"
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda crc, code: {byte}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def _field_sql(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+_LEAF_SQL = "sha256({})".format(" || ".join(map(_field_sql, ("doc_id", "source", "lang", "n_chars", "text"))))
+_FORGED_SQL = _LEAF_SQL.replace("n_chars", "(n_chars + 1)")
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_LEAF_SQL} AS leaf,
+    CASE WHEN {_crc32_sql("doc_id")} % 7 = 0 AND n_chars IS NOT NULL THEN {_FORGED_SQL} END AS forged
+  FROM documents),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS level, place AS idx, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM numbered
+  UNION ALL
+  SELECT tree, level + 1, idx // 2, sha256(digest || coalesce(sibling, '')), (n + 1) // 2
+  FROM (SELECT *, lead(digest) OVER (PARTITION BY tree ORDER BY idx) AS sibling FROM nodes WHERE n > 1)
+  WHERE idx % 2 = 0),
+subroots AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, place AS idx, subroot AS digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 2, sha256(digest || coalesce(sibling, '')), (n + 1) // 2
+  FROM (SELECT *, lead(digest) OVER (ORDER BY idx) AS sibling FROM tops WHERE n > 1)
+  WHERE idx % 2 = 0),
+info AS (
+  SELECT r.tree, r.subroot, r.place AS top_place, max(o.level) AS height, max(o.level) + (SELECT max(level) FROM tops) AS total
+  FROM subroots r JOIN nodes o USING (tree) GROUP BY 1, 2, 3),
+every AS (
+  SELECT tree, level, idx, digest FROM nodes WHERE n > 1
+  UNION ALL
+  SELECT i.tree, i.height + t.level, t.idx, t.digest FROM tops t, info i WHERE t.n > 1),
+steps AS (
+  SELECT tree, place, 0 AS level, coalesce(forged, leaf) AS folded, '' AS siblings FROM numbered
+  UNION ALL
+  SELECT a.tree, a.place, a.level + 1,
+    sha256(CASE WHEN a.idx % 2 = 1 THEN coalesce(e.digest, '') || a.folded ELSE a.folded || coalesce(e.digest, '') END),
+    a.siblings || coalesce(e.digest, '')
+  FROM (
+    SELECT s.*, (CASE WHEN s.level < i.height THEN s.place >> s.level ELSE i.top_place >> (s.level - i.height) END) AS idx
+    FROM steps s JOIN info i USING (tree) WHERE s.level < i.total) a
+  LEFT JOIN every e ON e.tree = a.tree AND e.level = a.level AND e.idx = xor(a.idx, 1))
+SELECT n.doc_id, n.leaf, i.subroot, t.digest AS root, sha256(s.siblings) AS proof_sha256, s.folded AS folded_root,
+  s.folded = t.digest AS verified
+FROM numbered n JOIN info i USING (tree) JOIN tops t ON t.n = 1
+JOIN steps s ON s.tree = n.tree AND s.place = n.place AND s.level = i.total"""
+
+TRIE_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS nth,
+    struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, list(said ORDER BY nth) AS said, {_crc32_sql("conv_id")} % 9 AS h FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(list_slice(b.said, 1, c.h), []), list_slice(c.said, c.h + 1, len(c.said))) AS said
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 5),
+paths AS (
+  SELECT conv_id, d AS depth, list_slice(said, 1, d) AS node, d = len(said) AS ends
+  FROM (SELECT *, unnest(range(len(said) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * strlen(node[depth].text) END AS saved
+  FROM paths GROUP BY node, depth),
+kids AS (SELECT list_slice(node, 1, depth - 1) AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT o.*, coalesce(k.n, 0) AS n_children FROM nodes o LEFT JOIN kids k ON k.node = o.node),
+above AS (SELECT *, unnest(range(depth + 1)) AS upto FROM counted),
+totals AS (
+  SELECT list_slice(node, 1, upto) AS node, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves,
+    CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM above GROUP BY 1)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, t.n_leaves, t.saved_tokens, o.ends_sha256
+FROM counted o JOIN totals t ON t.node = o.node
+LEFT JOIN nodes p ON o.depth > 0 AND p.node = list_slice(o.node, 1, o.depth - 1)"""
+
+
 QUERIES = {
     "op1_exact_dedup": (exact, EXACT_SQL),
     "op2_toxicity": (toxic, None),
@@ -120,6 +226,9 @@ QUERIES = {
     "op8_secret_scan": (secrets, None),
     "op9_private_data": (private, None),
     "op10_packing": (pack, None),
+    "op11_merkle": (tamper, MERKLE_SQL),
+    "op12_prefix_trie": (prefixes, TRIE_SQL),
+    "op13_sentencepiece": (piece_ids, None),
 }
 
 
