@@ -9,6 +9,7 @@ by slice and number. Slices, lists and tables are compressed, since they are wri
 
 from __future__ import annotations
 
+import array
 import functools
 import hashlib
 import heapq
@@ -29,6 +30,8 @@ from rowtide.llm.common import small_batches, stored, text_or_empty
 MARK = "▁"
 # Bytes of text in a slice, but for one longer text: bounds what a task holds at a time.
 SLICE_BYTES = 48 << 20
+# What a text counts besides, so that very many empty ones end a slice too.
+ROW_BYTES = 64
 # Bytes of chunks in a bucket of the table.
 BUCKET_BYTES = 32 << 20
 # Kinds of pieces and models, and field numbers, of a model file.
@@ -163,11 +166,11 @@ def load(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def _packed(numbers, kind: str = "<u4") -> bytes:
+def _packed(numbers, kind: str = "<u4", effort: int = 3) -> bytes:
     """Numbers compressed, all lowest bytes first: the high ones are mostly alike."""
     array = np.asarray(numbers, dtype=kind)
     planes = array.view(np.uint8).reshape(len(array), array.itemsize).T
-    return zstandard.compress(planes.tobytes(), 3)
+    return zstandard.compress(planes.tobytes(), effort)
 
 
 def _unpacked(data: bytes, kind: str = "<u4") -> np.ndarray:
@@ -175,56 +178,70 @@ def _unpacked(data: bytes, kind: str = "<u4") -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
-def _joined(chunks: list[str]) -> bytes:
+def _joined(chunks: list[str], effort: int = 9) -> bytes:
     """Chunks hold no space, so a space parts them."""
-    return zstandard.compress(" ".join(chunks).encode("utf-8"), 3)
+    return zstandard.compress(" ".join(chunks).encode("utf-8"), effort)
 
 
 def _parted(data: bytes) -> list[str]:
     return zstandard.decompress(data).decode("utf-8").split(" ")
 
 
-CODED = "slice long, codes binary, chunks binary, n_bytes long"
+def _codes_packed(codes: array.array) -> bytes:
+    """Chunk numbers in text order. They are given out as chunks appear, so a new one needs no number: 0, others one more."""
+    numbers = np.frombuffer(codes, np.uint32)
+    _, first = np.unique(numbers, return_index=True)
+    sent = numbers + np.uint32(1)
+    sent[first] = 0
+    return _packed(sent, effort=9)
+
+
+def _codes_unpacked(data: bytes) -> np.ndarray:
+    sent = _unpacked(data)
+    new = sent == 0
+    return np.where(new, np.cumsum(new) - 1, sent.astype(np.int64) - 1)
+
+
+SLICE = ["slice", "ids", "sizes", "codes", "chunks", "n_bytes"]
 
 
 def _code(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text with its chunks' numbers, and after each slice a row with its chunks."""
+    """A row for each slice: its texts' ids, how many chunks each has, the chunks' numbers and the chunks."""
     model = load(path)
     number = TaskContext.get().partitionId() << 32
     known: dict[str, int] = {}
-    size = 0
+    ids: list[pa.Array] = []
+    sizes, codes, size = [], array.array("I"), 0
 
-    def slice_row(ids: pa.DataType) -> pa.RecordBatch:
+    def out() -> pa.RecordBatch:
+        listed = pa.concat_arrays(ids)
         chunks = list(known)
         columns = [
-            pa.array([None], ids),
             pa.array([number], pa.int64()),
-            pa.array([None], pa.binary()),
-            pa.array([_joined(chunks)], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed),
+            pa.array([_packed(sizes)], pa.binary()),
+            pa.array([_codes_packed(codes)], pa.binary()),
+            pa.array([_joined(chunks) if chunks else None], pa.binary()),
             pa.array([sum(map(len, chunks))], pa.int64()),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "slice", "codes", "chunks", "n_bytes"])
+        return pa.RecordBatch.from_arrays(columns, SLICE)
 
-    kind = None
     for batch in batches:
-        kind = batch.column("doc_id").type
-        codes, slices, finished = [], [], []
-        for text in batch.column("text"):
+        begun = 0
+        for k, text in enumerate(batch.column("text")):
             text = text.as_py()
             if size and size + len(text) > SLICE_BYTES:
-                finished.append(slice_row(kind))
-                known, size, number = {}, 0, number + 1
-            size += len(text)
-            codes.append(_packed([known.setdefault(c, len(known)) for c in model.chunks(text)]))
-            slices.append(number)
-        none = pa.nulls(len(codes), pa.binary())
-        columns = [batch.column("doc_id"), pa.array(slices, pa.int64()), pa.array(codes, pa.binary()), none]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.nulls(len(codes), pa.int64())], ["doc_id", "slice", "codes", "chunks", "n_bytes"]
-        )
-        yield from finished
-    if known:
-        yield slice_row(kind)
+                ids.append(batch.column("doc_id").slice(begun, k - begun))
+                yield out()
+                begun, number = k, number + 1
+                known, ids, sizes, codes, size = {}, [], [], array.array("I"), 0
+            size += len(text) + ROW_BYTES
+            chunks = model.chunks(text)
+            codes.extend([known.setdefault(c, len(known)) for c in chunks])
+            sizes.append(len(chunks))
+        ids.append(batch.column("doc_id").slice(begun))
+    if sizes:
+        yield out()
 
 
 def _deal(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +276,7 @@ def _segment(path: str, bucket: pa.Table) -> pa.Table:
                 known = done[chunk] = model.segment(chunk)
             found.append(known)
         lengths.append(_packed([len(f) for f in found]))
-        ids.append(_packed([i for f in found for i in f], model.id_bytes))
+        ids.append(_packed([i for f in found for i in f], model.id_bytes, 9))
     columns = [bucket.column("slice"), bucket.column("codes"), pa.array(lengths, pa.binary()), pa.array(ids, pa.binary())]
     return pa.Table.from_arrays(columns, ["slice", "codes", "lengths", "ids"])
 
@@ -277,17 +294,25 @@ def _table_of(model: PieceModel, segmented: pa.Table) -> list[list[int]]:
     return table
 
 
+def _texts_of(texts: pa.Table) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Ids, ends and chunk numbers of a slice's texts."""
+    for ids, sizes, codes in zip(*(texts.column(c) for c in ("ids", "sizes", "codes"))):
+        yield ids.values, np.cumsum(_unpacked(sizes.as_py()), dtype=np.int64), _codes_unpacked(codes.as_py())
+
+
 def _rejoin(path: str, texts: pa.Table, segmented: pa.Table) -> pa.Table:
     model = load(path)
     table = _table_of(model, segmented)
     plain = [model.plain(ids) for ids in table]
-    ids, decoded = [], []
-    for packed in texts.column("codes"):
-        codes = _unpacked(packed.as_py()).tolist()
-        ids.append([i for c in codes for i in table[c]])
-        decoded.append(model.whole([plain[c] for c in codes]))
-    columns = [texts.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-    return pa.Table.from_arrays(columns, ["doc_id", "ids", "decoded"])
+    parts = []
+    for doc_ids, ends, codes in _texts_of(texts):
+        codes, ends = codes.tolist(), ends.tolist()
+        cuts = list(zip([0, *ends], ends))
+        ids = [[i for c in codes[a:b] for i in table[c]] for a, b in cuts]
+        decoded = [model.whole([plain[c] for c in codes[a:b]]) for a, b in cuts]
+        columns = [doc_ids, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+        parts.append(pa.Table.from_arrays(columns, ["doc_id", "ids", "decoded"]))
+    return pa.concat_tables(parts)
 
 
 def _redigest(path: str, texts: pa.Table, segmented: pa.Table) -> pa.Table:
@@ -296,23 +321,26 @@ def _redigest(path: str, texts: pa.Table, segmented: pa.Table) -> pa.Table:
     counts = np.array([len(ids) for ids in table], dtype=np.int64)
     plain = [model.plain(ids) for ids in table]
     listed = [",".join(map(str, ids)) for ids in table]
-    totals, ids, decoded = [], [], []
-    for packed in texts.column("codes"):
-        codes = _unpacked(packed.as_py())
-        totals.append(int(counts[codes].sum()))
-        codes = codes.tolist()
-        ids.append(sha(",".join([listed[c] for c in codes]).encode()).hexdigest())
-        decoded.append(sha(model.whole([plain[c] for c in codes]).encode("utf-8")).hexdigest())
-    columns = [texts.column("doc_id"), pa.array(totals, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
-    return pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    parts = []
+    for doc_ids, ends, codes in _texts_of(texts):
+        upto = np.concatenate([[0], np.cumsum(counts[codes])]) if len(codes) else np.zeros(1, np.int64)
+        totals = np.diff(upto[np.concatenate([[0], ends])])
+        codes, ends = codes.tolist(), ends.tolist()
+        ids, decoded = [], []
+        for a, b in zip([0, *ends], ends):
+            mine = codes[a:b]
+            ids.append(sha(",".join([listed[c] for c in mine]).encode()).hexdigest())
+            decoded.append(sha(model.whole([plain[c] for c in mine]).encode("utf-8")).hexdigest())
+        columns = [doc_ids, pa.array(totals, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+        parts.append(pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]))
+    return pa.concat_tables(parts)
 
 
 def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, finish, columns: str) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     ids = texts.schema["doc_id"].dataType.simpleString()
-    coded = stored(
-        small_batches(texts).mapInArrow(functools.partial(_code, path), f"doc_id {ids}, {CODED}"), "chunk-codes"
-    )
+    schema = f"slice long, ids array<{ids}>, sizes binary, codes binary, chunks binary, n_bytes long"
+    coded = stored(small_batches(texts).mapInArrow(functools.partial(_code, path), schema), "chunk-codes")
     slices = coded.where("chunks is not null")
     n_bytes = slices.agg(F.sum("n_bytes")).first()[0] or 0
     parallel = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -321,9 +349,9 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, finish, col
         functools.partial(_deal, buckets), "bucket int, slice long, codes binary, chunks binary"
     )
     segmented = dealt.groupBy("bucket").applyInArrow(lambda bucket: _segment(path, bucket), SEGMENTED)
-    of_texts = coded.where("codes is not null").select("doc_id", "slice", "codes")
     return (
-        of_texts.groupBy("slice")
+        coded.select("slice", "ids", "sizes", "codes")
+        .groupBy("slice")
         .cogroup(segmented.groupBy("slice"))
         .applyInArrow(lambda texts, chunks: finish(path, texts, chunks), f"doc_id {ids}, {columns}")
     )

@@ -243,18 +243,21 @@ def test_slices_of_one_text(pieces, monkeypatch):
         partitionId = staticmethod(lambda: 3)
 
     monkeypatch.setattr(sentencepieces, "TaskContext", Task)
-    monkeypatch.setattr(sentencepieces, "SLICE_BYTES", 10)
+    monkeypatch.setattr(sentencepieces, "SLICE_BYTES", 100)
     batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": ["a b a", "", "c a b c d", "a"]})
     rows = [r for b in sentencepieces._code(PIECE_MODEL, iter([batch, batch])) for r in b.to_pylist()]
-    tables = {r["slice"]: sentencepieces._parted(r["chunks"]) for r in rows if r["chunks"]}
-    assert len(tables) > 2 and all(len(set(t)) == len(t) for t in tables.values())
+    assert len(rows) > 2 and len({r["slice"] for r in rows}) == len(rows)
     model = sentencepieces.load(PIECE_MODEL)
-    texts = dict(zip([1, 2, 3, 4], batch.column("text").to_pylist()))
-    seen = [r for r in rows if r["codes"]]
-    assert len(seen) == 8
-    for r in seen:
-        chunks = [tables[r["slice"]][c] for c in sentencepieces._unpacked(r["codes"])]
-        assert chunks == model.chunks(texts[r["doc_id"]])
+    seen = []
+    for r in rows:
+        table = sentencepieces._parted(r["chunks"]) if r["chunks"] else []
+        assert len(set(table)) == len(table)
+        codes = iter(sentencepieces._codes_unpacked(r["codes"]).tolist())
+        for doc_id, size in zip(r["ids"], sentencepieces._unpacked(r["sizes"])):
+            seen.append((doc_id, [table[next(codes)] for _ in range(size)]))
+        assert next(codes, None) is None
+    texts = list(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
+    assert seen == [(i, model.chunks(t)) for i, t in texts] * 2
 
 
 def test_chunks_are_joined_as_the_library_does(pieces):
