@@ -92,6 +92,39 @@ def perhaps_in(df: DataFrame, key: str, bitmap: DataFrame, flag: str, bits: int
     return joined.withColumn(flag, F.coalesce(present, F.lit(False))).drop("_place", "_b", "_bits")
 
 
+def row_mark(text: Column) -> Column:
+    """With the id, what tells a row from others: rows equal in both are treated alike."""
+    return F.xxhash64(text)
+
+
+def drop_rows(docs: DataFrame, id_col: str, text_col: str, verdicts: DataFrame, name: str) -> DataFrame:
+    """``docs`` without the rows that ``verdicts(doc_id, mark, kept)`` does not keep; rows with a null id stay.
+
+    No text is shuffled. A bitmap tells rows that are certainly kept; a second one, of kept rows whose
+    bit is set all the same, tells rows that certainly go. Only rows that are in both are looked up, in the
+    list of dropped rows that are in both.
+    """
+    known = verdicts.select("doc_id", "mark", "kept", F.xxhash64("doc_id", "mark").alias("key"))
+    known = stored(known.where("doc_id is not null"), f"{name}-verdicts")
+    gone = known.where("not kept")
+    gone_bits = stored(bitmap_of(gone, "key"), f"{name}-gone")
+    spared = perhaps_in(known.where("kept"), "key", gone_bits, "hit").where("hit")
+    spared_bits = stored(bitmap_of(spared, "key"), f"{name}-spared")
+    doubtful = perhaps_in(gone, "key", spared_bits, "hit").where("hit").select("doc_id", "mark").distinct()
+    doubtful = stored(doubtful, f"{name}-doubtful")
+    mark = row_mark(text_or_empty(docs[text_col]))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        docs[id_col].alias("id"),
+        mark.alias("row_mark"),
+        F.when(docs[id_col].isNotNull(), F.xxhash64(docs[id_col], mark)).alias("key"),
+    )
+    marked = perhaps_in(perhaps_in(rows, "key", gone_bits, "gone"), "key", spared_bits, "spared")
+    left = marked.where("id is null or not gone or spared")
+    found = (left["id"] == doubtful["doc_id"]) & (left["row_mark"] == doubtful["mark"])
+    return left.join(doubtful, found, "left_anti").select("row.*")
+
+
 def spread_groups(
     rows: DataFrame,
     key: str,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import ascii_lower, bitmap_of, perhaps_in, spread_groups, stored, text_or_empty
+from rowtide.llm.common import ascii_lower, bitmap_of, drop_rows, perhaps_in, row_mark, spread_groups, stored, text_or_empty
 
 PREFIX_CHARS = 256
 
@@ -38,6 +38,13 @@ def find_copies(
     group of null ids only has a null ``keep_id`` and is kept. Other columns are not read. An empty
     table gives an empty result.
     """
+    return _grouped(docs, id_col, text_col, fold_case, prefix_chars, digest_all).drop("mark")
+
+
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, fold_case: bool, prefix_chars: int, digest_all: bool
+) -> DataFrame:
+    """``find_copies`` with ``mark``, which tells rows of one id apart by their text."""
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     lengths = texts.select(F.octet_length("text").alias("n")).groupBy("n").count().where("count > 1")
@@ -53,32 +60,33 @@ def find_copies(
     full = F.unhex(F.sha2(_normal(F.col("text"), fold_case), 256))
     shared = F.col("same_length") & F.col("same_head")
     digest = full if digest_all else F.when(shared, full)
-    rows = stored(known.select("doc_id", shared.alias("shared"), digest.alias("digest")), "digests")
+    marked = known.select("doc_id", row_mark(F.col("text")).alias("mark"), shared.alias("shared"), digest.alias("digest"))
+    rows = stored(marked, "digests")
 
     alone = rows.where(~F.col("shared")).select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest"
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest", "mark"
     )
     grouped = spread_groups(
-        rows.where("shared").select("doc_id", "digest"),
+        rows.where("shared").select("doc_id", "digest", "mark"),
         "digest",
         "doc_id",
         {"keep_id": ("max", "doc_id"), "group_size": ("count", "doc_id")},
-    ).select("doc_id", "keep_id", "group_size", "digest")
+    ).select("doc_id", "keep_id", "group_size", "digest", "mark")
     return alone.unionByName(grouped).select(
         "doc_id",
         "keep_id",
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "mark",
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text another row with a larger id holds; all columns stay.
 
-    Rows are told apart by id and text. Rows equal in both stay together, rows with a null id stay.
+    Rows are told apart by id and text. Rows equal in both stay together, rows with a null id stay. Only texts
+    that share length and beginning are hashed in full, and none is shuffled.
     """
-    copies = find_copies(docs, id_col, text_col).where("not kept").select("doc_id", "text_sha256")
-    digest = F.sha2(ascii_lower(text_or_empty(docs[text_col])), 256)
-    same = (docs[id_col] == copies["doc_id"]) & (digest == copies["text_sha256"])
-    return docs.join(copies, same, "left_anti")
+    copies = _grouped(docs, id_col, text_col, fold_case=True, prefix_chars=PREFIX_CHARS, digest_all=False)
+    return drop_rows(docs, id_col, text_col, copies, "copies")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import in_order, stored
+from rowtide.llm.common import in_order, spread_groups, stored
 
 # Levels a builder works through; its block has 2 ** HEIGHT leaves at most.
 HEIGHT = 8
@@ -267,22 +267,26 @@ def manifest(docs: DataFrame, forged: Column | None = None, height: int = HEIGHT
         leaf_digest(docs).alias("digest"),
         (F.lit(None).cast("binary") if forged is None else forged).alias("forged"),
     )
-    trees = build(_numbered(leaves, ["_id", "digest"], "leaves"), "log", height)
+    trees = build(_numbered(leaves, ["_id", "digest"], "leaves", height), "log", height)
     subroots = trees.roots().select(
         F.lit("").alias("tree"),
         F.col("tree").alias("label"),
         F.col("root").alias("digest"),
         F.lit(None).cast("binary").alias("forged"),
     )
-    return trees, build(_numbered(subroots, ["label"], "subroots"), "top", height)
+    return trees, build(_numbered(subroots, ["label"], "subroots", height), "top", height)
 
 
-def _numbered(leaves: DataFrame, order: list[str], name: str) -> DataFrame:
-    placed = in_order(leaves, f"merkle-{name}", "tree", order)
-    # One row per tree.
-    sizes = placed.groupBy("tree").agg(F.max("place").alias("_last"))
-    return placed.join(sizes, "tree").select(
-        "tree", "place", (F.col("_last") + 1).alias("n"), "label", "digest", "forged"
+def _numbered(leaves: DataFrame, order: list[str], name: str, height: int) -> DataFrame:
+    """Add ``place`` and ``n``, its tree's number of leaves, which goes from tree to blocks to rows: no tree is one task."""
+    placed = stored(
+        in_order(leaves, f"merkle-{name}", "tree", order).withColumn("block", F.shiftright("place", height)),
+        f"merkle-placed-{name}",
+    )
+    blocks = placed.groupBy("tree", "block").agg(F.max("place").alias("_upto"))
+    sized = spread_groups(blocks, "tree", "block", {"_last": ("max", "_upto")})
+    return placed.join(sized.select("tree", "block", (F.col("_last") + 1).alias("n")), ["tree", "block"]).select(
+        "tree", "place", "n", "label", "digest", "forged"
     )
 
 

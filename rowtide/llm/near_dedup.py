@@ -21,7 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.bpe import Memo
-from rowtide.llm.common import bitmap_of, perhaps_in, remember_only, small_batches, spread_groups, stored, text_or_empty
+from rowtide.llm.common import (
+    bitmap_of,
+    drop_rows,
+    perhaps_in,
+    remember_only,
+    row_mark,
+    small_batches,
+    spread_groups,
+    stored,
+    text_or_empty,
+)
 
 SHINGLE = 5
 PERCENT = 75
@@ -85,8 +95,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             signatures.append(signature(found).tobytes() if len(found) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())],
-            ["doc_id", "n_shingles", "set_key", "signature"],
+            [
+                *(batch.column(c) for c in ("doc_id", "mark")),
+                pa.array(sizes, pa.int64()),
+                pa.array(keys, pa.binary()),
+                pa.array(signatures, pa.binary()),
+            ],
+            ["doc_id", "mark", "n_shingles", "set_key", "signature"],
         )
 
 
@@ -191,8 +206,10 @@ def components(links: DataFrame) -> DataFrame:
 class _Forest:
     """Signatures and texts of the class representatives, and the components found so far."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame):
+    def __init__(self, docs: DataFrame, classes: DataFrame, strangers: DataFrame):
         self.docs, self.classes = docs, classes
+        # Rows that have a representative's id, but another text.
+        self.strangers = None if strangers.isEmpty() else strangers
         self.brief = classes.select("v", "brief")
         self.roots: DataFrame | None = None
         self.tried: DataFrame | None = None
@@ -205,7 +222,10 @@ class _Forest:
 
     def texts(self, ids: DataFrame) -> DataFrame:
         """(doc_id, text) of the ids in a bitmap: perhaps of a few more."""
-        return perhaps_in(self.docs, "doc_id", ids, "wanted").where("wanted").select("doc_id", "text")
+        wanted = perhaps_in(self.docs, "doc_id", ids, "wanted").where("wanted")
+        if self.strangers is not None:
+            wanted = wanted.join(self.strangers, ["doc_id", "mark"], "left_anti")
+        return wanted.select("doc_id", "text")
 
     def sets(self, ids: DataFrame) -> DataFrame:
         """(v, set) of the ids in a bitmap, worked out again from their texts."""
@@ -342,15 +362,33 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept. Other columns are not read, an empty table gives an empty result. A link of
     similarity 0.75 is missed by all trees with probability 5e-6 (0.6836 to the power of 32), closer ones far less.
     """
-    texts = small_batches(docs).select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    signed = stored(texts.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, signature binary"), "signed")
+    return _components(docs, id_col, text_col).drop("mark")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``near_copies`` with ``mark``, which tells rows of one id apart by their text."""
+    text = text_or_empty(text_col)
+    texts = small_batches(docs).select(F.col(id_col).alias("doc_id"), row_mark(text).alias("mark"), text.alias("text"))
+    signs = "doc_id long, mark long, n_shingles long, set_key binary, signature binary"
+    signed = stored(texts.mapInArrow(_sign, signs), "signed")
     named = signed.where("set_key is not null and doc_id is not null")
     # Equal sets are one class, known by its smallest id.
     classes = stored(
-        named.groupBy("set_key").agg(F.min("doc_id").alias("v"), F.first("signature").alias("signature")), "classes"
+        named.groupBy("set_key")
+        .agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("signature").alias("signature"))
+        .select(F.col("first.doc_id").alias("v"), F.col("first.mark").alias("own"), "signature"),
+        "classes",
+    )
+    strangers = stored(
+        named.join(classes.select("v", "own"), F.col("doc_id") == F.col("v"))
+        .groupBy("doc_id", "mark")
+        .agg(F.max(F.col("mark") == F.col("own")).alias("first"))
+        .where("not first")
+        .select("doc_id", "mark"),
+        "strangers",
     )
     brief = F.unhex(F.regexp_replace(F.hex("signature"), "(..)......", "$1")).alias("brief")
-    forest = _Forest(texts, classes.select("v", "signature", brief))
+    forest = _Forest(texts, classes.select("v", "signature", brief), strangers)
 
     crowded = forest.search()
     if not crowded.isEmpty():
@@ -359,16 +397,22 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def with_root(totals: DataFrame) -> DataFrame:
         return forest.root_of(totals, "least", "component_id")
 
-    same = spread_groups(
-        named.select("doc_id", "n_shingles", "set_key"), "set_key", "doc_id", {"least": ("min", "doc_id")}, with_root
-    ).select("doc_id", "n_shingles", "component_id")
-    alone = signed.where("set_key is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    kept = ["doc_id", "mark", "n_shingles", "component_id"]
+    rows = named.select("doc_id", "mark", "n_shingles", "set_key")
+    same = spread_groups(rows, "set_key", "doc_id", {"least": ("min", "doc_id")}, with_root).select(kept)
+    alone = signed.where("set_key is null or doc_id is null").withColumn("component_id", F.col("doc_id")).select(kept)
     return same.unionByName(alone).select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "mark",
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; all columns stay."""
-    gone = near_copies(docs, id_col, text_col).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, docs[id_col] == gone["doc_id"], "left_anti")
+    """``docs`` with the rows of each component's smallest id, and rows with a null id; all columns stay.
+
+    Rows are told apart by id and text, so an id may come with several texts; no text is shuffled for the choice.
+    """
+    return drop_rows(docs, id_col, text_col, _components(docs, id_col, text_col), "near")

@@ -187,26 +187,40 @@ def _parted(data: bytes) -> list[str]:
     return zstandard.decompress(data).decode("utf-8").split(" ")
 
 
-def _codes_packed(codes: array.array) -> bytes:
-    """Chunk numbers in text order. They are given out as chunks appear, so a new one needs no number: 0, others one more."""
-    numbers = np.frombuffer(codes, np.uint32)
-    _, first = np.unique(numbers, return_index=True)
-    sent = numbers + np.uint32(1)
-    sent[first] = 0
+def _numbered(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each chunk occurs, by first appearance, and the chunks' order by that: the commonest is number 0."""
+    counts = np.bincount(seen)
+    return counts, _by_count(counts)
+
+
+def _by_count(counts: np.ndarray) -> np.ndarray:
+    return np.argsort(-counts.astype(np.int64), kind="stable")
+
+
+def _codes_packed(seen: np.ndarray, order: np.ndarray) -> bytes:
+    """Chunk numbers in text order, one more each; a chunk that appears first is 0, as the counts tell its number."""
+    number = np.empty(len(order), np.uint32)
+    number[order] = np.arange(1, len(order) + 1, dtype=np.uint32)
+    sent = number[seen]
+    sent[np.unique(seen, return_index=True)[1]] = 0
     return _packed(sent, effort=9)
 
 
-def _codes_unpacked(data: bytes) -> np.ndarray:
-    sent = _unpacked(data)
+def _codes_unpacked(codes: bytes, counts: bytes) -> np.ndarray:
+    sent, order = _unpacked(codes).astype(np.int64), _by_count(_unpacked(counts))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
     new = sent == 0
-    return np.where(new, np.cumsum(new) - 1, sent.astype(np.int64) - 1)
+    sent -= 1
+    sent[new] = number[: new.sum()]
+    return sent
 
 
-SLICE = ["slice", "ids", "sizes", "codes", "chunks", "n_bytes"]
+SLICE = ["slice", "ids", "sizes", "codes", "counts", "chunks", "n_bytes"]
 
 
 def _code(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each slice: its texts' ids, how many chunks each has, the chunks' numbers and the chunks."""
+    """A row for each slice: its texts' ids, how many chunks each has, the chunks' numbers, counts and the chunks."""
     model = load(path)
     number = TaskContext.get().partitionId() << 32
     known: dict[str, int] = {}
@@ -214,13 +228,16 @@ def _code(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     sizes, codes, size = [], array.array("I"), 0
 
     def out() -> pa.RecordBatch:
-        listed = pa.concat_arrays(ids)
-        chunks = list(known)
+        listed, chunks = pa.concat_arrays(ids), list(known)
+        seen = np.array(codes, np.uint32)
+        counts, order = _numbered(seen)
+        chunks = [chunks[i] for i in order.tolist()]
         columns = [
             pa.array([number], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed),
             pa.array([_packed(sizes)], pa.binary()),
-            pa.array([_codes_packed(codes)], pa.binary()),
+            pa.array([_codes_packed(seen, order)], pa.binary()),
+            pa.array([_packed(counts)], pa.binary()),
             pa.array([_joined(chunks) if chunks else None], pa.binary()),
             pa.array([sum(map(len, chunks))], pa.int64()),
         ]
@@ -253,7 +270,8 @@ def _deal(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                 codes, chunks = dealt[zlib.crc32(chunk.encode("utf-8")) % buckets]
                 codes.append(code)
                 chunks.append(chunk)
-            filled = [(b, _packed(codes), _joined(chunks)) for b, (codes, chunks) in enumerate(dealt) if codes]
+            # Numbers rise within a bucket: their steps are small.
+            filled = [(b, _packed(np.diff(c, prepend=0)), _joined(words)) for b, (c, words) in enumerate(dealt) if c]
             columns = [pa.array(column, kind) for column, kind in zip(zip(*filled), (pa.int32(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(
                 [columns[0], pa.array([slice_no] * len(filled), pa.int64()), *columns[1:]],
@@ -287,7 +305,8 @@ def _table_of(model: PieceModel, segmented: pa.Table) -> list[list[int]]:
     for codes, lengths, ids in zip(*(segmented.column(c) for c in ("codes", "lengths", "ids"))):
         ends = np.cumsum(_unpacked(lengths.as_py())).tolist()
         flat = _unpacked(ids.as_py(), model.id_bytes).tolist()
-        rows += [(c, flat[a:b]) for c, a, b in zip(_unpacked(codes.as_py()).tolist(), [0, *ends], ends)]
+        numbers = np.cumsum(_unpacked(codes.as_py()), dtype=np.int64).tolist()
+        rows += [(c, flat[a:b]) for c, a, b in zip(numbers, [0, *ends], ends)]
     table: list[list[int]] = [[]] * len(rows)
     for code, ids in rows:
         table[code] = ids
@@ -296,8 +315,9 @@ def _table_of(model: PieceModel, segmented: pa.Table) -> list[list[int]]:
 
 def _texts_of(texts: pa.Table) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Ids, ends and chunk numbers of a slice's texts."""
-    for ids, sizes, codes in zip(*(texts.column(c) for c in ("ids", "sizes", "codes"))):
-        yield ids.values, np.cumsum(_unpacked(sizes.as_py()), dtype=np.int64), _codes_unpacked(codes.as_py())
+    for ids, sizes, codes, counts in zip(*(texts.column(c) for c in ("ids", "sizes", "codes", "counts"))):
+        ends = np.cumsum(_unpacked(sizes.as_py()), dtype=np.int64)
+        yield ids.values, ends, _codes_unpacked(codes.as_py(), counts.as_py())
 
 
 def _rejoin(path: str, texts: pa.Table, segmented: pa.Table) -> pa.Table:
@@ -339,7 +359,7 @@ def _redigest(path: str, texts: pa.Table, segmented: pa.Table) -> pa.Table:
 def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, finish, columns: str) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     ids = texts.schema["doc_id"].dataType.simpleString()
-    schema = f"slice long, ids array<{ids}>, sizes binary, codes binary, chunks binary, n_bytes long"
+    schema = f"slice long, ids array<{ids}>, sizes binary, codes binary, counts binary, chunks binary, n_bytes long"
     coded = stored(small_batches(texts).mapInArrow(functools.partial(_code, path), schema), "chunk-codes")
     slices = coded.where("chunks is not null")
     n_bytes = slices.agg(F.sum("n_bytes")).first()[0] or 0
@@ -350,7 +370,7 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, finish, col
     )
     segmented = dealt.groupBy("bucket").applyInArrow(lambda bucket: _segment(path, bucket), SEGMENTED)
     return (
-        coded.select("slice", "ids", "sizes", "codes")
+        coded.select("slice", "ids", "sizes", "codes", "counts")
         .groupBy("slice")
         .cogroup(segmented.groupBy("slice"))
         .applyInArrow(lambda texts, chunks: finish(path, texts, chunks), f"doc_id {ids}, {columns}")

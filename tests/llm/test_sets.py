@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from conftest import ODD
 
-from rowtide.llm import chat_format, near_dedup
+from rowtide.llm import chat_format, common, exact_dedup, near_dedup
 from rowtide.llm.queries import CHAT_SQL, ENTRIES, EXACT_SQL
 
 
@@ -77,6 +77,43 @@ def test_near_copies(documents, monkeypatch, region):
     assert near_dedup.near_copies(documents([])).count() == 0
 
 
+def test_ids_that_repeat_lose_no_document(documents):
+    rng = random.Random(8)
+    a, b, c, x = (" ".join(f"w{rng.randrange(9000)}" for _ in range(60)) for _ in range(4))
+    rows = [(5, a), (9, a), (3, b), (5, b), (7, c), (8, b + " more"), (2, x), (None, a), (None, None), (4, None)]
+    kept = [(None, a), (None, None), (2, x), (3, b), (4, None), (5, a), (7, c)]
+    order = lambda rows: sorted(map(str, rows))
+    df = documents(rows)
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_copies(df).collect() if r.doc_id is not None}
+    # Text b under id 5 does not tie what is near to it to the copies of a.
+    assert got == {(5, 5, True), (9, 5, False), (3, 3, True), (5, 3, False), (7, 7, True), (8, 3, False), (2, 2, True), (4, 4, True)}
+    left = near_dedup.drop_near_copies(df)
+    assert left.columns == df.columns and order((r.doc_id, r.text) for r in left.collect()) == order(kept)
+    left = exact_dedup.drop_copies(documents([(5, a), (9, a), (3, b), (5, b.upper()), (7, c), (7, c), (None, c), (1, None), (2, "")]))
+    want = [(9, a), (5, b.upper()), (7, c), (7, c), (None, c), (2, "")]
+    assert order((r.doc_id, r.text) for r in left.collect()) == order(want)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 15])
+def test_rows_are_dropped_exactly_where_bitmaps_are_crowded(spark, documents, monkeypatch, bits):
+    for name in ("bitmap_of", "perhaps_in"):
+        plain = getattr(common, name)
+        monkeypatch.setattr(common, name, lambda *given, plain=plain: plain(*given, bits=bits))
+    texts = [(k, f"text {k % 97}") for k in range(400)]
+    df = documents(texts)
+    verdicts = df.select("doc_id", common.row_mark(df["text"]).alias("mark"), (df["doc_id"] % 3 != 0).alias("kept"))
+    left = common.drop_rows(df, "doc_id", "text", verdicts, "test")
+    assert sorted(r.doc_id for r in left.collect()) == [k for k in range(400) if k % 3]
+    assert common.drop_rows(df.limit(0), "doc_id", "text", verdicts, "test").count() == 0
+
+
+def test_no_text_is_shuffled(documents):
+    for drop in (exact_dedup.drop_copies, near_dedup.drop_near_copies):
+        plan = drop(documents([(k, f"some words here {k % 5}") for k in range(40)]))._jdf.queryExecution().executedPlan().toString()
+        rows = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line or "SortMergeJoin" in line]
+        assert not rows, rows
+
+
 def test_queries_against_sql(spark, small):
     con = duckdb.connect()
     for name in ("documents", "conversations"):

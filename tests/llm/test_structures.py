@@ -233,6 +233,8 @@ def test_pieces_as_the_library(documents, pieces, monkeypatch):
     whole = [(i, len(ids), sha(",".join(map(str, ids))), sha(text)) for i, ids, text in want]
     assert sorted(map(str, map(tuple, short))) == sorted(map(str, whole))
     assert sentencepieces.digests(documents([]), PIECE_MODEL).count() == 0
+    empty = sentencepieces.encode_decode(documents([(1, ""), (2, None)]), PIECE_MODEL).collect()
+    assert sorted(map(tuple, empty)) == [(1, [], ""), (2, [], "")]
 
 
 def test_slices_of_one_text(pieces, monkeypatch):
@@ -252,7 +254,7 @@ def test_slices_of_one_text(pieces, monkeypatch):
     for r in rows:
         table = sentencepieces._parted(r["chunks"]) if r["chunks"] else []
         assert len(set(table)) == len(table)
-        codes = iter(sentencepieces._codes_unpacked(r["codes"]).tolist())
+        codes = iter(sentencepieces._codes_unpacked(r["codes"], r["counts"]).tolist())
         for doc_id, size in zip(r["ids"], sentencepieces._unpacked(r["sizes"])):
             seen.append((doc_id, [table[next(codes)] for _ in range(size)]))
         assert next(codes, None) is None
