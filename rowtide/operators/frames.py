@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions import binary as b
 from rowtide.functions.lsn import lsn_text_at, server_time
+from rowtide.functions.plan import settle
 
 HEADER = 25  # bytes before the message in a data frame: tag, start, end, time
 MESSAGE = HEADER + 1  # position of the message's first byte
@@ -105,7 +106,7 @@ def classify(frames: DataFrame) -> DataFrame:
     byte only. A transaction boundary cut short is fatal; a row message cut
     short, an unknown tag or an empty message is a record error.
     """
-    return (
+    classed = (
         _enveloped(frames)
         .selectExpr("*", f"if(frame_kind = 'data', {b.byte('payload', MESSAGE)}, NULL) AS tag")
         .selectExpr("*", f"if(frame_kind = 'keepalive', 'keepalive', coalesce({_KIND}, 'error')) AS kind")
@@ -118,6 +119,10 @@ def classify(frames: DataFrame) -> DataFrame:
         )
         # What may be read: NULL for every kind of error.
         .selectExpr("*", "if(error_class IS NULL, kind, NULL) AS whole")
+    )
+    # A filter on a field below is not copied down into what the fields are read by.
+    return (
+        settle(classed, "frame_kind", "tag", "kind", "error_class", "whole")
         .selectExpr(
             "session_id",
             "frame_no",

@@ -1,71 +1,19 @@
-"""Variable-length parts of a message: row images, relation descriptions, truncates.
+"""Variable-length parts of rare messages (relation descriptions, truncates), and names of image columns.
 
-Each walk is an ``aggregate`` that carries a byte position, so it stays in the
-JVM and touches every byte once. A position turns NULL as soon as the message
-is found malformed and stays NULL. The functions return Spark SQL text.
+A description is walked by an ``aggregate`` that carries a byte position. The position turns NULL as
+soon as the message is found malformed and stays NULL. The functions return Spark SQL text. Row
+images, of which there are many, are read a batch at a time in ``rowtide.operators.images``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from rowtide.constants import UNKNOWN_COLUMN
 from rowtide.functions import binary as b
+from rowtide.operators.images import VALUE
 
-VALUE = "struct<state:string,value:string>"
 IMAGE = f"map<string,{VALUE}>"
 COLUMNS = "array<struct<name:string,is_key:boolean,type_id:bigint,type_modifier:int>>"
 
-# Cell positions are collected in chunks and the chunks joined, so a tuple of n
-# columns copies about n * n / CHUNK numbers instead of n * n.
-CHUNK = 64
-
-
-def tuple_bounds(data: str, start: str, size: str) -> str:
-    """Positions of the cells of the row image at ``start``, then its end.
-
-    n columns give n + 1 positions. The last one is 0 when the image is
-    malformed: it ends early or has a cell of unknown kind. Bytes after the
-    image are ignored.
-    """
-    pos = "element_at(cells, -1)"
-    after = f"""CASE WHEN {pos} = 0 THEN 0L
-                     WHEN {b.byte(data, pos)} IN ({b.tags('t', 'b')}) AND {pos} + 4 <= {size}
-                     THEN {b.uint32(data, f'{pos} + 1')} + {pos} + 5
-                     WHEN {b.byte(data, pos)} IN ({b.tags('n', 'u')}) THEN {pos} + 1L ELSE 0L END"""
-    # A length running past the end leaves no position, and the rest none either.
-    within = b.let(after, "after", f"if(after <= {size} + 1, cast(after AS int), 0)")
-    step = f"(cells, i) -> array_append(cells, {within})"
-    begin = f"array(cast({start} + 2 AS int))"
-    chunk = f"""aggregate(sequence(1, least(n - c * {CHUNK}, {CHUNK})), array(element_at(seen, -1)), {step},
-                    part -> concat(seen, slice(part, 2, size(part) - 1)))"""
-    walk = f"""CASE WHEN n = 0 THEN {begin}
-        WHEN n <= {CHUNK} THEN aggregate(sequence(1, n), {begin}, {step})
-        ELSE aggregate(sequence(0, (n - 1) div {CHUNK}), {begin}, (seen, c) -> {chunk}) END"""
-    count = f"if({start} + 1 <= {size}, {b.uint16(data, start)}, -1)"
-    return b.let(count, "n", f"if(n < 0, array(0), {walk})")
-
-
-def image_end(bounds: str) -> str:
-    """Position after the image, 0 when it is malformed, NULL when there is none."""
-    return f"if({bounds} IS NULL, NULL, element_at({bounds}, -1))"
-
-
-def image_values(data: str, bounds: str) -> str:
-    """``array<struct<state, value>>`` of the image with these cell positions."""
-    body = f"substring({data}, pos + 5, get({bounds}, i + 1) - pos - 5)"
-
-    def value(state: str, text: str) -> str:
-        return f"named_struct('state', '{state}', 'value', {text})"
-
-    null = "cast(NULL AS string)"
-    return f"""transform(slice({bounds}, 1, size({bounds}) - 1), (pos, i) ->
-        CASE {b.byte(data, 'pos')} WHEN {b.tags('t')} THEN {value('t', b.lossy_text(body))}
-            WHEN {b.tags('n')} THEN {value('n', null)}
-            WHEN {b.tags('u')} THEN {value('u', null)}
-            ELSE {value('t', b.hex_text(body))} END)"""
-
 
 def row_image(values: str, names: str) -> str:
     """Pair column values with column names.
@@ -78,15 +26,6 @@ def row_image(values: str, names: str) -> str:
     return f"map_from_arrays(if({exact}, {names}, {padded}), {values})"
 
 
-def is_unchanged(value: Column) -> Column:
-    return value["state"] == "u"
-
-
-def text_of(value: Column) -> Column:
-    """The text of a sent, non-null column; NULL for the two other states."""
-    return F.when(value["state"] == "t", value["value"])
-
-
 def decode_relation(data: str, base: int = 1) -> str:
     """``struct<schema, table, columns>`` of the relation message at ``base``, NULL if malformed."""
     size = f"octet_length({data})"

@@ -4,7 +4,9 @@ A description holds from its own frame to the next one of the same relation
 in the same session. Rows find theirs by an interval join on
 ``(session_id, rel_id)`` and ``frame_no``; the descriptions are few, so they
 are broadcast while they measure small, and otherwise both sides are cut into
-frame ranges so that one busy table spreads over many tasks.
+frame ranges so that one busy table spreads over many tasks. A range gets the
+descriptions that begin in it and the one in force where it starts, and only
+ranges that hold rows get any.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from rowtide.constants import UNKNOWN_SCHEMA_PREFIX, UNKNOWN_TABLE
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 RANGE_WIDTH = 1 << 20  # frames per range; bounds the rows sharing one join key
+RANGES_PER_BLOCK = 1 << 12  # ranges of a key looked back over at a time
+SPREAD = 64  # parts the ranges of one long-lived description are dealt to
 
 
 def _range_of(frame_no: Column, width: int) -> Column:
@@ -48,57 +52,91 @@ def validity(descriptions: DataFrame, keys: list[str], rows: int, width: int = R
     )
 
 
+def in_force(touched: DataFrame, intervals: DataFrame, keys: list[str], width: int = RANGE_WIDTH) -> DataFrame:
+    """The interval in force where each touched range starts: ``(*keys, _range, valid_from)``.
+
+    ``touched(*keys, _range)`` are the ranges that hold rows. The latest start before a range comes
+    from the ranges before it in its block, else from the blocks before, so a key with very many
+    ranges is never one task.
+    """
+    begun = intervals.groupBy(*keys, _range_of(F.col("valid_from"), width).alias("_range")).agg(
+        F.max("valid_from").alias("_last")
+    )
+    asked = touched.select(*keys, "_range", F.lit(None).cast("bigint").alias("_last"), F.lit(True).alias("_asked"))
+    steps = (
+        asked.unionByName(begun.withColumn("_asked", F.lit(False)))
+        .groupBy(*keys, "_range")
+        .agg(F.max("_last").alias("_last"), F.max("_asked").alias("_asked"))
+        .withColumn("_block", F.floor(F.col("_range") / RANGES_PER_BLOCK))
+    )
+
+    def before(window):
+        return window.rowsBetween(Window.unboundedPreceding, -1)
+
+    blocks = (
+        steps.groupBy(*keys, "_block")
+        .agg(F.max("_last").alias("_last"))
+        .select(*keys, "_block", F.max("_last").over(before(Window.partitionBy(*keys).orderBy("_block"))).alias("_carried"))
+    )
+    inside = before(Window.partitionBy(*keys, "_block").orderBy("_range"))
+    return (
+        steps.withColumn("_inside", F.max("_last").over(inside))
+        .filter("_asked")
+        .join(blocks, [*keys, "_block"])
+        .select(*keys, "_range", F.coalesce("_inside", "_carried").alias("valid_from"))
+        .filter(F.col("valid_from").isNotNull())
+    )
+
+
+def by_range(touched: DataFrame, intervals: DataFrame, keys: list[str], width: int = RANGE_WIDTH) -> DataFrame:
+    """``intervals`` with the ``_range`` they are needed in: where they begin, and touched ranges they last into.
+
+    Has at most one row per interval and one per touched range, however far apart frame numbers are.
+    """
+    needed = in_force(touched, intervals, keys, width).withColumn("_part", F.pmod("_range", F.lit(SPREAD)))
+    # An interval that lasts over very many ranges goes to them in parts.
+    parts = needed.select(*keys, "valid_from", "_part").distinct().join(intervals, [*keys, "valid_from"])
+    lasting = needed.join(parts, [*keys, "valid_from", "_part"]).filter(
+        F.col("valid_to").isNull() | (F.col("valid_to") > F.col("_range") * width)
+    )
+    columns = [*intervals.columns, "_range"]
+    begun = intervals.withColumn("_range", _range_of(F.col("valid_from"), width))
+    return begun.select(columns).unionByName(lasting.select(columns))
+
+
 def interval_join(
     rows: DataFrame,
     intervals: DataFrame,
     keys: list[str],
     how: str,
     size_bytes: int,
-    last_frames: DataFrame,
     limit: int = BROADCAST_LIMIT_BYTES,
     width: int = RANGE_WIDTH,
 ) -> DataFrame:
     """Join ``rows`` with the interval their ``frame_no`` falls into.
 
     ``intervals`` has the key columns, ``valid_from`` (inclusive),
-    ``valid_to`` (exclusive, NULL = open) and payload columns. ``size_bytes``
-    is its measured size. ``last_frames(session_id, last_frame)`` closes open
-    intervals on the path that cuts them into ranges.
+    ``valid_to`` (exclusive, NULL = open) and payload columns; those of one key do not overlap.
+    ``size_bytes`` is its measured size.
     """
-    right = intervals.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[F.col(c) for c in intervals.columns if c not in keys],
-    )
     inside = (F.col("frame_no") >= F.col("valid_from")) & (
         F.col("valid_to").isNull() | (F.col("frame_no") < F.col("valid_to"))
     )
-    same_key = [F.col(k) == F.col(f"_k_{k}") for k in keys]
-    if size_bytes <= limit:
-        condition = inside
-        for match in same_key:
-            condition = match & condition
-        return rows.join(F.broadcast(right), condition, how).drop(
-            *[f"_k_{k}" for k in keys], "valid_from", "valid_to"
-        )
-    ends = last_frames.select(F.col("session_id").alias("_k_session_id"), "last_frame")
-    cut = (
-        right.join(ends, "_k_session_id", "inner")
-        .withColumn("_end", F.coalesce(F.col("valid_to") - 1, F.col("last_frame")))
-        .filter(F.col("_end") >= F.col("valid_from"))
-        .withColumn(
-            "_k_range",
-            F.explode(F.sequence(_range_of(F.col("valid_from"), width), _range_of(F.col("_end"), width))),
-        )
-        .drop("last_frame", "_end")
-    )
-    condition = inside & (F.col("_range") == F.col("_k_range"))
-    for match in same_key:
-        condition = match & condition
-    return (
-        rows.withColumn("_range", _range_of(F.col("frame_no"), width))
-        .join(cut, condition, how)
-        .drop(*[f"_k_{k}" for k in keys], "_range", "_k_range", "valid_from", "valid_to")
+    on = list(keys)
+    if size_bytes > limit:
+        rows = rows.withColumn("_range", _range_of(F.col("frame_no"), width))
+        intervals = by_range(rows.select(*keys, "_range").distinct(), intervals, keys, width)
+        on.append("_range")
+    right = intervals.select(
+        *[F.col(k).alias(f"_k_{k}") for k in on],
+        *[F.col(c) for c in intervals.columns if c not in on],
     )
+    condition = inside
+    for k in on:
+        condition = (F.col(k) == F.col(f"_k_{k}")) & condition
+    if size_bytes <= limit:
+        right = F.broadcast(right)
+    return rows.join(right, condition, how).drop(*[f"_k_{k}" for k in on], "_range", "valid_from", "valid_to")
 
 
 def schema_or_unknown(schema: Column, rel_id: Column) -> Column:

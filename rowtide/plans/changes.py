@@ -21,6 +21,7 @@ from rowtide.constants import DML
 from rowtide.functions import binary as b
 from rowtide.functions.plan import settle
 from rowtide.operators import frames as fr
+from rowtide.operators import images as im
 from rowtide.operators import messages as ms
 from rowtide.operators import relations as rel
 from rowtide.session import configure, write_shared
@@ -76,7 +77,6 @@ class Control:
     relation_bytes: int
     truncates: int
     fatal_sessions: int
-    last_frames: DataFrame
 
     def descriptions(self) -> DataFrame:
         good = (F.col("kind") == "relation") & F.col("error_class").isNull()
@@ -153,7 +153,6 @@ def read_control(frames: DataFrame, prior: DataFrame | None = None) -> Control:
         relation_bytes=sizes["relation_bytes"],
         truncates=sizes["truncates"],
         fatal_sessions=sizes["fatal"],
-        last_frames=frames.groupBy("session_id").agg(F.max("frame_no").alias("last_frame")),
     )
 
 
@@ -167,7 +166,7 @@ def _cut_after_fatal(rows: DataFrame, control: Control, limit: int, width: int)
         F.lit(None).cast("bigint").alias("valid_to"),
     )
     return rel.interval_join(
-        rows, after, ["session_id"], "left_anti", control.fatal_sessions * 128, control.last_frames, limit, width
+        rows, after, ["session_id"], "left_anti", control.fatal_sessions * 128, limit, width
     )
 
 
@@ -195,7 +194,6 @@ def resolve_rows(classified: DataFrame, control: Control, limit: int, width: int
             ["session_id", "rel_id"],
             "left",
             control.relation_bytes,
-            control.last_frames,
             limit,
             width,
         )
@@ -221,69 +219,48 @@ def decode_rows(resolved: DataFrame, images: bool = True) -> DataFrame:
     plain = [c for c in kept if c not in ("payload", "size", "names")]
     dml = ", ".join(f"'{op}'" for op in DML)
     flag = b.byte("payload", fr.MESSAGE + 5)
-    walked = (
-        # What a row message holds: its first image, for an update possibly a
-        # second one, or nothing readable.
-        resolved.selectExpr(
-            "*",
-            f"""CASE WHEN error_class IS NOT NULL OR kind NOT IN ({dml}) THEN 'none'
-                     WHEN kind <> 'update' OR {flag} = {b.tags('N')} THEN 'one'
-                     WHEN {flag} IN ({b.tags('O', 'K')}) THEN 'two' ELSE 'unreadable' END AS _images""",
-        )
-        .selectExpr(
-            "*",
-            f"""if(_images IN ('one', 'two'),
-                {ms.tuple_bounds('payload', str(fr.MESSAGE + 6), 'size')}, NULL) AS _first""",
-        )
-        .selectExpr("*", f"{ms.image_end('_first')} AS _after")
-        # One byte separates the two images of an update.
-        .selectExpr(
-            "*",
-            f"""if(_images = 'two' AND _after > 0,
-                {ms.tuple_bounds('payload', '(_after + 1)', 'size')}, NULL) AS _second""",
-        )
+    counted = resolved.selectExpr(
+        "*",
+        # How many images a row message holds: one, for an update possibly two, or nothing readable (-1).
+        f"""CASE WHEN error_class IS NOT NULL OR kind NOT IN ({dml}) THEN 0
+                 WHEN kind <> 'update' OR {flag} = {b.tags('N')} THEN 1
+                 WHEN {flag} IN ({b.tags('O', 'K')}) THEN 2 ELSE -1 END AS _images""",
     )
+    given = (F.col("payload"), F.col("_images"))
+    if images:
+        read = counted.withColumn("_read", im.read_images(*given))
+        malformed = "_read.malformed"
+    else:
+        read = counted.withColumn("_read", im.images_malformed(*given))
+        malformed = "_read"
     checked = (
-        settle(walked, "_first", "_after", "_second")
+        settle(read, "_read")
         .selectExpr(
             *kept,
             "_images",
-            "_first",
-            "_second",
-            f"""CASE WHEN _images = 'none' THEN error
-                     WHEN _images = 'unreadable' THEN concat('unexpected update flag 0x', hex({flag}))
-                     WHEN _after = 0 OR {ms.image_end('_second')} = 0 THEN 'row image malformed' END AS error""",
+            "_read",
+            f"""CASE WHEN _images = 0 THEN error
+                     WHEN _images < 0 THEN concat('unexpected update flag 0x', hex({flag}))
+                     WHEN {malformed} THEN 'row image malformed' END AS error""",
             "error_class AS _class",
         )
         .withColumn("error_class", F.expr("coalesce(_class, if(error IS NULL, NULL, 'record'))"))
     )
     if not images:
         return checked.select(*plain, "error_class", "error")
-    valued = (
-        checked.selectExpr(
-            *plain,
-            "names",
-            "_images",
-            "error_class",
-            "error",
-            f"if(error IS NULL, {ms.image_values('payload', '_first')}, NULL) AS _first",
-            f"if(error IS NULL, {ms.image_values('payload', '_second')}, NULL) AS _second",
-        )
-        .selectExpr(
-            *plain,
-            "names",
-            "if(_images = 'two' OR kind = 'delete', _first, NULL) AS _old",
-            "CASE WHEN _images = 'two' THEN _second WHEN kind <> 'delete' THEN _first END AS _new",
-            "error_class",
-            "error",
-        )
-        .selectExpr(
-            *plain,
-            "error_class",
-            "error",
-            f"{ms.row_image('_old', 'names')} AS old",
-            f"{ms.row_image('_new', 'names')} AS new",
-        )
+    valued = checked.selectExpr(
+        *plain,
+        "names",
+        "if(_images = 2 OR kind = 'delete', _read.first, NULL) AS _old",
+        "CASE WHEN _images = 2 THEN _read.second WHEN kind <> 'delete' THEN _read.first END AS _new",
+        "error_class",
+        "error",
+    ).selectExpr(
+        *plain,
+        "error_class",
+        "error",
+        f"{ms.row_image('_old', 'names')} AS old",
+        f"{ms.row_image('_new', 'names')} AS new",
     )
     return settle(valued, "old", "new")
 
@@ -324,7 +301,6 @@ def truncate_events(control: Control, limit: int, width: int) -> DataFrame:
             ["session_id", "rel_id"],
             "left",
             control.relation_bytes,
-            control.last_frames,
             limit,
             width,
         )

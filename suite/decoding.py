@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import capture
 from rowtide.functions import lsn
 from rowtide.operators import frames as fr
-from rowtide.operators import messages as ms
+from rowtide.operators import images as im
 from rowtide.plans import changes
 from suite.base import broken, events, frames, over_log, query, sql_lsn, table
 
@@ -196,8 +196,8 @@ def column_state(spark, sf_dir):
             "kind",
             F.col("id.state").alias("id_state"),
             F.col("status.state").alias("status_state"),
-            ms.is_unchanged(F.col("status")).alias("unchanged"),
-            ms.text_of(F.col("status")).alias("status"),
+            im.is_unchanged(F.col("status")).alias("unchanged"),
+            im.text_of(F.col("status")).alias("status"),
         )
         .agg(F.count("*").alias("n"))
     )
@@ -264,6 +264,14 @@ def relation_resolution_by_range(spark, sf_dir):
     return _customer_rows(events(spark, sf_dir, broadcast_limit=0, range_width=1 << 14))
 
 
+@query("D17_relation_resolution_by_position", _CUSTOMER)
+def relation_resolution_by_position(spark, sf_dir):
+    # Frames numbered by log position: far apart, in very many ranges.
+    spaced = frames(spark, sf_dir).withColumn("frame_no", F.col("frame_no") * (1 << 24))
+    decoded = changes.decode_changes(spaced, broadcast_limit=0)
+    return _customer_rows(decoded.withColumn("frame_no", F.expr("frame_no div 16777216")))
+
+
 @query(
     "D18_unknown_relation",
     over_log("""SELECT frame_no, "schema", "table", '?' AS names, 'x' AS last_value FROM log WHERE "table" = 'unknown'"""),

@@ -115,6 +115,29 @@ def test_repeated_descriptions_across_ranges(spark):
     assert plain == ranged and len(plain) == 50
 
 
+def test_ranges_get_few_copies_of_descriptions(spark, monkeypatch):
+    from rowtide.operators import relations as rel
+
+    monkeypatch.setattr(rel, "RANGES_PER_BLOCK", 8)
+    width, far = 1 << 20, 1 << 40  # frame numbers are log positions
+    starts = [0, 5, width * 3, far, far + 7, far * 3]
+    begun = spark.createDataFrame([("s", 1, f * k + 1) for k in (1, 1000) for f in starts] + [("s", 2, 9)], "session_id string, rel_id long, frame_no long")
+    described = rel.validity(begun.distinct(), ["session_id", "rel_id"], rows=99).withColumnRenamed("frame_no", "valid_from")
+    frame_nos = sorted({f * k + d for k in (1, 1000) for f in starts for d in (0, 1, 2, width, 40 * width)})
+    rows = spark.createDataFrame([("s", r, f) for r in (1, 2, 3) for f in frame_nos], "session_id string, rel_id long, frame_no long")
+    keys = ["session_id", "rel_id"]
+    touched = rows.select(*keys, rel._range_of(F.col("frame_no"), width).alias("_range")).distinct()
+    copies = rel.by_range(touched, described, keys, width)
+    assert copies.count() <= touched.count() + described.count()
+    assert copies.groupBy(*keys, "_range", "valid_from").count().filter("count > 1").isEmpty()
+    named = described.withColumn("name", F.col("valid_from").cast("string"))
+    for how in ("left", "left_anti"):
+        plain = rel.interval_join(rows, named, keys, how, size_bytes=0)
+        ranged = rel.interval_join(rows, named, keys, how, size_bytes=1, limit=0, width=width)
+        assert plain.columns == ranged.columns
+        assert sorted(map(str, plain.collect())) == sorted(map(str, ranged.collect()))
+
+
 def test_column_states_stay_apart(spark):
     described = wire.xlog(wire.relation(1, b"s", b"t", [b"a", b"b", b"c", b"d", b"e"]))
     row = wire.xlog(wire.insert(1, b"NULL", b"__pgx_unchanged", None, ..., b"A\xffB"))
@@ -210,7 +233,101 @@ def test_filters_move_below_decoding(spark, small):
     plan = events.filter("`table` = 'orders' AND op = 'insert'")._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.split("\n")
     where = next(i for i, line in enumerate(lines) if "Filter" in line and "orders" in line)
-    folds = [i for i, line in enumerate(lines) if "aggregate(sequence" in line]
-    assert folds and max(folds) < where
-    # Each walk appears once, not once per use.
-    assert sum(line.count("aggregate(sequence(0") for line in lines) == 2
+    reads = [i for i, line in enumerate(lines) if "_read(payload" in line]
+    assert reads and max(reads) < where
+    # Images are read once, not once per use.
+    assert len(reads) == 1
+
+
+def brute_image(data, at, end):
+    """Cells of the image at a place and where it ends, read one by one; None if malformed."""
+    if at + 2 > end:
+        return None
+    count, at, cells = int.from_bytes(data[at : at + 2]), at + 2, []
+    for _ in range(count):
+        kind = data[at : at + 1] if at < end else b""
+        if kind in (b"n", b"u"):
+            cells.append((kind.decode(), None))
+            at += 1
+        elif kind in (b"t", b"b") and at + 5 <= end:
+            size = int.from_bytes(data[at + 1 : at + 5])
+            if at + 5 + size > end:
+                return None
+            value = data[at + 5 : at + 5 + size]
+            cells.append(("t", "\\x" + value.hex() if kind == b"b" else value.decode("utf-8", "replace")))
+            at += 5 + size
+        else:
+            return None
+    return cells, at
+
+
+def brute_message(payload, images):
+    if not images:
+        return False, None, None
+    first = brute_image(payload, 31, len(payload))
+    second = brute_image(payload, first[1] + 1, len(payload)) if first and images > 1 else None
+    if first is None or (images > 1 and second is None):
+        return True, None, None
+    return False, first[0], second[0] if second else None
+
+
+def random_image(rng):
+    cells = []
+    for _ in range(rng.choice([0, 1, 3, 9, 40])):
+        kind = rng.choice(b"ttttbnuq" if rng.random() < 0.05 else b"ttttbnu")
+        text = rng.choice(["", "plain", "é中𝕏", "x" * 300]).encode()
+        if rng.random() < 0.1:
+            text = rng.randbytes(rng.randrange(12))
+        size = len(text) if rng.random() > 0.01 else rng.choice([0, 2**32 - 1, 1 << 20])
+        cells.append(bytes([kind]) + (size.to_bytes(4) + text if kind in b"tb" else b""))
+    return (len(cells) if rng.random() > 0.02 else 65535).to_bytes(2) + b"".join(cells)
+
+
+def test_image_batches_cell_by_cell():
+    import random
+
+    import pyarrow as pa
+
+    from rowtide.operators import images
+
+    rng = random.Random(11)
+    payloads, counts = [], []
+    for _ in range(3000):
+        n = rng.randrange(3)
+        body = b"N".join(random_image(rng) for _ in range(max(n, 1)))
+        payload = bytes(31) + body
+        if rng.random() < 0.15:
+            payload = payload[: rng.randrange(len(payload) + 1)]
+        payloads.append(payload if rng.random() > 0.01 else None)
+        counts.append(n if rng.random() > 0.05 else None)
+    want = [brute_message(p or b"", n or 0) for p, n in zip(payloads, counts)]
+    assert any(w[0] for w in want) and any(w[2] for w in want)
+    cell = lambda image: None if image is None else [(c["state"], c["value"]) for c in image]
+    for kind in (pa.binary(), pa.large_binary()):
+        whole = pa.array([b"skipped", *payloads], kind)
+        for part, expected in ((slice(0, 3000), want), (slice(700, 900), want[700:900]), (slice(5, 5), [])):
+            given = whole.slice(part.start + 1, part.stop - part.start)
+            images_of = pa.array(counts[part], pa.int32())
+            got = [(r["malformed"], cell(r["first"]), cell(r["second"])) for r in images._read(given, images_of).to_pylist()]
+            assert got == expected
+            assert images._malformed(given, images_of).to_pylist() == [w[0] for w in expected]
+
+
+def test_invalid_text_is_replaced_as_in_sql(spark):
+    import random
+
+    rng = random.Random(4)
+    pieces = [b"a", "é".encode(), "中".encode(), "𝕏".encode(), b"\xff", b"\xc3", b"\xe4\xb8", b"\xf0\x9d", b"\xed\xa0\x80", b"\xc0\x80", b"\xf5"]
+    texts = [b"".join(rng.choice(pieces) for _ in range(rng.randrange(9))) for _ in range(2000)]
+    df = spark.createDataFrame([(bytearray(t),) for t in texts], "t binary")
+    replaced = [r[0] for r in df.selectExpr("make_valid_utf8(cast(t AS string))").collect()]
+    assert replaced == [t.decode("utf-8", "replace") for t in texts]
+
+
+def test_check_without_images_agrees(spark, small):
+    from suite.base import frames as stored
+
+    events = changes.decode_changes(stored(spark, small))
+    checked = changes.decode_changes(stored(spark, small), images=False)
+    keys = ["session_id", "frame_no", "op", "error_class", "error"]
+    assert sorted(map(str, events.select(keys).collect())) == sorted(map(str, checked.select(keys).collect()))
