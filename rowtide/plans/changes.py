@@ -12,19 +12,23 @@ enough to broadcast.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.constants import DML
+from rowtide.constants import DML, UNKNOWN_TABLE
 from rowtide.functions import binary as b
+from rowtide.functions.lsn import parse_position
 from rowtide.functions.plan import settle
+from rowtide.operators import filters
 from rowtide.operators import frames as fr
 from rowtide.operators import images as im
 from rowtide.operators import messages as ms
 from rowtide.operators import relations as rel
 from rowtide.session import configure, write_shared
+from rowtide.sources import index
 
 EVENT_COLUMNS = [
     "session_id",
@@ -103,7 +107,7 @@ def control_records(frames: DataFrame, prior: DataFrame | None = None) -> DataFr
 
     ``prior`` adds the records still in force from earlier micro-batches.
     """
-    few = classified_frames(frames.filter(fr.is_described() | fr.is_fatal()))
+    few = classified_frames(index.control_frames(frames))
     kept = [c for c in few.columns if c not in ("payload", "size", "error_class", "error")]
     opened = settle(
         few.selectExpr(
@@ -329,6 +333,16 @@ def classified_frames(frames: DataFrame) -> DataFrame:
     return fr.classify(frames)
 
 
+def _relation_ids(frames: DataFrame, control: Control, tables: Sequence[str]) -> list[int] | None:
+    """Ids that any description gives to one of the tables; None where they cannot narrow what is read."""
+    unknown = any(name.rsplit(".", 1)[-1] == UNKNOWN_TABLE for name in tables)
+    if not tables or unknown or not index.is_indexed(frames):
+        return None
+    described = control.descriptions().filter(filters.table_matches(tables)).select("rel_id").distinct()
+    ids = [row["rel_id"] for row in described.limit(index.MOST_IDS + 1).collect()]
+    return ids if len(ids) <= index.MOST_IDS else None
+
+
 def decode_changes(
     frames: DataFrame,
     prior: DataFrame | None = None,
@@ -337,17 +351,28 @@ def decode_changes(
     images: bool = True,
     broadcast_limit: int = rel.BROADCAST_LIMIT_BYTES,
     range_width: int = rel.RANGE_WIDTH,
+    tables: Sequence[str] = (),
+    start: str | int | None = None,
 ) -> DataFrame:
     """Every frame as one event row (``EVENT_COLUMNS``).
 
+    ``tables`` and ``start`` leave out row messages of other tables and, of any table, those before a log
+    position; indexed frames (``rowtide.sources.index``) of that kind are not even read. Other events stay.
+
     ``where`` may use ``kind``, ``rel_id``, ``schema`` and ``table``; rows that
     fail it are dropped before their images are decoded. ``images=False`` checks
     rows without building their images, enough for positions and dead letters.
     """
     configure(frames.sparkSession)
     control = control or read_control(frames, prior)
-    rows = classified_frames(frames.filter(~fr.is_described()))
+    first = parse_position(start) if isinstance(start, str) else start or 0
+    rows = classified_frames(index.row_frames(frames, _relation_ids(frames, control, tables), first))
     rows = resolve_rows(rows, control, broadcast_limit, range_width)
+    is_row = F.col("rel_id").isNotNull()
+    if tables:
+        rows = rows.filter(~is_row | filters.table_matches(tables))
+    if first:
+        rows = rows.filter(~is_row | (F.col("position") >= F.lit(first).cast("decimal(20,0)")))
     if where is not None:
         rows = rows.filter(where)
     events = _with_all_columns(decode_rows(rows, images))

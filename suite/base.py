@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fixtures import capture, messages
 from rowtide.plans import changes
 from rowtide.session import configure, write_shared
+from rowtide.sources import index
 
 Query = Callable[[SparkSession, str], DataFrame]
 TABLES = [
@@ -73,6 +74,11 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "frames", lambda: capture.change_frames(spark, sf_dir))
 
 
+def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same frames as they are taken in with an index."""
+    return _stored(spark, sf_dir, "indexed", lambda: index.index_frames(frames(spark, sf_dir)))
+
+
 def broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "broken", lambda: capture.broken_frames(table(spark, sf_dir, "orders")))
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from rowtide.constants import DISPLAY_LIMIT
 from rowtide.operators import events as ev
 from rowtide.operators import filters, outbox, results
+from rowtide.plans import changes
 from rowtide.streaming.deliver import deliver_changes
-from suite.base import events, over_log, query, sql_lsn, table
+from suite.base import events, indexed, over_log, query, sql_lsn, table
 
 KEY = ["session_id", "frame_no", "kind"]
 _DML = "kind IN ('insert', 'update', 'delete')"
@@ -34,6 +35,14 @@ def table_filter(spark, sf_dir):
     ).select(*KEY)
 
 
+@query("F1_table_filter_indexed", _keys(f"{_DML} AND {_TABLE}"))
+def table_filter_indexed(spark, sf_dir):
+    names = ["customer", "public.orders", "Orders"]
+    decoded = changes.decode_changes(indexed(spark, sf_dir), tables=names)
+    rows = filters.forwardable(decoded, filters.should_forward(tables=names))
+    return rows.filter(F.col("kind") != "truncate").select(*KEY)
+
+
 @query("F2_operation_filter", _keys("kind IN ('delete', 'truncate')"))
 def operation_filter(spark, sf_dir):
     return _forwarded(spark, sf_dir, ops=["delete", "truncate"]).select(*KEY)
@@ -71,6 +80,13 @@ def start_position(spark, sf_dir):
     return rows.filter(F.col("kind") != "truncate").select(*KEY)
 
 
+@query("F8_start_position_indexed", _keys(f"{_DML} AND position >= 17000000"))
+def start_position_indexed(spark, sf_dir):
+    decoded = changes.decode_changes(indexed(spark, sf_dir), start=f"0/{17000000:x}")
+    rows = filters.forwardable(decoded, filters.should_forward())
+    return rows.filter(F.col("kind") != "truncate").select(*KEY)
+
+
 @query(
     "F9_row_limit",
     """SELECT l.n AS limited_to, CASE WHEN l.n = 0 THEN o.n ELSE least(o.n, l.n) END AS shown
