@@ -65,8 +65,10 @@ class WordBpe:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
+        if not model.get("end_of_word_suffix"):
+            raise ValueError(f"{path}: not a vocabulary with word ends; its split rule is another one")
         self.ids: dict[str, int] = model["vocab"]
-        self.end: str = model["end_of_word_suffix"] or ""
+        self.end: str = model["end_of_word_suffix"]
         self.strings = {i: s for s, i in self.ids.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings |= {i: s for s, i in self.special.items()}

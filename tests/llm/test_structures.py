@@ -12,7 +12,7 @@ import sentencepiece
 from conftest import ODD
 from pyspark.sql import functions as F
 
-from rowtide.llm import merkle, prefix_trie, sentencepieces
+from rowtide.llm import bpe, merkle, prefix_trie, sentencepieces
 from rowtide.llm.common import in_order
 from rowtide.llm.queries import ENTRIES, MERKLE_SQL, PIECE_MODEL, TRIE_SQL
 
@@ -274,3 +274,5 @@ def test_chunks_are_joined_as_the_library_does(pieces):
 def test_other_files_are_refused():
     with pytest.raises(Exception):
         sentencepieces.PieceModel(public_tokenizers.path("word_bpe_49k.json"))
+    with pytest.raises(ValueError, match="word ends"):
+        bpe.WordBpe(public_tokenizers.path("byte_bpe_50k.json"))
