@@ -165,13 +165,14 @@ def _walks(payloads: pa.Array, images: pa.Array, collect: bool) -> tuple[np.ndar
     return data, good, first, second
 
 
-def _read(payload: pa.Array, images: pa.Array) -> pa.Array:
+def _read(payload: pa.Array, images: pa.Array, build: pa.Array) -> pa.Array:
     data, good, first, second = _walks(payload, images, collect=True)
     wanted = images.fill_null(0).to_numpy(zero_copy_only=False)
+    built = good & build.fill_null(False).to_numpy(zero_copy_only=False)
     columns = [
         pa.array(~good),
-        _cells(data, first, good & (wanted > 0)),
-        _cells(data, second, good & (wanted > 1)),
+        _cells(data, first, built & (wanted > 0)),
+        _cells(data, second, built & (wanted > 1)),
     ]
     return pa.StructArray.from_arrays(columns, fields=list(_ROW))
 
@@ -181,9 +182,12 @@ def _malformed(payload: pa.Array, images: pa.Array) -> pa.Array:
     return pa.array(~good)
 
 
-def read_images(payload: Column, images: Column) -> Column:
-    """``CELLS``: the cells of the first and second image of each message; both null where either is malformed."""
-    return F.arrow_udf(_read, CELLS)(payload, images)
+def read_images(payload: Column, images: Column, build: Column | None = None) -> Column:
+    """``CELLS``: the cells of the first and second image of each message; both null where either is malformed.
+
+    Where ``build`` is not true the images are checked only, and null.
+    """
+    return F.arrow_udf(_read, CELLS)(payload, images, F.lit(True) if build is None else build)
 
 
 def images_malformed(payload: Column, images: Column) -> Column:

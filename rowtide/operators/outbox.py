@@ -149,5 +149,5 @@ def kafka_rows(outbox: DataFrame) -> DataFrame:
 
 
 def write_lines(outbox: DataFrame, path: str) -> None:
-    """One event per line."""
-    outbox.select(F.col("body").alias("value")).write.text(path)
+    """One event per line; replaces what a run before has written."""
+    outbox.select(F.col("body").alias("value")).write.mode("overwrite").text(path)

@@ -26,6 +26,12 @@ def _range_of(frame_no: Column, width: int) -> Column:
     return F.floor(frame_no / F.lit(width)).cast("bigint")
 
 
+def key_names(columns: Column) -> Column:
+    """Names of a description's key columns; NULL where none or all of them are, as then no column tells rows apart."""
+    keys = F.filter(columns, lambda c: c["is_key"])
+    return F.when((F.size(keys) > 0) & (F.size(keys) < F.size(columns)), F.transform(keys, lambda c: c["name"]))
+
+
 def validity(descriptions: DataFrame, keys: list[str], rows: int, width: int = RANGE_WIDTH) -> DataFrame:
     """Add ``valid_to``: ``frame_no`` of the next row of the same key, or NULL.
 

@@ -51,7 +51,3 @@ def write_json(rendered: DataFrame, path: str) -> None:
 def row_count(df: DataFrame) -> DataFrame:
     """Number of rows fetched, whatever number is kept or shown."""
     return df.agg(F.count(F.lit(1)).alias("rows"))
-
-
-def has_rows(df: DataFrame) -> bool:
-    return not df.isEmpty()

@@ -17,24 +17,37 @@ PLACE = "_place"
 ROW_MASK = (1 << 33) - 1  # row part of a monotonically increasing id
 
 
-def number_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
-    """Add a 0-based row number in result order; ``df``'s own columns are carried along untouched."""
+def number_rows(df: DataFrame, name: str = "row_no", first: int = 0) -> DataFrame:
+    """Add a 0-based row number in result order; ``df``'s own columns are carried along untouched.
+
+    ``first`` keeps that many rows. All are read - whoever counts them sees every row - but a partition stores no more.
+    """
     own = [f"_{i}" for i in range(len(df.columns))]
     row = F.struct(*own).alias("row")
-    placed = write_shared(df.toDF(*own).select(row, F.monotonically_increasing_id().alias(PLACE)), "rows")
+    numbered = df.toDF(*own).select(row, F.monotonically_increasing_id().alias(PLACE))
+    if first:
+        numbered = numbered.filter(F.col(PLACE).bitwiseAND(F.lit(ROW_MASK)) < first)
+    placed = write_shared(numbered, "rows")
     part = F.shiftright(F.col(PLACE), 33)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per partition of the result: bounded by the number of tasks.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     inside = F.col(PLACE).bitwiseAND(F.lit(ROW_MASK))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select(*[F.col("row")[o].alias(c_) for o, c_ in zip(own, df.columns)], (F.col("_offset") + inside).alias(name))
+    result = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    if first:
+        result = result.filter(F.col("_offset") + inside < first)
+    return result.select(
+        *[F.col("row")[o].alias(c_) for o, c_ in zip(own, df.columns)], (F.col("_offset") + inside).alias(name)
     )
 
 
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows in result order, from one pass that reads all of ``df``."""
+    names = [f"_{i}" for i in range(len(df.columns))]
+    return number_rows(df.toDF(*names), "row_no", n).orderBy("row_no").drop("row_no").toDF(*df.columns)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, underscored until no column of ``df`` has it."""
     taken = {c_.lower() for c_ in df.columns}

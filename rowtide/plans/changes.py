@@ -53,6 +53,7 @@ EVENT_COLUMNS = [
     "xid",
     "columns",
     "reply_requested",
+    "key_names",
     "position",
     "error_class",
     "error",
@@ -69,6 +70,7 @@ _ABSENT = {
     "cascade": "boolean",
     "restart_seqs": "boolean",
     "columns": ms.COLUMNS,
+    "key_names": "array<string>",
 }
 
 
@@ -181,7 +183,7 @@ def _relation_intervals(control: Control, width: int) -> DataFrame:
 
 
 def resolve_rows(classified: DataFrame, control: Control, limit: int, width: int) -> DataFrame:
-    """Add ``schema``, ``table`` and ``names`` to row messages."""
+    """Add ``schema``, ``table``, ``names`` and ``key_names`` to row messages."""
     if control.relations:
         intervals = _relation_intervals(control, width).select(
             "session_id",
@@ -191,6 +193,7 @@ def resolve_rows(classified: DataFrame, control: Control, limit: int, width: int
             "schema",
             "table",
             F.transform("columns", lambda c: c["name"]).alias("names"),
+            rel.key_names(F.col("columns")).alias("key_names"),
         )
         found = rel.interval_join(
             classified,
@@ -207,6 +210,7 @@ def resolve_rows(classified: DataFrame, control: Control, limit: int, width: int
             F.lit(None).cast("string").alias("schema"),
             F.lit(None).cast("string").alias("table"),
             F.lit(None).cast("array<string>").alias("names"),
+            F.lit(None).cast("array<string>").alias("key_names"),
         )
     is_row = F.col("rel_id").isNotNull()
     return found.withColumn(
@@ -214,10 +218,11 @@ def resolve_rows(classified: DataFrame, control: Control, limit: int, width: int
     ).withColumn("table", F.when(is_row, rel.table_or_unknown(F.col("table"))))
 
 
-def decode_rows(resolved: DataFrame, images: bool = True) -> DataFrame:
+def decode_rows(resolved: DataFrame, images: bool | Column = True) -> DataFrame:
     """Add ``old`` and ``new`` images and mark malformed rows.
 
-    Without ``images`` rows are only checked; both images are then NULL.
+    Without ``images`` rows are only checked; both images are then NULL. A condition builds the
+    images of the rows it holds for.
     """
     kept = [c for c in resolved.columns if c not in ("error", "error_class")]
     plain = [c for c in kept if c not in ("payload", "size", "names")]
@@ -231,8 +236,9 @@ def decode_rows(resolved: DataFrame, images: bool = True) -> DataFrame:
                  WHEN {flag} IN ({b.tags('O', 'K')}) THEN 2 ELSE -1 END AS _images""",
     )
     given = (F.col("payload"), F.col("_images"))
-    if images:
-        read = counted.withColumn("_read", im.read_images(*given))
+    if isinstance(images, Column) or images:
+        build = images if isinstance(images, Column) else None
+        read = counted.withColumn("_read", im.read_images(*given, build))
         malformed = "_read.malformed"
     else:
         read = counted.withColumn("_read", im.images_malformed(*given))
@@ -250,7 +256,7 @@ def decode_rows(resolved: DataFrame, images: bool = True) -> DataFrame:
         )
         .withColumn("error_class", F.expr("coalesce(_class, if(error IS NULL, NULL, 'record'))"))
     )
-    if not images:
+    if malformed == "_read":
         return checked.select(*plain, "error_class", "error")
     valued = checked.selectExpr(
         *plain,
@@ -348,7 +354,7 @@ def decode_changes(
     prior: DataFrame | None = None,
     control: Control | None = None,
     where: Column | None = None,
-    images: bool = True,
+    images: bool | Column = True,
     broadcast_limit: int = rel.BROADCAST_LIMIT_BYTES,
     range_width: int = rel.RANGE_WIDTH,
     tables: Sequence[str] = (),
@@ -361,7 +367,8 @@ def decode_changes(
 
     ``where`` may use ``kind``, ``rel_id``, ``schema`` and ``table``; rows that
     fail it are dropped before their images are decoded. ``images=False`` checks
-    rows without building their images, enough for positions and dead letters.
+    rows without building their images, enough for positions and dead letters; a condition over the same
+    columns builds the images of the rows it holds for, and checks all.
     """
     configure(frames.sparkSession)
     control = control or read_control(frames, prior)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from rowtide.operators import results, sheets
-from rowtide.session import configure
+from rowtide.session import configure, intermediates
 from rowtide.sources.tables import run_sql
+from rowtide.storage import Storage
 
 FORMATS = ("excel", "csv", "json")
 DEFAULT_SHEET = "Query Result"
@@ -37,20 +40,29 @@ def export(
 ) -> ExportReport:
     """Write the result of one statement; an empty result writes nothing.
 
-    The report counts all rows of the result, not only those kept by ``limit``.
+    The statement runs once: rows are counted while they are written beside ``output``, which gets
+    its name at the end if there were any. The report counts all rows, not only those kept by ``limit``.
     """
     if format not in FORMATS:
         raise ValueError(f"unknown format {format!r}")
     configure(spark)
-    df = run_sql(spark, text, file)
-    fetched = results.row_count(df).first()["rows"]
-    if not fetched:
-        return ExportReport(0, False)
-    rendered = results.render(df, limit)
-    if format == "csv":
-        results.write_csv(rendered, output)
-    elif format == "json":
-        results.write_json(rendered, output)
+    storage = Storage(spark, output)
+    if storage.exists(output):
+        raise FileExistsError(output)
+    seen = Observation()
+    partial = f"{output.rstrip('/')}.{uuid.uuid4().hex}.partial"
+    with intermediates(spark):
+        df = run_sql(spark, text, file).observe(seen, F.count(F.lit(1)).alias("rows"))
+        rendered = results.render(sheets.first_rows(df, limit) if limit else df)
+        if format == "csv":
+            results.write_csv(rendered, partial)
+        elif format == "json":
+            results.write_json(rendered, partial)
+        else:
+            sheets.write_sheets(rendered, partial, sheet)
+    fetched = seen.get["rows"]
+    if fetched:
+        storage.move(partial, output)
     else:
-        sheets.write_sheets(rendered, output, sheet)
-    return ExportReport(fetched, True)
+        storage.remove(partial)
+    return ExportReport(fetched, bool(fetched))

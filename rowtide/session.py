@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowtide.storage import Storage
+
 # Settings the expressions rely on. Everything else stays as the cluster has it.
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -46,14 +51,32 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_SCOPES = threading.local()
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Remove, at its end, the tables ``write_shared`` writes inside it from this thread."""
+    outer, _SCOPES.paths = getattr(_SCOPES, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _SCOPES.paths = _SCOPES.paths, outer
+        for path in paths:
+            Storage(spark, path).remove(path)
+
+
 def write_shared(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back.
 
     Cuts the lineage durably: a lost executor costs a re-read, never another
-    run of the plan that produced the rows.
+    run of the plan that produced the rows. The table stays, but for one written inside
+    ``intermediates``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/rowtide/{name}-{uuid.uuid4().hex}"
+    if getattr(_SCOPES, "paths", None) is not None:
+        _SCOPES.paths.append(path)
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -1,8 +1,8 @@
 """Captured frames as a stream: decode, filter, address, deliver, confirm.
 
 Each micro-batch runs the batch plan of ``rowtide.plans.changes``. What must
-outlive it - relation descriptions in force and sessions that ended - is a
-snapshot table the next batch reads. All writes are per batch id, so a replayed
+outlive it - relation descriptions in force and sessions that ended - is the
+log of ``rowtide.streaming.state``. All writes are per batch id, so a replayed
 batch replaces its own output.
 """
 
@@ -11,21 +11,28 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.functions.lsn import parse_position
 from rowtide.operators import filters, outbox
 from rowtide.plans import changes
-from rowtide.session import configure
-from rowtide.streaming import progress
-from rowtide.streaming.deliver import Deliver, DeliveryFailed, deliver_changes
+from rowtide.session import configure, intermediates, write_shared
+from rowtide.streaming import lease, progress, state
+from rowtide.streaming.deliver import Deliver, DeliveryFailed, deliver_changes, journaled
+from rowtide.streaming.epochs import deliver_epochs, plan_epochs
+from rowtide.streaming.journal import Journal
 
 
 @dataclass
 class ChangeStream:
-    """What to read from a change stream and where to send it."""
+    """What to read from a change stream and where to send it.
+
+    ``order="session"`` keeps the frames of a ``lane`` in order, ``order="keys"`` those of a row key, between
+    barriers (``rowtide.streaming.epochs``), with ``tasks`` tasks that run at once. ``lines`` writes an outbox
+    without ``deliver`` as text, a message a line.
+    """
 
     consumer: progress.Consumer
     sink: str = "stdout"
@@ -38,6 +45,9 @@ class ChangeStream:
     deliver: Deliver | None = None
     on_error: str = "fail"
     lanes: Sequence[str] = ("session_id",)
+    order: str = "session"
+    tasks: int | None = None
+    lines: bool = False
     publications: Sequence[str] = ()
     members: DataFrame | None = None
 
@@ -46,82 +56,98 @@ class ChangeStream:
             raise ValueError(f"unknown sink {self.sink!r}")
         if self.on_error not in ("fail", "continue"):
             raise ValueError(f"unknown error mode {self.on_error!r}")
+        if self.order not in ("session", "keys"):
+            raise ValueError(f"unknown order {self.order!r}")
         if not self.lanes or set(self.lanes) - set(outbox.OUTBOX_COLUMNS):
             raise ValueError(f"lanes are outbox columns, not {list(self.lanes)}")
         if self.publications and self.members is None:
             raise ValueError("publications need the table of their members")
 
-    def address(self, events: DataFrame) -> DataFrame:
-        """Forwarded events as outbox rows."""
-        condition = filters.should_forward(self.tables, self.ops, self.emit_boundaries, self.emit_schema)
+    def condition(self) -> Column:
+        return filters.should_forward(self.tables, self.ops, self.emit_boundaries, self.emit_schema)
+
+    def forward(self, events: DataFrame) -> DataFrame:
+        """Events that are to be sent."""
         if self.publications:
             events = filters.in_publications(events, self.members, self.publications)
-        forwarded = filters.from_position(filters.forwardable(events, condition), self.start)
+        return filters.from_position(filters.forwardable(events, self.condition()), self.start)
+
+    def address(self, forwarded: DataFrame) -> DataFrame:
+        """Forwarded events as outbox rows."""
         return outbox.SINKS[self.sink](forwarded, **self.options)
 
 
-def _carried(spark: SparkSession, consumer: progress.Consumer, batch_id: int) -> DataFrame | None:
-    """Control records in force before ``batch_id``.
+def process_batch(
+    stream: ChangeStream, batch: DataFrame, batch_id: int, fence: Callable[[], None] | None = None
+) -> None:
+    """Run one micro-batch to the end: outbox or delivery, then positions, then state.
 
-    Batch ids are consecutive and each batch ends with its snapshot, so only
-    the one before is read, however long the stream has run.
+    ``fence`` raises where this driver may no longer write; it is asked before messages go out and before positions move.
     """
-    return spark.read.parquet(consumer.batch_folder("control", batch_id - 1)) if batch_id else None
-
-
-def _still_in_force(control: changes.Control) -> DataFrame:
-    """Latest description of each relation and the end of each ended session."""
-    records = control.records.drop("carried")
-    row = F.struct(*records.columns)
-    described = (
-        records.filter((F.col("kind") == "relation") & F.col("error_class").isNull())
-        .groupBy("session_id", "rel_id")
-        .agg(F.max_by(row, "frame_no").alias("r"))
-    )
-    ended = (
-        records.filter(F.col("error_class") == "fatal")
-        .groupBy("session_id")
-        .agg(F.min_by(row, "frame_no").alias("r"))
-    )
-    return described.select("r.*").unionByName(ended.select("r.*"))
-
-
-def process_batch(stream: ChangeStream, batch: DataFrame, batch_id: int) -> None:
-    """Run one micro-batch to the end: outbox or delivery, then positions, then snapshot."""
     spark, consumer = batch.sparkSession, stream.consumer
     configure(spark)
-    control = changes.read_control(batch, _carried(spark, consumer, batch_id))
-    # Decoded once for outbox, dead letters and positions; the micro-batch is
-    # bounded by its trigger and spills to disk when it must.
-    events = changes.decode_changes(batch, control=control).persist()
-    try:
-        rows = stream.address(events)
-        failures = None
-        if stream.deliver is None:
-            rows.write.mode("overwrite").parquet(consumer.batch_folder("outbox", batch_id))
-        else:
-            failures = _deliver(stream, rows, batch_id)
-        changes.dead_letters(events).write.mode("overwrite").parquet(
-            consumer.batch_folder("dead_letters", batch_id)
-        )
-        floor = parse_position(stream.start) if stream.start else 0
-        progress.confirmed_positions(events, failures, floor).withColumn(
-            "updated", F.current_timestamp()
-        ).write.mode("overwrite").parquet(consumer.batch_folder("progress", batch_id))
-        _still_in_force(control).write.mode("overwrite").parquet(consumer.batch_folder("control", batch_id))
-    finally:
-        events.unpersist()
-
-
-def _deliver(stream: ChangeStream, rows: DataFrame, batch_id: int) -> DataFrame:
+    fence = fence or (lambda: None)
+    with intermediates(spark):
+        control = changes.read_control(batch, state.carried(spark, consumer, batch_id))
+        # Decoded once for outbox, dead letters and positions; images are built for what is forwarded. The
+        # micro-batch is bounded by its trigger and spills to disk when it must.
+        events = changes.decode_changes(batch, control=control, images=stream.condition()).persist()
+        try:
+            forwarded = stream.forward(events)
+            rows = stream.address(forwarded)
+            failures = None
+            fence()
+            if stream.deliver is None:
+                _write_outbox(stream, rows, consumer.batch_folder("outbox", batch_id))
+            else:
+                failures = _deliver(stream, events, forwarded, rows, batch_id)
+            changes.dead_letters(events).write.mode("overwrite").parquet(
+                consumer.batch_folder("dead_letters", batch_id)
+            )
+            floor = parse_position(stream.start) if stream.start else 0
+            fence()
+            progress.confirmed_positions(events, failures, floor).withColumn(
+                "updated", F.current_timestamp()
+            ).write.mode("overwrite").parquet(consumer.batch_folder("progress", batch_id))
+            state.store(consumer, control.records, batch_id)
+        finally:
+            events.unpersist()
+
+
+def _write_outbox(stream: ChangeStream, rows: DataFrame, folder: str) -> None:
+    if stream.lines:
+        ordered = rows.repartitionByRange("session_id", "frame_no").sortWithinPartitions("session_id", "frame_no")
+        outbox.write_lines(ordered, folder)
+    else:
+        rows.write.mode("overwrite").parquet(folder)
+
+
+def _deliver(
+    stream: ChangeStream, events: DataFrame, forwarded: DataFrame, rows: DataFrame, batch_id: int
+) -> DataFrame:
     """Send what this batch has not sent before; return the failures."""
     spark, consumer = rows.sparkSession, stream.consumer
     folder = consumer.batch_folder("delivery_log", batch_id)
-    sent = progress.read_or_empty(spark, folder, progress.LOG_SCHEMA).filter("ok")
-    open_rows = rows.join(sent.select("session_id", "frame_no"), ["session_id", "frame_no"], "left_anti")
+    journal = Journal(consumer.batch_folder("journal", batch_id))
+    # What a run of this batch sent before it was cut off is in the journal only.
+    before = journaled(spark, journal)
+    known = progress.read_or_empty(spark, folder, progress.LOG_SCHEMA)
+    sent = write_shared(
+        known.unionByName(before).filter("ok").select("session_id", "frame_no", "sink").distinct(), "sent"
+    )
+    unlogged = sent.join(known.filter("ok"), ["session_id", "frame_no"], "left_anti").select(
+        "session_id", "frame_no", "sink", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error")
+    )
+    open_rows = rows.join(sent, ["session_id", "frame_no"], "left_anti")
     strict = stream.on_error == "fail"
-    logged = deliver_changes(open_rows, stream.deliver, stop_on_error=strict, lanes=stream.lanes)
-    logged.write.mode("append").parquet(folder)
+    if stream.order == "keys":
+        plan = plan_epochs(events, forwarded)
+        logged = deliver_epochs(open_rows, plan, stream.deliver, strict, stream.tasks, journal)
+    else:
+        logged = write_shared(
+            deliver_changes(open_rows, stream.deliver, strict, lanes=stream.lanes, journal=journal), "delivered"
+        )
+    unlogged.unionByName(logged).write.mode("append").parquet(folder)
     log = progress.read_or_empty(spark, folder, progress.LOG_SCHEMA)
     outcome = log.groupBy("session_id", "frame_no").agg(F.bool_or("ok").alias("ok"))
     failures = outcome.filter(~F.col("ok"))
@@ -135,26 +161,39 @@ def start(
 ) -> StreamingQuery:
     """Start the stream under its consumer's name and checkpoint."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(stream, batch, batch_id)
+    def handle(batch: DataFrame, batch_id: int, fence: Callable[[], None]) -> None:
+        process_batch(stream, batch, batch_id, fence)
 
-    return _start(frames, stream.consumer, handle, trigger)
+    return start_query(frames, stream.consumer, handle, trigger)
 
 
-def _start(
+def start_query(
     source: DataFrame,
     consumer: progress.Consumer,
-    handle: Callable[[DataFrame, int], None],
+    handle: Callable[[DataFrame, int, Callable[[], None]], None],
     trigger: Mapping[str, object] | None,
 ) -> StreamingQuery:
-    configure(source.sparkSession)
-    return (
+    """Run a consumer's query under its lease; at its end the lease is given back, a temporary consumer removed."""
+    spark = configure(source.sparkSession)
+    held = lease.Lease(spark, consumer.root, consumer.name)
+    held.keep()
+
+    def fenced(batch: DataFrame, batch_id: int) -> None:
+        held.check()
+        handle(batch, batch_id, held.check)
+
+    def ended() -> None:
+        held.release()
+        if consumer.temporary:
+            consumer.remove(spark)
+
+    writer = (
         source.writeStream.queryName(consumer.name)
-        .foreachBatch(handle)
+        .foreachBatch(fenced)
         .option("checkpointLocation", consumer.checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    return lease.run_at_end(spark, writer.start, ended)
 
 
 def read_outbox(spark: SparkSession, consumer: progress.Consumer) -> DataFrame:

@@ -2,45 +2,106 @@
 
 ``deliver(message: dict)`` returns when the message is accepted and raises when
 it is not. It runs in the tasks; each outcome becomes a row of the delivery log.
+With a journal it is also written down at once, for an attempt that follows a lost one.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext, cloudpickle
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rowtide.streaming import journal as journals
+from rowtide.streaming.journal import Journal
 from rowtide.streaming.progress import LOG_SCHEMA
 
+# Executors need pandas and pyarrow, not this package: its functions travel with the plan.
+cloudpickle.register_pickle_by_value(journals)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Deliver = Callable[[dict], None]
 NOT_SENT = "not sent: an earlier message of the lane failed"
+CUT_SHORT = "not sent again: an earlier attempt ended before its outcome was known"
+LOG_COLUMNS = ["session_id", "frame_no", "sink", "ok", "error"]
+LOG_TYPES = ["string", "bigint", "string", "boolean", "string"]
+
+
+def journaled(spark: SparkSession, journal: Journal) -> DataFrame:
+    """All outcomes in a journal, with the columns of the delivery log."""
+    try:
+        lines = spark.read.option("pathGlobFilter", "*.outcomes").text(journal.folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG_SCHEMA)
+    fields = lines.select(F.from_json("value", "array<string>").alias("f")).filter(F.size("f") == len(LOG_COLUMNS))
+    typed = [F.col("f")[i].cast(kind).alias(name) for i, (name, kind) in enumerate(zip(LOG_COLUMNS, LOG_TYPES))]
+    return fields.select(*typed)
 
 
 class DeliveryFailed(RuntimeError):
     """Some messages of a micro-batch were not accepted."""
 
 
+class Lanes:
+    """What one task has sent: stopped lanes, and messages an earlier attempt had accepted."""
+
+    def __init__(self, deliver: Deliver, stop_on_error: bool, journal: Journal | None, name: str) -> None:
+        self._deliver = deliver
+        self._stop = stop_on_error
+        self._stopped: dict = {}  # lane: its session
+        # Messages of this task's earlier attempts only: bounded by its part of the micro-batch.
+        self._accepted = {(s, n) for s, n, _sink, ok, _error in journal.read(name) if ok} if journal else set()
+        self._outcomes = journal.write(name) if journal else None
+
+    def send(self, message: dict, lane, held: bool = False) -> tuple:
+        session, number, sink = message.get("session_id"), int(message["frame_no"]), message["sink"]
+        if (session, number) in self._accepted:
+            return session, number, sink, True, None
+        if held or lane in self._stopped:
+            return session, number, sink, False, NOT_SENT
+        error = None
+        try:
+            self._deliver(message)
+        except Exception as failure:  # the log takes any failure
+            error = str(failure) or type(failure).__name__
+            if self._stop:
+                self._stopped[lane] = session
+        outcome = (session, number, sink, error is None, error)
+        if self._outcomes:
+            self._outcomes.add(*outcome)
+        return outcome
+
+    def newly_failed(self) -> set:
+        """Sessions of the lanes stopped since the last call; their lanes open for the sessions' next epoch to be held."""
+        sessions = set(self._stopped.values())
+        self._stopped.clear()
+        return sessions
+
+    def close(self) -> None:
+        if self._outcomes:
+            self._outcomes.close()
+
+
 def _sender(
-    deliver: Deliver, stop_on_error: bool, lanes: Sequence[str] = ("session_id",)
+    deliver: Deliver,
+    stop_on_error: bool,
+    lanes: Sequence[str] = ("session_id",),
+    journal: Journal | None = None,
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stopped: set[tuple] = set()
-        for batch in batches:
-            outcome = []
-            for message in batch.to_dict("records"):
-                session = message.get("session_id")
-                lane = tuple(message.get(name) for name in lanes)
-                error = NOT_SENT if lane in stopped else None
-                if error is None:
-                    try:
-                        deliver(message)
-                    except Exception as failure:  # the log takes any failure
-                        error = str(failure) or type(failure).__name__
-                        if stop_on_error:
-                            stopped.add(lane)
-                outcome.append((session, message["frame_no"], message["sink"], error is None, error))
-            yield pd.DataFrame(outcome, columns=["session_id", "frame_no", "sink", "ok", "error"])
+        sent = Lanes(deliver, stop_on_error, journal, f"task-{TaskContext.get().partitionId()}")
+        try:
+            for batch in batches:
+                outcome = [sent.send(m, tuple(m.get(name) for name in lanes)) for m in batch.to_dict("records")]
+                yield pd.DataFrame(outcome, columns=LOG_COLUMNS)
+        finally:
+            sent.close()
 
     return send
 
@@ -50,24 +111,73 @@ def deliver_changes(
     deliver: Deliver,
     stop_on_error: bool = True,
     lanes: Sequence[str] = ("session_id",),
+    journal: Journal | None = None,
 ) -> DataFrame:
     """Send change messages; lanes in parallel, each in frame order.
 
     Order is kept inside a lane, and a failure stops its lane only. Rows stream
     through the task that owns their lane and are never collected; how many
     there are is bounded by the size of the micro-batch. ``lanes=('session_id',
-    'msg_key')`` keeps order per Kafka key only and spreads one busy session
-    over more tasks. A task that Spark runs again sends its lanes again:
-    ``(session_id, frame_no)`` is the key by which a receiver can tell.
+    'msg_key')`` keeps order per Kafka key only; ``rowtide.streaming.epochs`` spreads a busy
+    session over all tasks, for any sink. A task that Spark runs again sends what ``journal`` does not name
+    as accepted; without one it sends its lanes again.
     """
-    ordered = outbox.repartition(*lanes).sortWithinPartitions("session_id", "frame_no")
-    return ordered.mapInPandas(_sender(deliver, stop_on_error, tuple(lanes)), LOG_SCHEMA)
+    if journal:  # the number of parts is then fixed: a lane stays in the part its earlier attempts wrote under
+        parts = int(outbox.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = outbox.repartition(parts, *lanes)
+    else:
+        spread = outbox.repartition(*lanes)
+    ordered = spread.sortWithinPartitions("session_id", "frame_no")
+    return ordered.mapInPandas(_sender(deliver, stop_on_error, tuple(lanes), journal), LOG_SCHEMA)
 
 
-def deliver_notifications(outbox: DataFrame, deliver: Deliver) -> DataFrame:
-    """Send notifications once each; a failed one is logged and dropped.
+def sliced_notifications(outbox: DataFrame) -> DataFrame:
+    """Notifications with ``slice``: contiguous parts of the message order, sent and claimed as a whole."""
+    ordered = outbox.repartitionByRange("frame_no").sortWithinPartitions("frame_no")
+    return ordered.withColumn("slice", F.spark_partition_id())
+
 
-    Tasks own contiguous slices of the message order.
+def _slice_sender(deliver: Deliver, journal: Journal) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, lanes, known = None, None, {}
+        try:
+            for batch in batches:
+                outcome = []
+                for message in batch.to_dict("records"):
+                    part = message.pop("slice")
+                    if part != current:
+                        if lanes:
+                            lanes.close()
+                        current, lanes, known = part, None, {}
+                        name = f"slice-{part}"
+                        if journal.claim(name):
+                            lanes = Lanes(deliver, False, journal, name)
+                        else:  # bounded by the slice
+                            known = {(line[0], line[1]): line for line in journal.read(name)}
+                    if lanes:
+                        outcome.append(lanes.send(message, part))
+                    else:
+                        key = message["session_id"], int(message["frame_no"])
+                        outcome.append(known.get(key, (*key, message["sink"], False, CUT_SHORT)))
+                yield pd.DataFrame(outcome, columns=LOG_COLUMNS)
+        finally:
+            if lanes:
+                lanes.close()
+
+    return send
+
+
+def deliver_slices(stored: DataFrame, deliver: Deliver, journal: Journal) -> DataFrame:
+    """Send stored ``sliced_notifications`` at most once each; a failed one is logged and dropped.
+
+    A slice belongs to the attempt that claims it before its first message. Any other attempt - of a task run again,
+    a speculative copy, a replayed batch - sends nothing of it and logs the outcomes found in the journal.
     """
+    ordered = stored.repartition("slice").sortWithinPartitions("slice", "frame_no")
+    return ordered.mapInPandas(_slice_sender(deliver, journal), LOG_SCHEMA)
+
+
+def deliver_notifications(outbox: DataFrame, deliver: Deliver) -> DataFrame:
+    """Send notifications without a journal: once each unless Spark runs a task again."""
     ordered = outbox.repartitionByRange("frame_no").sortWithinPartitions("frame_no")
     return ordered.mapInPandas(_sender(deliver, stop_on_error=False), LOG_SCHEMA)

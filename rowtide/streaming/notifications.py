@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -11,9 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators import routing
 from rowtide.sources.notify import subscribe
-from rowtide.streaming.changes import _start
-from rowtide.streaming.deliver import Deliver, deliver_notifications
-from rowtide.streaming.progress import Consumer, read_or_empty
+from rowtide.storage import Storage
+from rowtide.streaming.changes import start_query
+from rowtide.streaming.deliver import Deliver, deliver_slices, sliced_notifications
+from rowtide.streaming.journal import Journal
+from rowtide.streaming.progress import Consumer
 
 
 @dataclass
@@ -37,24 +39,36 @@ class NotifyStream:
         return routing.ROUTES[self.sink](subscribe(notify, self.channels), mode=self.mode, **self.options)
 
 
-def process_batch(stream: NotifyStream, batch: DataFrame, batch_id: int) -> None:
+def process_batch(
+    stream: NotifyStream, batch: DataFrame, batch_id: int, fence: Callable[[], None] | None = None
+) -> None:
+    """Write or send one micro-batch.
+
+    What is sent is first stored in slices, which tasks claim before their first message: neither a task run again nor
+    a replayed batch sends one twice. ``fence`` raises where this driver may no longer write.
+    """
     rows = stream.address(batch)
+    fence = fence or (lambda: None)
+    folder = stream.consumer.batch_folder("outbox", batch_id)
+    fence()
     if stream.deliver is None:
-        rows.write.mode("overwrite").parquet(stream.consumer.batch_folder("outbox", batch_id))
-        return
-    # Marked before sending: a batch that is replayed after a crash is not sent again.
-    marker = stream.consumer.batch_folder("attempts", batch_id)
-    if not read_or_empty(batch.sparkSession, marker, "started TIMESTAMP").isEmpty():
+        rows.write.mode("overwrite").parquet(folder)
         return
-    batch.sparkSession.range(1).select(F.current_timestamp().alias("started")).write.mode("overwrite").parquet(marker)
-    logged = deliver_notifications(rows.withColumn("session_id", F.col("channel")), stream.deliver)
+    spark = batch.sparkSession
+    journal = Journal(stream.consumer.batch_folder("journal", batch_id))
+    storage, stored = Storage(spark, stream.consumer.root), f"{journal.folder}/stored"
+    if not storage.exists(stored):  # no slice was claimed yet: the slices may still change
+        named = rows.withColumn("session_id", F.col("channel"))
+        sliced_notifications(named).write.mode("overwrite").parquet(folder)
+        storage.write(stored, "")
+    logged = deliver_slices(spark.read.parquet(folder), stream.deliver, journal)
     logged.write.mode("overwrite").parquet(stream.consumer.batch_folder("delivery_log", batch_id))
 
 
 def start(
     notify: DataFrame, stream: NotifyStream, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(stream, batch, batch_id)
+    def handle(batch: DataFrame, batch_id: int, fence: Callable[[], None]) -> None:
+        process_batch(stream, batch, batch_id, fence)
 
-    return _start(notify, stream.consumer, handle, trigger)
+    return start_query(notify, stream.consumer, handle, trigger)

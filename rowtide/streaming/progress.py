@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from rowtide.constants import DEFAULT_CONSUMER, PLUGIN
 from rowtide.functions.lsn import lsn_text
 from rowtide.session import shared_dir
+from rowtide.storage import Storage
+from rowtide.streaming import lease
 
 LOG_SCHEMA = "session_id STRING, frame_no BIGINT, sink STRING, ok BOOLEAN, error STRING"
 PROGRESS_SCHEMA = "session_id STRING, position DECIMAL(20,0), updated TIMESTAMP"
@@ -75,6 +77,7 @@ class Consumer:
     root: str
     name: str
     generation: int
+    temporary: bool = False
 
     def folder(self, kind: str) -> str:
         return f"{self.root}/{kind}/consumer={self.name}/generation={self.generation}"
@@ -86,6 +89,12 @@ class Consumer:
     def batch_folder(self, kind: str, batch_id: int) -> str:
         return f"{self.folder(kind)}/batch_id={batch_id}"
 
+    def remove(self, spark: SparkSession) -> None:
+        """Forget a temporary consumer: everything it wrote goes."""
+        if not self.temporary:
+            raise ValueError(f"consumer {self.name!r} is not temporary")
+        Storage(spark, self.root).remove(self.root)
+
 
 def registry(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, f"{root}/consumers", REGISTRY_SCHEMA)
@@ -101,14 +110,17 @@ def open_consumer(
     """Create a consumer, or continue one that is not in use.
 
     ``reset`` starts a new generation with empty progress. A temporary one
-    lives in a folder of its own and is in no list.
+    lives in a folder of its own, is in no list and goes with its query. In use is what a query of this
+    session or, by its lease, another driver runs.
     """
     if not _NAME.fullmatch(name):
         raise ValueError(f"consumer name {name!r}: lower-case letters, digits and underscores only")
     if any(query.name == name for query in spark.streams.active):
         raise RuntimeError(f"consumer {name!r} is in use by a running query")
     if temporary:
-        return Consumer(f"{shared_dir(spark)}/rowtide/temporary-{uuid.uuid4().hex}", name, 0)
+        return Consumer(f"{shared_dir(spark)}/rowtide/temporary-{uuid.uuid4().hex}", name, 0, True)
+    if lease.holder(spark, root, name) not in (None, lease.OWNER):
+        raise RuntimeError(f"consumer {name!r} is in use by another driver")
     last = registry(spark, root).filter(F.col("name") == name).agg(F.max("generation")).first()[0]
     if last is not None and not reset:
         return Consumer(root, name, last)
@@ -148,14 +160,15 @@ def list_consumers(spark: SparkSession, root: str) -> DataFrame:
         .groupBy(F.col("consumer").alias("name"), "generation")
         .agg(F.max("position").alias("reached"))
     )
-    running = [query.name for query in spark.streams.active if query.name]
+    running = {query.name for query in spark.streams.active if query.name}
+    running |= {held for held in lease.held_names(spark, root) if lease.holder(spark, root, held) != lease.OWNER}
     return (
         current.join(reached, ["name", "generation"], "left")
         .select(
             "name",
             "plugin",
             lsn_text(F.col("reached")).alias("position"),
-            F.col("name").isin(running).alias("active") if running else F.lit(False).alias("active"),
+            F.col("name").isin(sorted(running)).alias("active") if running else F.lit(False).alias("active"),
         )
         .orderBy("name")
     )
