@@ -78,7 +78,7 @@ class Lanes:
         return outcome
 
     def newly_failed(self) -> set:
-        """Sessions of the lanes stopped since the last call; their lanes open for the sessions' next epoch to be held."""
+        """Sessions of the lanes stopped since the last call; from then on the caller holds them."""
         sessions = set(self._stopped.values())
         self._stopped.clear()
         return sessions

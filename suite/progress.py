@@ -10,10 +10,10 @@ from rowtide.operators import filters, outbox
 from rowtide.session import shared_dir
 from rowtide.sources.notify import FRAMES_SCHEMA
 from rowtide.streaming import changes as stream_changes
-from rowtide.streaming import progress
+from rowtide.streaming import epochs, progress
 from rowtide.streaming.changes import ChangeStream
 from rowtide.streaming.deliver import deliver_changes
-from suite.base import events, frames, over_log, query, sql_lsn
+from suite.base import EVENTS, events, frames, over_log, query, sql_lsn
 
 MIDDLE = 16777216 + 500 * 64
 
@@ -157,3 +157,35 @@ def session_order(spark, sf_dir):
     condition = filters.should_forward()
     rows = outbox.to_stdout(filters.forwardable(events(spark, sf_dir, where=condition), condition))
     return deliver_changes(rows, deliver).select("session_id", "frame_no", "ok")
+
+
+_EPOCHS = """, marked AS (
+  SELECT session_id, frame_no, kind = 'relation' AS silent, kind NOT IN ('insert', 'update', 'delete') AS barrier FROM log
+  WHERE error_class IS NULL AND kind IN ('insert', 'update', 'delete', 'truncate', 'relation')),
+turned AS (
+  SELECT *, CASE WHEN barrier <> lag(barrier) OVER (PARTITION BY session_id ORDER BY frame_no) THEN 1 ELSE 0 END AS turn
+  FROM marked),
+counted AS (
+  SELECT *, sum(turn) OVER (PARTITION BY session_id ORDER BY frame_no) AS epoch FROM turned)"""
+
+
+@query(
+    "T8_epoch_order",
+    f"WITH {EVENTS} {_EPOCHS} SELECT session_id, frame_no, CAST(epoch AS BIGINT) AS epoch, true AS ok FROM counted WHERE NOT silent",
+)
+def epoch_order(spark, sf_dir):
+    """Each task checks that its lanes keep frame order and that no message of a session comes after one of a later epoch."""
+    last = {}
+
+    def deliver(message):
+        session, lane = message["session_id"], (message["session_id"], message["lane"])
+        if message["epoch"] < last.get(session, 0) or message["frame_no"] <= last.get(lane, -1):
+            raise ValueError("out of order")
+        last[session], last[lane] = message["epoch"], message["frame_no"]
+
+    condition = filters.should_forward()
+    all_events = events(spark, sf_dir, where=filters.should_forward(emit_schema=True))
+    forwarded = filters.forwardable(all_events, condition)
+    plan = epochs.plan_epochs(filters.forwardable(all_events, F.lit(True)), forwarded)
+    log = epochs.deliver_epochs(outbox.to_webhook(forwarded, "http://hook"), plan, deliver)
+    return log.join(plan, ["session_id", "frame_no"]).select("session_id", "frame_no", "epoch", "ok")
