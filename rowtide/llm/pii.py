@@ -8,13 +8,11 @@ rounds, each a pair of aggregations. Patterns of high confidence then mark unsee
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import let, stored, text_or_empty
-from rowtide.llm.spans import count_kind, keyed, listed, match_spans
+from rowtide.llm.spans import count_kind, keyed, listed, match_spans, match_steps, running, spans_of
 
 KINDS = ["email", "ip", "card", "phone", "context"]
 ROUNDS = 3
@@ -34,9 +32,6 @@ PATTERNS = {
 }
 _BYTE = r"\A(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\z"
 _WORD = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*?[0-9@])[^\x20\x09-\x0D]++"
-# Characters looked at first on each side of a word for its neighbours; the whole text where they hold too few.
-_REACHES = (64, 4096)
-_ALL = (1 << 31) - 1
 
 
 def _digits(text: Column) -> Column:
@@ -78,52 +73,73 @@ def _bare(word: Column) -> Column:
 
 
 def _seen(text: Column, seeds: Column) -> Column:
-    """Identifier-like words with their neighbours and whether a seed lies in them."""
+    """Identifier-like words with their neighbours and whether a seed lies in them.
+
+    ``seeds`` are sorted by kind, then start. Words of the text are kept once, those a neighbour can be:
+    all of the identifiers, and of what lies between them the first and the last two.
+    """
 
-    def one(span: Column) -> Column:
-        def left(reach: int) -> Column:
-            return F.substring(text, F.greatest(span["start"] - reach + 1, F.lit(1)).cast("int"), F.least(span["start"], F.lit(reach)).cast("int"))
+    def near(step: Column) -> Column:
+        own = F.when(step["found"].isNull(), F.array().cast("array<string>")).otherwise(_words(step["found"]))
+        return F.struct(let(_words(step["gap"]), _outer).alias("gap"), own.alias("own"))
 
-        def right(reach: int) -> Column:
-            return F.substring(text, (span["end"] + 1).cast("int"), F.lit(reach))
+    def seen(steps: Column, parts: Column) -> Column:
+        words = F.flatten(F.transform(parts, lambda p: F.concat(p["gap"], p["own"])))
+        upto = running(F.transform(parts, lambda p: (F.size(p["gap"]) + F.size(p["own"])).cast("bigint")))
 
-        return let(_near(left, 2), lambda before: let(_near(right, 1), lambda after: seen(span, before, after)))
+        def one(words: Column, upto: Column, halves: Column) -> Column:
+            own = lambda i: F.size(F.get(parts, i)["own"])
+            return F.transform(spans_of(steps), lambda span, i: word(span, words, F.get(upto, i), own(i), halves))
 
-    def seen(span: Column, before: Column, after: Column) -> Column:
-        seed = F.exists(seeds, lambda s: (s["start"] < span["end"]) & (s["end"] > span["start"]))
+        return let(words, lambda w: let(upto, lambda u: let(_halves(F.size(seeds)), lambda h: one(w, u, h))))
+
+    def word(span: Column, words: Column, upto: Column, own: Column, halves: Column) -> Column:
+        place = lambda k: F.get(words, (upto - own + k).cast("int"))
+        last, after = F.coalesce(place(-1), F.lit("")), F.coalesce(F.get(words, upto.cast("int")), F.lit(""))
         return F.struct(
             span["start"].alias("start"),
             span["end"].alias("end"),
             _bare(span["text"]).alias("instance"),
-            F.array_join(_last(before, 2), " ").alias("two_before"),
-            F.concat(F.array_join(_last(before, 1), " "), F.lit(" _ "), F.array_join(F.slice(after, 1, 1), " ")).alias("around"),
-            seed.alias("seed"),
+            F.array_join(F.array(place(-2), place(-1)), " ").alias("two_before"),
+            F.concat(last, F.lit(" _ "), after).alias("around"),
+            _touched(span, seeds, halves).alias("seed"),
         )
 
-    return F.transform(match_spans(text, _WORD), one)
+    return let(match_steps(text, _WORD), lambda steps: let(F.transform(steps, near), lambda parts: seen(steps, parts)))
 
 
-def _near(side: Callable[[int], Column], n: int) -> Column:
-    """Words of one side of a place, the nearest ``n`` of them whole.
+def _words(part: Column) -> Column:
+    return F.filter(F.split(F.lower(part), r"[^\p{L}\p{N}_:=#]+"), lambda w: w != "")
+
+
+def _outer(words: Column) -> Column:
+    """The first and the last two words."""
+    return F.when(F.size(words) > 3, F.concat(F.slice(words, 1, 1), F.slice(words, -2, 2))).otherwise(words)
+
+
+def _halves(n: Column) -> Column:
+    """The powers of two up to ``n``, the greatest first: steps of a search by halves."""
+    return F.transform(F.sequence(F.length(F.bin(n)) - 1, F.lit(0), F.lit(-1)), lambda b: F.pow(F.lit(2), b).cast("int"))
 
-    The farthest word of a window may be cut, unless the window ends with the text.
-    """
-    words = lambda part: F.filter(F.split(F.lower(part), r"[^\p{L}\p{N}_:=#]+"), lambda w: w != "")
 
-    def within(reach: int, farther: Column) -> Column:
-        def chosen(part: Column) -> Column:
-            return let(words(part), lambda w: F.when((F.size(w) > n) | (F.length(part) < reach), w).otherwise(farther))
+def _touched(span: Column, seeds: Column, halves: Column) -> Column:
+    """Whether a seed overlaps the span: seeds of one kind do not overlap, so a search by halves finds the one to compare."""
+    n = F.size(seeds)
 
-        return let(side(reach), chosen)
+    def of_kind(kind: int) -> Column:
+        def passed(seed: Column) -> Column:
+            return (seed["kind"] < kind) | ((seed["kind"] == kind) & (seed["end"] <= span["start"]))
 
-    out = words(side(_ALL))
-    for reach in reversed(_REACHES):
-        out = within(reach, out)
-    return out
+        def go(at: Column, step: Column) -> Column:
+            return F.when((at + step <= n) & passed(F.get(seeds, at + step - 1)), at + step).otherwise(at)
 
+        first = F.get(seeds, F.aggregate(halves, F.lit(0), go))
+        return F.coalesce((first["kind"] == kind) & (first["start"] < span["end"]), F.lit(False))
 
-def _last(words: Column, n: int) -> Column:
-    return F.slice(words, F.greatest(F.size(words) - n + 1, F.lit(1)), F.lit(n))
+    touched = of_kind(0)
+    for kind in range(1, len(PATTERNS)):
+        touched = touched | of_kind(kind)
+    return (n > 0) & touched
 
 
 def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -170,13 +186,13 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     based = texts.select(
         "doc_id",
         "text",
-        F.concat(*[keyed(spans, k, by_start=False) for k, spans in enumerate(kinds)]).alias("base"),
+        F.sort_array(F.concat(*[keyed(spans, k, by_start=False) for k, spans in enumerate(kinds)])).alias("base"),
     )
     rows = stored(
         based.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
-            F.sort_array("base").alias("base"),
+            "base",
             F.when(F.col("text").rlike("[0-9@]"), _seen(F.col("text"), F.col("base"))).alias("words"),
         ),
         "private",

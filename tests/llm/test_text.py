@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import ODD
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rowtide.llm import bpe, exact_dedup, packing, pii, quality_rules, secret_scan, token_counts, toxicity
@@ -157,6 +158,36 @@ PRIVATE = [
 ]
 
 
+def test_private_data_of_one_long_text(documents):
+    """Spans beyond one block of running sums, seeds of several kinds, neighbours across seeds."""
+    text = " ".join(f"write to é{i} user{i}@mail{i}.org or 10.0.{i % 300}.7 ! id{i}" for i in range(700))
+    row = pii.private_report(documents([(1, text), (2, None), (3, "")])).where("doc_id = 1").collect()[0]
+    mails = [("email", m.start(), m.end()) for m in re.finditer(r"[a-z0-9]+@[a-z0-9]+\.org", text)]
+    hosts = [("ip", m.start(), m.end()) for m in re.finditer(r"10\.0\.([0-9]+)\.7", text) if int(m[1]) < 256]
+    base = ",".join(f"{k}:{s}:{e}" for k, s, e in mails + hosts)
+    assert (row.n_email, row.n_ip) == (len(mails), len(hosts))
+    assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert row.spans.startswith(base)
+
+
+def test_words_seen_around_identifiers(spark):
+    """Neighbours and seeds of identifier-like words, against a plain reading of the text."""
+    texts = ["", "1", " a 1 b", "a b 1 2 ! c", "x @ @ !! 3 a.b.c.d 9 end", " ".join(f"w{i % 7} - q, é a@b.cd !" for i in range(300))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    kinds = pii.base_spans(F.col("text"))
+    base = F.sort_array(F.concat(*[pii.keyed(found, k, by_start=False) for k, found in enumerate(kinds)]))
+    rows = df.withColumn("base", base).select("text", "base", pii._seen(F.col("text"), F.col("base")).alias("words")).collect()
+    words_of = lambda part: [w for w in re.split(r"[^\w:=#]+", part.lower()) if w]
+    for r in rows:
+        places = [m.span() for m in re.finditer(r"[^ \t-\r]+", r.text) if re.search("[0-9@]", m[0])]
+        assert [(w.start, w.end) for w in r.words] == places
+        for w in r.words:
+            before, after = words_of(r.text[: w.start]), words_of(r.text[w.end :])
+            assert w.two_before == " ".join(before[-2:])
+            assert w.around == " ".join(before[-1:]) + " _ " + " ".join(after[:1])
+            assert w.seed == any(b.start < w.end and b.end > w.start for b in r.base)
+
+
 def test_private_data(documents):
     digits = lambda s: re.sub("[^0-9]", "", s)
 
