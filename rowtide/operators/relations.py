@@ -22,6 +22,11 @@ RANGES_PER_BLOCK = 1 << 12  # ranges of a key looked back over at a time
 SPREAD = 64  # parts the ranges of one long-lived description are dealt to
 
 
+def _unsent(df: DataFrame) -> DataFrame:
+    """Not to be broadcast: the size Spark expects of a few columns of wide stored records is far below theirs."""
+    return df.hint("merge")
+
+
 def _range_of(frame_no: Column, width: int) -> Column:
     return F.floor(frame_no / F.lit(width)).cast("bigint")
 
@@ -52,7 +57,7 @@ def validity(descriptions: DataFrame, keys: list[str], rows: int, width: int = R
     )
     return (
         ranged.withColumn("_next", F.lead("frame_no").over(in_range))
-        .join(firsts, [*keys, "_range"], "left")
+        .join(_unsent(firsts), [*keys, "_range"], "left")
         .withColumn("valid_to", F.coalesce("_next", "_next_range"))
         .drop("_range", "_next", "_next_range")
     )
@@ -88,7 +93,7 @@ def in_force(touched: DataFrame, intervals: DataFrame, keys: list[str], width: i
     return (
         steps.withColumn("_inside", F.max("_last").over(inside))
         .filter("_asked")
-        .join(blocks, [*keys, "_block"])
+        .join(_unsent(blocks), [*keys, "_block"])
         .select(*keys, "_range", F.coalesce("_inside", "_carried").alias("valid_from"))
         .filter(F.col("valid_from").isNotNull())
     )
@@ -101,8 +106,8 @@ def by_range(touched: DataFrame, intervals: DataFrame, keys: list[str], width: i
     """
     needed = in_force(touched, intervals, keys, width).withColumn("_part", F.pmod("_range", F.lit(SPREAD)))
     # An interval that lasts over very many ranges goes to them in parts.
-    parts = needed.select(*keys, "valid_from", "_part").distinct().join(intervals, [*keys, "valid_from"])
-    lasting = needed.join(parts, [*keys, "valid_from", "_part"]).filter(
+    parts = needed.select(*keys, "valid_from", "_part").distinct().join(_unsent(intervals), [*keys, "valid_from"])
+    lasting = needed.join(_unsent(parts), [*keys, "valid_from", "_part"]).filter(
         F.col("valid_to").isNull() | (F.col("valid_to") > F.col("_range") * width)
     )
     columns = [*intervals.columns, "_range"]
@@ -140,8 +145,7 @@ def interval_join(
     condition = inside
     for k in on:
         condition = (F.col(k) == F.col(f"_k_{k}")) & condition
-    if size_bytes <= limit:
-        right = F.broadcast(right)
+    right = F.broadcast(right) if size_bytes <= limit else _unsent(right)
     return rows.join(right, condition, how).drop(*[f"_k_{k}" for k in on], "_range", "valid_from", "valid_to")
 
 
