@@ -7,14 +7,19 @@ With a journal it is also written down at once, for an attempt that follows a lo
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from rowtide.streaming import journal as journals
 from rowtide.streaming.journal import Journal
@@ -29,6 +34,12 @@ NOT_SENT = "not sent: an earlier message of the lane failed"
 CUT_SHORT = "not sent again: an earlier attempt ended before its outcome was known"
 LOG_COLUMNS = ["session_id", "frame_no", "sink", "ok", "error"]
 LOG_TYPES = ["string", "bigint", "string", "boolean", "string"]
+_LOG_ARROW = pa.schema(list(zip(LOG_COLUMNS, [pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string()])))
+
+# Messages are packed by ranges of frame numbers, in slices of at most so many rows and bytes.
+SLICE_FRAMES = 1 << 20
+SLICE_ROWS = 2_000
+SLICE_BYTES = 4 << 20
 
 
 def journaled(spark: SparkSession, journal: Journal) -> DataFrame:
@@ -61,7 +72,7 @@ class Lanes:
 
     def send(self, message: dict, lane, held: bool = False) -> tuple:
         session, number, sink = message.get("session_id"), int(message["frame_no"]), message["sink"]
-        if (session, number) in self._accepted:
+        if self._accepted and (session, number) in self._accepted:
             return session, number, sink, True, None
         if held or lane in self._stopped:
             return session, number, sink, False, NOT_SENT
@@ -88,24 +99,105 @@ class Lanes:
             self._outcomes.close()
 
 
-def _sender(
-    deliver: Deliver,
-    stop_on_error: bool,
-    lanes: Sequence[str] = ("session_id",),
-    journal: Journal | None = None,
-) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _values(column: pa.Array) -> list:
+    """Values of a column; equal texts are one object, so a slice holds them once."""
+    if column.null_count == len(column):
+        return [None] * len(column)
+    if pa.types.is_map(column.type):
+        keys, items = _values(column.keys), _values(column.items)
+        bounds = column.offsets.to_pylist()
+        known = column.is_valid().to_pylist()
+        pairs = zip(known, bounds, bounds[1:])
+        return [dict(zip(keys[a:b], items[a:b])) if valid else None for valid, a, b in pairs]
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        return column.to_pandas().tolist()
+    if pa.types.is_integer(column.type) and not column.null_count:
+        return column.to_numpy().tolist()
+    return column.to_pylist()
+
+
+def _messages(batch: pa.RecordBatch) -> list[dict]:
+    """Rows as ``deliver`` takes them; maps become dicts."""
+    names = batch.schema.names
+    return [dict(zip(names, row)) for row in zip(*map(_values, batch.columns))]
+
+
+def _packed(messages: list[dict]) -> Iterator[tuple[int, int, bytes]]:
+    """``(first frame, last frame, slice)`` of messages in frame order."""
+    data = pickle.dumps(messages, protocol=5)
+    if len(messages) > SLICE_ROWS or (len(data) > SLICE_BYTES and len(messages) > 1):
+        half = len(messages) // 2
+        yield from _packed(messages[:half])
+        yield from _packed(messages[half:])
+        return
+    body = len(data).to_bytes(8, "big") + pa.compress(data, codec="zstd", asbytes=True)
+    yield messages[0]["frame_no"], messages[-1]["frame_no"], body
+
+
+def unpacked(data: bytes) -> list[dict]:
+    """The messages of a slice."""
+    return pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "big"), codec="zstd", asbytes=True))
+
+
+def _packer(keys: Sequence[str], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ranges = batch.column("_range").to_pylist()
+            messages = _messages(batch.drop_columns(["_range"]))
+            rows = []
+            for place, run in groupby(zip(messages, ranges), lambda one: (*[one[0][k] for k in keys], one[1])):
+                rows += [(*place[:-1], *part) for part in _packed([message for message, _range in run])]
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema=schema)
+
+    return pack
+
+
+def pack_lanes(outbox: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(*keys, _first, _last, _slice)``: the messages of each key in frame order, compressed, many to a row.
+
+    Rows become messages here, over all tasks, so the one task that sends a lane only takes slices in order: it neither
+    sorts nor converts rows, and holds some ten bytes of a message until its turn.
+    """
+    ranged = outbox.withColumn("_range", F.floor(F.col("frame_no") / SLICE_FRAMES))
+    ordered = ranged.repartition(*keys, "_range").sortWithinPartitions(*keys, "_range", "frame_no")
+    added = [StructField("_first", LongType()), StructField("_last", LongType()), StructField("_slice", BinaryType())]
+    schema = StructType([*[StructField(k, outbox.schema[k].dataType) for k in keys], *added])
+    return ordered.mapInArrow(_packer(keys, to_arrow_schema(schema)), schema)
+
+
+def log_batch(outcomes: Sequence[tuple]) -> pa.RecordBatch:
+    """Outcomes as rows of the delivery log."""
+    columns = zip(*outcomes)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LOG_ARROW)], schema=_LOG_ARROW)
+
+
+def _lane_sender(
+    deliver: Deliver, stop_on_error: bool, lanes: Sequence[str], journal: Journal | None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = Lanes(deliver, stop_on_error, journal, f"task-{TaskContext.get().partitionId()}")
         try:
             for batch in batches:
-                outcome = [sent.send(m, tuple(m.get(name) for name in lanes)) for m in batch.to_dict("records")]
-                yield pd.DataFrame(outcome, columns=LOG_COLUMNS)
+                places = [batch.column(name) for name in lanes]
+                for i, data in enumerate(batch.column("_slice")):
+                    lane = tuple(place[i].as_py() for place in places)
+                    yield log_batch([sent.send(message, lane) for message in unpacked(data.as_py())])
         finally:
             sent.close()
 
     return send
 
 
+def _sender(deliver: Deliver) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sent = Lanes(deliver, False, None, "")
+        for batch in batches:
+            outcome = [sent.send(message, message.get("session_id")) for message in batch.to_dict("records")]
+            yield pd.DataFrame(outcome, columns=LOG_COLUMNS)
+
+    return send
+
+
 def deliver_changes(
     outbox: DataFrame,
     deliver: Deliver,
@@ -115,20 +207,21 @@ def deliver_changes(
 ) -> DataFrame:
     """Send change messages; lanes in parallel, each in frame order.
 
-    Order is kept inside a lane, and a failure stops its lane only. Rows stream
-    through the task that owns their lane and are never collected; how many
-    there are is bounded by the size of the micro-batch. ``lanes=('session_id',
+    Order is kept inside a lane, and a failure stops its lane only. Messages are made and
+    packed over all tasks (``pack_lanes``) and stream through the task that owns their lane slice by
+    slice; how many there are is bounded by the size of the micro-batch. ``lanes=('session_id',
     'msg_key')`` keeps order per Kafka key only; ``rowtide.streaming.epochs`` spreads a busy
     session over all tasks, for any sink. A task that Spark runs again sends what ``journal`` does not name
     as accepted; without one it sends its lanes again.
     """
+    packed = pack_lanes(outbox, list(dict.fromkeys(["session_id", *lanes])))
     if journal:  # the number of parts is then fixed: a lane stays in the part its earlier attempts wrote under
         parts = int(outbox.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = outbox.repartition(parts, *lanes)
+        spread = packed.repartition(parts, *lanes)
     else:
-        spread = outbox.repartition(*lanes)
-    ordered = spread.sortWithinPartitions("session_id", "frame_no")
-    return ordered.mapInPandas(_sender(deliver, stop_on_error, tuple(lanes), journal), LOG_SCHEMA)
+        spread = packed.repartition(*lanes)
+    ordered = spread.sortWithinPartitions("session_id", "_first", "_last")
+    return ordered.mapInArrow(_lane_sender(deliver, stop_on_error, tuple(lanes), journal), LOG_SCHEMA)
 
 
 def sliced_notifications(outbox: DataFrame) -> DataFrame:
@@ -180,4 +273,4 @@ def deliver_slices(stored: DataFrame, deliver: Deliver, journal: Journal) -> Dat
 def deliver_notifications(outbox: DataFrame, deliver: Deliver) -> DataFrame:
     """Send notifications without a journal: once each unless Spark runs a task again."""
     ordered = outbox.repartitionByRange("frame_no").sortWithinPartitions("frame_no")
-    return ordered.mapInPandas(_sender(deliver, stop_on_error=False), LOG_SCHEMA)
+    return ordered.mapInPandas(_sender(deliver), LOG_SCHEMA)
