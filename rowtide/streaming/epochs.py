@@ -16,14 +16,14 @@ import json
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import BarrierTaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.constants import DML
 from rowtide.session import write_shared
-from rowtide.streaming.deliver import Deliver, Lanes
+from rowtide.streaming.deliver import Deliver, Lanes, log_batch, pack_lanes, unpacked
 from rowtide.streaming.journal import Journal
 from rowtide.streaming.progress import LOG_SCHEMA
 
@@ -98,6 +98,7 @@ def plan_epochs(
     silent = events.filter(F.col("op") == "relation").withColumn("_sent", F.lit(False))
     marked = with_lanes(forwarded.withColumn("_sent", F.lit(True)).unionByName(silent))
     few = marked.select("session_id", "frame_no", "lane", F.col("is_barrier").cast("bigint").alias("_kind"), "_sent")
+    few = write_shared(few, "epochs")  # the bounds of its slices are sampled: events are decoded once
     parts = slices or few.sparkSession.sparkContext.defaultParallelism
     sliced = few.repartitionByRange(parts, "session_id", "frame_no")
     placed = write_shared(sliced.withColumn("_slice", F.spark_partition_id()), "epochs")
@@ -113,7 +114,7 @@ def plan_epochs(
 
 
 def _epoch_sender(deliver: Deliver, stop_on_error: bool, rounds: int, journal: Journal | None):
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
         lanes = Lanes(deliver, stop_on_error, journal, f"task-{context.partitionId()}")
         failed: set = set()  # sessions that stopped in a step all tasks have left
@@ -125,13 +126,13 @@ def _epoch_sender(deliver: Deliver, stop_on_error: bool, rounds: int, journal: J
         step = 0
         try:
             for batch in batches:
-                outcome = []
-                for message in batch.to_dict("records"):
-                    while step < message["step"]:
+                places = zip(*(batch.column(name).to_pylist() for name in ("step", "session_id", "lane")))
+                for (due, session, lane), data in zip(places, batch.column("_slice")):
+                    while step < due:
                         meet()
                         step += 1
-                    outcome.append(lanes.send(message, message["lane"], message["session_id"] in failed))
-                yield pd.DataFrame(outcome, columns=["session_id", "frame_no", "sink", "ok", "error"])
+                    held = session in failed
+                    yield log_batch([lanes.send(message, lane, held) for message in unpacked(data.as_py())])
             while step < rounds:
                 meet()
                 step += 1
@@ -160,9 +161,9 @@ def deliver_epochs(
         raise ValueError("epochs need a fixed number of executors: Spark runs no barrier stage under dynamic allocation")
     last = epochs.agg(F.max("step")).first()[0] or 0
     lanes = (
-        outbox.join(epochs, ["session_id", "frame_no"])
+        pack_lanes(outbox.join(epochs, ["session_id", "frame_no"]), ["step", "session_id", "lane"])
         .repartition(tasks or spark.sparkContext.defaultParallelism, "lane")
-        .sortWithinPartitions("step", "session_id", "frame_no")
+        .sortWithinPartitions("step", "session_id", "_first", "_last")
     )
     sender = _epoch_sender(deliver, stop_on_error, last, journal)
-    return write_shared(lanes.mapInPandas(sender, LOG_SCHEMA, barrier=True), "delivered")
+    return write_shared(lanes.mapInArrow(sender, LOG_SCHEMA, barrier=True), "delivered")

@@ -1,6 +1,17 @@
 """Steps that must not grow faster than their input: what one task or the driver takes."""
 
+from pyspark.sql import functions as F
+
 from rowtide.operators import relations as rel
+from rowtide.streaming.deliver import SLICE_ROWS, deliver_changes, pack_lanes, unpacked
+from rowtide.streaming.epochs import deliver_epochs
+
+OUTBOX = ["'kafka' AS sink", "'x' AS msg_key", "map('a', cast(id AS string), 'b', NULL) AS headers", "'é' AS body"]
+
+
+def outbox(spark, sessions, numbers=6_000):
+    rows = spark.range(numbers).selectExpr(f"explode(array({sessions})) AS session_id", "id AS frame_no", *OUTBOX)
+    return rows.orderBy(F.rand(5)).withColumn("position", F.col("frame_no").cast("decimal(20,0)"))
 
 
 def test_ranges_are_never_broadcast(spark):
@@ -10,3 +21,45 @@ def test_ranges_are_never_broadcast(spark):
     assert sorted(r["frame_no"] for r in cut.collect()) == [0, 1, 2, 3, 4]
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_lane_reaches_its_task_packed(spark):
+    rows = outbox(spark, "'s', 't', NULL")
+    packed = pack_lanes(rows, ["session_id", "msg_key"]).collect()
+    assert len(packed) <= 3 * (6_000 // SLICE_ROWS + 6)
+    for session in ("s", "t", None):
+        parts = sorted((p for p in packed if p["session_id"] == session), key=lambda p: (p["_first"], p["_last"]))
+        messages = [message for part in parts for message in unpacked(part["_slice"])]
+        assert [m["frame_no"] for m in messages] == list(range(6_000))
+        want = rows.filter(F.col("session_id").eqNullSafe(F.lit(session))).orderBy("frame_no").collect()
+        assert messages == [r.asDict() for r in want]
+
+
+def test_packed_lanes_keep_order_and_stop(spark):
+    def deliver(message, last={}):
+        session, number = message["session_id"], message["frame_no"]
+        if number < last.get(session, -1):
+            raise ValueError("out of order")
+        last[session] = number
+        if session == "t" and number == 4_000:
+            raise ValueError("refused")
+
+    rows = outbox(spark, "'s', 't', 't', NULL")  # the frames of one session come twice
+    log = deliver_changes(rows, deliver).collect()
+    assert len(log) == 24_000 and all(r["ok"] for r in log if r["session_id"] != "t")
+    assert sum(r["ok"] for r in log if r["session_id"] == "t") == 8_000
+    errors = sorted(r["error"] for r in log if r["error"] and r["session_id"] == "t")
+    assert errors[-1] == "refused" and len(errors) == 4_000 and "out of order" not in errors
+
+
+def test_epochs_take_packed_lanes(spark):
+    def deliver(message, last={}):
+        session = message["session_id"]
+        if message["step"] < last.get(session, 0):
+            raise ValueError("out of order")
+        last[session] = message["step"]
+
+    rows = outbox(spark, "'s', 't'")
+    plan = rows.selectExpr("session_id", "frame_no", "frame_no div 3000 AS epoch", "frame_no div 3000 AS step", "frame_no % 5 AS lane")
+    log = deliver_epochs(rows, plan, deliver, tasks=4).collect()
+    assert len(log) == 12_000 and all(r["ok"] for r in log)
