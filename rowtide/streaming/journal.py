@@ -12,6 +12,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from json.encoder import encode_basestring_ascii
 
 from pyarrow import fs
 
@@ -29,8 +30,11 @@ class Outcomes:
     def __init__(self, stream) -> None:
         self._stream = stream
 
-    def add(self, *outcome) -> None:
-        self._stream.write((json.dumps(outcome) + "\n").encode())
+    def add(self, session: str | None, number: int, sink: str | None, ok: bool, error: str | None) -> None:
+        session, sink, error = (
+            "null" if text is None else encode_basestring_ascii(text) for text in (session, sink, error)
+        )
+        self._stream.write(f"[{session}, {number}, {sink}, {'true' if ok else 'false'}, {error}]\n".encode())
         self._stream.flush()
 
     def close(self) -> None:
