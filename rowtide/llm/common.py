@@ -35,11 +35,11 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-_REMEMBERING: list[dict] = []
+_REMEMBERING: list = []
 
 
-def remember_only(memory: dict) -> None:
-    """Empty what another operator still remembers in this Python worker, which Spark reuses."""
+def remember_only(memory) -> None:
+    """Empty (``clear``) what another operator still remembers in this Python worker, which Spark reuses."""
     for other in _REMEMBERING:
         if other is not memory:
             other.clear()

@@ -8,22 +8,33 @@ from __future__ import annotations
 
 import functools
 import gc
+import itertools
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.bpe import SHORT, pieces
+from rowtide.llm.bpe import SHORT, byte_letters, pieces
 from rowtide.llm.common import text_or_empty
 
 BATCH_BYTES = 1 << 18
 BLOCK_CHARS = 1 << 20
 LONG_CHARS = 1 << 16
 REMEMBERED = 1_600_000
+# Characters of plain pieces that go to the library as one text.
+JOINED_CHARS = 1 << 14
+# A split rule and the normalisation before it. Under them a plain piece - signs, or letters (of old,
+# so that any version of Unicode knows them) with signs behind them or none - holds a word for its letters and one
+# for its signs, or more where a letter falls apart, never less.
+LETTERS_OR_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN_STEPS = ["NFC", "Replace", "Lowercase"]
+PLAIN = re.compile(r"([!-&(-/:;=>?@\[-`{-~]+)|[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+([!-&(-/:;=>?@\[-`{-~]+)?")
 
 
 def words_drop_space(spec: str) -> bool:
@@ -48,6 +59,27 @@ def space_starts_word(spec: str) -> bool:
     )
 
 
+def word_ends(spec: str) -> np.ndarray | None:
+    """By id, whether it ends a word, where the file's rule is known to cut plain pieces as said of ``PLAIN``; else None."""
+    rule = json.loads(spec)
+    model, cut, steps = rule["model"], rule.get("pre_tokenizer") or {}, rule.get("normalizer") or {}
+    end, vocab = model.get("end_of_word_suffix"), model.get("vocab")
+    split, *then = cut.get("pretokenizers") or [{}]
+    if (
+        not end
+        or model.get("dropout")
+        or split.get("pattern") != {"Regex": LETTERS_OR_SIGNS}
+        or [(t["type"], t["use_regex"], t["add_prefix_space"]) for t in then] != [("ByteLevel", False, False)]
+        or [t["type"] for t in steps.get("normalizers") or []] != PLAIN_STEPS
+        or any("<" not in t["content"] for t in rule["added_tokens"])
+        or any(c + end not in vocab for c in byte_letters())
+    ):
+        return None
+    out = np.zeros(max(vocab.values()) + 1, bool)
+    out[[i for token, i in vocab.items() if token.endswith(end)]] = True
+    return out
+
+
 class Library:
     """A tokenizers (.json) or sentencepiece (.model) file, as batches of strings to lists of ids."""
 
@@ -61,6 +93,7 @@ class Library:
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda batch: model.encode(batch, num_threads=1)
             self.by_word = self.lower = self.long_cut = False  # pieces see the text's start, so it stays whole
+            self.ends = None
         else:
             from tokenizers import Tokenizer
 
@@ -73,6 +106,7 @@ class Library:
             self.by_word, self.lower = words_drop_space(spec), '"Lowercase"' in spec
             # Otherwise a token starts anew at a space between two lower-case letters, if the rule says so.
             self.long_cut = space_starts_word(spec) and regex.compile(r"(?<=\p{Ll})(?= \p{Ll})")
+            self.ends = word_ends(spec) if self.by_word else None
 
     def cut(self, text: str) -> list[str]:
         if self.by_word:
@@ -89,6 +123,29 @@ class Library:
         return [*out, text[start:]]
 
 
+    def id_bytes(self, batch: list[str]) -> list[bytes]:
+        """The ids of each piece as little-endian 32-bit numbers; plain pieces are encoded as one text.
+
+        No token crosses white space, so the ids of a joined text are those of its pieces in a row, and the ends of
+        words tell them apart. If there are more ends than plain pieces make, the pieces go one by one.
+        """
+        words = [(m.lastindex or 1) if (m := PLAIN.fullmatch(p)) else 0 for p in batch] if self.ends is not None else []
+        plain = [p for p, n in zip(batch, words) if n]
+        if plain:
+            ids = np.asarray(self.encode([" ".join(plain)])[0], "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            last = np.cumsum([n for n in words if n])
+            if len(ends) == last[-1] and ends[-1] == len(ids):
+                data, stops = ids.tobytes(), (4 * ends[last - 1]).tolist()
+                found = iter([data[a:b] for a, b in zip([0, *stops], stops)])
+                others = iter(self._each([p for p, n in zip(batch, words) if not n]))
+                return [next(found if n else others) for n in words]
+        return self._each(batch)
+
+    def _each(self, batch: list[str]) -> list[bytes]:
+        return [np.asarray(ids, "<u4").tobytes() for ids in self.encode(batch)] if batch else []
+
+
 @functools.lru_cache(maxsize=4)
 def load(path: str) -> Library:
     return Library(path)
@@ -129,7 +186,37 @@ class Remembered:
         return out
 
 
-def values_of(library: Library, known: Remembered, texts: pa.Array) -> Iterator[list]:
+class RecentIds:
+    """The ids of pieces, as bytes, asked from the library once while remembered.
+
+    Of at most ``limit`` pieces those not used of late are forgotten when half of it is used, the frequent ones stay.
+    """
+
+    def __init__(self, library: Library, limit: int):
+        self.library, self.half = library, limit // 2
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.before = {}, {}
+
+    def of(self, parts: list[str]) -> list[bytes]:
+        out = list(map(self.known.get, parts))
+        places = [k for k, ids in enumerate(out) if ids is None]
+        if places:
+            missing, before = dict.fromkeys([parts[k] for k in places]), self.before
+            fresh = {p: before[p] for p in missing if p in before}
+            for batch in balanced([p for p in missing if p not in fresh], JOINED_CHARS):
+                fresh.update(zip(batch, self.library.id_bytes(batch)))
+            for k in places:
+                out[k] = fresh[parts[k]]
+            if len(self.known) + len(fresh) > self.half:
+                self.before, self.known = self.known, {}
+            short = ((p, ids) for p, ids in fresh.items() if len(p) <= SHORT)
+            self.known.update(itertools.islice(short, self.half))
+        return out
+
+
+def values_of(library: Library, known: Remembered | RecentIds, texts: pa.Array) -> Iterator[list]:
     """The values of each text's pieces; texts go to the library in blocks of about equal size."""
     block, held = [], 0
     for k, text in enumerate(texts):
