@@ -24,6 +24,9 @@ from rowtide.streaming.deliver import Deliver, DeliveryFailed, deliver_changes,
 from rowtide.streaming.epochs import deliver_epochs, plan_epochs
 from rowtide.streaming.journal import Journal
 
+# What dead letters and positions are made of.
+_CONFIRMED = ["session_id", "frame_no", "wal_end", "kind", "position", "error_class", "error"]
+
 
 @dataclass
 class ChangeStream:
@@ -89,18 +92,22 @@ def process_batch(
     fence = fence or (lambda: None)
     with intermediates(spark):
         control = changes.read_control(batch, state.carried(spark, consumer, batch_id))
-        # Decoded once for outbox, dead letters and positions; images are built for what is forwarded. The
-        # micro-batch is bounded by its trigger and spills to disk when it must.
-        events = changes.decode_changes(batch, control=control, images=stream.condition()).persist()
+        # With a delivery, events are decoded once for messages, dead letters and positions; images are built for what is
+        # forwarded. An outbox is written from a reading of its own, as whole events cost more to keep than to read: what is
+        # kept then is checked by lengths only. The micro-batch is bounded by its trigger and spills to disk when it must.
+        images = stream.condition()
+        events = changes.decode_changes(batch, control=control, images=images if stream.deliver else False)
+        events = (events if stream.deliver else events.select(_CONFIRMED)).persist()
         try:
-            forwarded = stream.forward(events)
-            rows = stream.address(forwarded)
             failures = None
             fence()
             if stream.deliver is None:
+                whole = changes.decode_changes(batch, control=control, images=images)
+                rows = stream.address(stream.forward(whole))
                 _write_outbox(stream, rows, consumer.batch_folder("outbox", batch_id))
             else:
-                failures = _deliver(stream, events, forwarded, rows, batch_id)
+                forwarded = stream.forward(events)
+                failures = _deliver(stream, events, forwarded, stream.address(forwarded), batch_id)
             changes.dead_letters(events).write.mode("overwrite").parquet(
                 consumer.batch_folder("dead_letters", batch_id)
             )

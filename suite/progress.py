@@ -23,9 +23,10 @@ def _root(spark):
 
 
 def _stored(spark, sf_dir, root, where=None):
-    """Frames as files a stream can read; a second call adds the rest."""
+    """Frames as files a stream can read, in frame order and about equal; a second call adds the rest."""
     rows = frames(spark, sf_dir)
-    (rows if where is None else rows.filter(where)).write.mode("append").parquet(f"{root}/frames")
+    rows = rows if where is None else rows.filter(where)
+    rows.repartitionByRange("session_id", "frame_no").write.mode("append").parquet(f"{root}/frames")
     return spark.readStream.schema(FRAMES_SCHEMA).parquet(f"{root}/frames")
 
 

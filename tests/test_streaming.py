@@ -44,6 +44,25 @@ def run(spark, path, stream, files=1):
     query.awaitTermination()
 
 
+def test_outbox_keeps_no_whole_events(spark, tmp_path, monkeypatch):
+    frames = capture(spark)
+    path, root = str(tmp_path / "frames"), str(tmp_path / "root")
+    write_parts(frames, path, 1)
+    kept, decode = [], changes.decode_changes
+    frame = type(frames)
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *level: kept.append(self.columns) or persist(self, *level))
+    consumer = progress.open_consumer(spark, root, "lean")
+    run(spark, path, ChangeStream(consumer))
+    assert len(kept) == 1 and not {"old", "new", "columns", "tables"} & set(kept[0])
+    out = stream_changes.read_outbox(spark, consumer).collect()
+    assert sorted((r["session_id"], r["frame_no"], r["body"]) for r in out) == expected(frames)
+    letters = spark.read.parquet(consumer.folder("dead_letters")).drop("batch_id").collect()
+    assert letters and sorted(letters) == sorted(changes.dead_letters(decode(frames)).collect())
+    reached = progress.session_positions(spark, consumer).collect()
+    assert sorted(reached) == sorted(progress.confirmed_positions(decode(frames)).collect())
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_stream_equals_batch(spark, tmp_path, parts):
     frames = capture(spark)
