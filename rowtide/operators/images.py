@@ -165,10 +165,11 @@ def _walks(payloads: pa.Array, images: pa.Array, collect: bool) -> tuple[np.ndar
     return data, good, first, second
 
 
-def _read(payload: pa.Array, images: pa.Array, build: pa.Array) -> pa.Array:
+def _read(payload: pa.Array, images: pa.Array, build: pa.Array = None) -> pa.Array:
+    """``build`` per row: whether its cells are wanted; without it, of all rows."""
     data, good, first, second = _walks(payload, images, collect=True)
     wanted = images.fill_null(0).to_numpy(zero_copy_only=False)
-    built = good & build.fill_null(False).to_numpy(zero_copy_only=False)
+    built = good if build is None else good & build.fill_null(False).to_numpy(zero_copy_only=False)
     columns = [
         pa.array(~good),
         _cells(data, first, built & (wanted > 0)),
