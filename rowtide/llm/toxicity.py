@@ -249,10 +249,10 @@ class Evidence:
 _LATEST: dict[str, tuple[Evidence, Memo]] = {}
 
 
-def _score(evidence: Evidence, texts: pd.Series) -> pd.Series:
+def _score(evidence: Evidence, texts: pd.Series, remembered: int = REMEMBERED) -> pd.Series:
     if evidence.name not in _LATEST:
         _LATEST.clear()  # one model at a time in a worker
-        _LATEST[evidence.name] = evidence, Memo(evidence.of_chunk, REMEMBERED)
+        _LATEST[evidence.name] = evidence, Memo(evidence.of_chunk, remembered)
     evidence, memo = _LATEST[evidence.name]
     remember_only(memo)
     out = []
@@ -265,12 +265,12 @@ def _score(evidence: Evidence, texts: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def toxicity_score(text: Column, evidence: Evidence) -> Column:
+def toxicity_score(text: Column, evidence: Evidence, remembered: int = REMEMBERED) -> Column:
     """Score from 0 to 1 of a text column; null and empty texts score as texts without evidence."""
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return _score(evidence, texts)
+        return _score(evidence, texts, remembered)
 
     return score(text_or_empty(text))
 
@@ -530,6 +530,11 @@ def score_documents(docs: DataFrame, evidence: Evidence, id_col: str = "doc_id",
     )
 
 
-def drop_toxic(docs: DataFrame, evidence: Evidence, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are predicted toxic; all columns stay."""
-    return docs.where(toxicity_score(docs[text_col], evidence) < THRESHOLD)
+def drop_toxic(
+    docs: DataFrame, evidence: Evidence, text_col: str = "text", remembered: int = REMEMBERED
+) -> DataFrame:
+    """``docs`` without the rows that are predicted toxic; all columns stay.
+
+    ``remembered`` bounds the chunks a Python worker keeps; it changes time and memory, never the rows.
+    """
+    return docs.where(toxicity_score(docs[text_col], evidence, remembered) < THRESHOLD)

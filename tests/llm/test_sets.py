@@ -139,3 +139,21 @@ def test_pipeline_stages(spark, small):
     assert rows[2_000_000] == "fine words about a [SECRET] here"
     assert len(rows) < docs.count() + 6
     assert corpus_pipeline.run(spark, small).columns[-2:] == ["sequence_id", "offset"]
+
+
+def test_bounded_memory_leaves_the_rows(spark):
+    """What a worker may remember in the pipeline, far below the words there are."""
+    import numpy as np
+    import pandas as pd
+
+    from rowtide.llm import near_dedup, toxicity
+
+    texts = pd.Series([f"some word{k} and an evil{k % 3} thing" for k in range(400)] + ["", "evilly"])
+    model = np.zeros((toxicity.SYMBOLS,) * 3, np.float32)
+    score = lambda **bound: list(toxicity._score(toxicity.Evidence(model, {"evil": 2.0}, 1.0, -1.0), texts, **bound))
+    few = score(remembered=7)
+    assert few == score() and len(set(few)) > 1
+    assert len(next(iter(toxicity._LATEST.values()))[1]) > 7
+    score(remembered=7)
+    assert len(next(iter(toxicity._LATEST.values()))[1]) <= 7
+    assert near_dedup._WORDS.limit == near_dedup.WORDS_REMEMBERED <= 200_000
