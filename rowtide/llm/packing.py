@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import remember_only, small_batches, stored, text_or_empty
-from rowtide.llm.token_counts import RecentIds, load, values_of
+from rowtide.llm.token_counts import RecentIds, RecentWords, load, values_of
 
 CAPACITY = 4096
 END_ID = 1
-REMEMBERED = 700_000
+# Half of it just fits a dict before it takes twice the room.
+REMEMBERED = 699_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
@@ -109,7 +110,8 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int
 
 @functools.lru_cache(maxsize=2)
 def _recent(path: str, remembered: int) -> RecentIds:
-    return RecentIds(load(path), remembered)
+    library = load(path)
+    return (RecentIds if library.words is None else RecentWords)(library, remembered)
 
 
 def _pieces(
@@ -167,9 +169,9 @@ def pack(
     plan = plan_bins(counts, capacity)
 
     spark = docs.sparkSession
-    plan_rows = spark.createDataFrame(
-        plan, "length long, first long, last long, per_bin long, bin long, at long"
-    )
+    columns, names = zip(*plan) if plan else [()] * 6, ["length", "first", "last", "per_bin", "bin", "at"]
+    # As an Arrow table no Python worker handles it: executors would keep others, and what starts them, for this alone.
+    plan_rows = spark.createDataFrame(pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     # A part's pieces of one length fall in few runs: cut each part's span of ranks by the plan.

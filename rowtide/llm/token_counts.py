@@ -12,6 +12,7 @@ import itertools
 import json
 import os
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.bpe import SHORT, byte_letters, pieces
+from rowtide.llm.bpe import SHORT, Memo, byte_letters, pieces
 from rowtide.llm.common import text_or_empty
 
 BATCH_BYTES = 1 << 18
@@ -35,6 +36,11 @@ JOINED_CHARS = 1 << 14
 LETTERS_OR_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN_STEPS = ["NFC", "Replace", "Lowercase"]
 PLAIN = re.compile(r"([!-&(-/:;=>?@\[-`{-~]+)|[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+([!-&(-/:;=>?@\[-`{-~]+)?")
+# A plain piece whose letters stay whole and single when lower-cased (one does not): the word of its letters and that of its signs.
+LETTERS_AND_SIGNS = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]*)([!-&(-/:;=>?@\[-`{-~]*)")
+SIGNS_REMEMBERED = 4096
+# What the byte-level step makes of each byte of a word.
+BYTE_LETTERS = dict(enumerate(byte_letters()))
 
 
 def words_drop_space(spec: str) -> bool:
@@ -93,7 +99,7 @@ class Library:
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda batch: model.encode(batch, num_threads=1)
             self.by_word = self.lower = self.long_cut = False  # pieces see the text's start, so it stays whole
-            self.ends = None
+            self.ends = self.words = None
         else:
             from tokenizers import Tokenizer
 
@@ -107,6 +113,7 @@ class Library:
             # Otherwise a token starts anew at a space between two lower-case letters, if the rule says so.
             self.long_cut = space_starts_word(spec) and regex.compile(r"(?<=\p{Ll})(?= \p{Ll})")
             self.ends = word_ends(spec) if self.by_word else None
+            self.words = model.model if self.ends is not None else None
 
     def cut(self, text: str) -> list[str]:
         if self.by_word:
@@ -142,6 +149,13 @@ class Library:
                 return [next(found if n else others) for n in words]
         return self._each(batch)
 
+    def word_bytes(self, word: str) -> bytes:
+        """The ids of lower-case letters or of signs of a plain piece: the rule leaves them as they are, so the model alone is asked."""
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
+        ids = [token.id for token in self.words.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _each(self, batch: list[str]) -> list[bytes]:
         return [np.asarray(ids, "<u4").tobytes() for ids in self.encode(batch)] if batch else []
 
@@ -203,18 +217,58 @@ class RecentIds:
         out = list(map(self.known.get, parts))
         places = [k for k, ids in enumerate(out) if ids is None]
         if places:
-            missing, before = dict.fromkeys([parts[k] for k in places]), self.before
-            fresh = {p: before[p] for p in missing if p in before}
-            for batch in balanced([p for p in missing if p not in fresh], JOINED_CHARS):
-                fresh.update(zip(batch, self.library.id_bytes(batch)))
+            fresh = self._fresh(dict.fromkeys([parts[k] for k in places]))
             for k in places:
                 out[k] = fresh[parts[k]]
             if len(self.known) + len(fresh) > self.half:
                 self.before, self.known = self.known, {}
-            short = ((p, ids) for p, ids in fresh.items() if len(p) <= SHORT)
-            self.known.update(itertools.islice(short, self.half))
+            if len(fresh) > self.half:
+                fresh = dict(itertools.islice(fresh.items(), self.half))
+            self.known.update(fresh)
+            for p in [p for p in fresh if len(p) > SHORT]:
+                del self.known[p]
         return out
 
+    def _fresh(self, missing: dict[str, None]) -> dict[str, bytes]:
+        before = self.before
+        fresh = {p: before[p] for p in missing if p in before}
+        for batch in balanced([p for p in missing if p not in fresh], JOINED_CHARS):
+            fresh.update(zip(batch, self.library.id_bytes(batch)))
+        return fresh
+
+
+class RecentWords(RecentIds):
+    """``RecentIds`` where ``LETTERS_AND_SIGNS`` holds: such pieces are put together from the ids of their two words.
+
+    A word remembered from another piece is not asked for again; others are asked from the model, without the steps before it.
+    """
+
+    def clear(self) -> None:
+        super().clear()
+        self.signs = Memo(self.library.word_bytes, SIGNS_REMEMBERED)
+
+    def _fresh(self, missing: dict[str, None]) -> dict[str, bytes]:
+        known, before, signs_of, make = self.known, self.before, self.signs, self.library.word_bytes
+        split, fresh, others = LETTERS_AND_SIGNS.fullmatch, {}, []
+        for p in missing:
+            ids = before.get(p)
+            if ids is None:
+                if not (m := split(p)):
+                    others.append(p)
+                    continue
+                letters, signs = m.groups()
+                if letters:
+                    letters = letters.lower()
+                    ids = known.get(letters) or before.get(letters) or fresh.get(letters) or make(letters)
+                    if signs:
+                        ids += signs_of[signs]
+                else:
+                    ids = signs_of[signs] if signs else b""
+            fresh[p] = ids
+        for batch in balanced(others):
+            fresh.update(zip(batch, self.library.id_bytes(batch)))
+        return fresh
+
 
 def values_of(library: Library, known: Remembered | RecentIds, texts: pa.Array) -> Iterator[list]:
     """The values of each text's pieces; texts go to the library in blocks of about equal size."""
@@ -224,7 +278,7 @@ def values_of(library: Library, known: Remembered | RecentIds, texts: pa.Array)
         block.append(library.cut(text))
         held += len(text)
         if held >= BLOCK_CHARS or k + 1 == len(texts):
-            values, at = known.of([p for parts in block for p in parts]), 0
+            values, at = known.of(list(itertools.chain.from_iterable(block))), 0
             for parts in block:
                 yield values[at : at + len(parts)]
                 at += len(parts)
