@@ -13,15 +13,15 @@ from rowtide.llm.common import stored, table
 from rowtide.llm.queries import VOCABULARY
 from rowtide.session import configure
 
-# Pieces a worker remembers while it scores and while it packs: after the other stages the JVM keeps its heap, so less
-# than these alone. What it holds of scoring also stays while the stages of the JVM run.
-TOXICITY_REMEMBERS = 200_000
-PACKING_REMEMBERS = 240_000
+# Pieces a worker remembers while it learns and scores and while it packs: after the other stages the JVM keeps its heap,
+# so less than these alone. What it holds of scoring also stays while the stages of the JVM run.
+TOXICITY_REMEMBERS = 80_000
+PACKING_REMEMBERS = 170_000
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the score, learned from the labelled rows, predicts as toxic."""
-    evidence = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    evidence = toxicity.learn(docs, table(spark, sf_dir, "labels"), remembered=TOXICITY_REMEMBERS)
     return toxicity.drop_toxic(docs, evidence, remembered=TOXICITY_REMEMBERS)
 
 

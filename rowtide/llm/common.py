@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ from rowtide.session import write_shared
 BITMAP_BITS = 1 << 27
 # A hot key is spread over this many tasks at most.
 SALTS = 256
-# Bytes of an Arrow batch between the JVM and a Python worker; each task holds a few of them on either side.
-BATCH_BYTES = 8 << 20
+# Bytes of an Arrow batch between the JVM and a Python worker. Each task holds a few of them on either side, and the
+# JVM keeps, outside its heap, what its largest ones took.
+BATCH_BYTES = 2 << 20
 # What separates words in every contract: space and the controls \t to \r.
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
@@ -40,12 +43,21 @@ _REMEMBERING: list = []
 
 def remember_only(memory) -> None:
     """Empty (``clear``) what another operator still remembers in this Python worker, which Spark reuses."""
-    for other in _REMEMBERING:
-        if other is not memory:
-            other.clear()
+    others = [other for other in _REMEMBERING if other is not memory]
+    for other in others:
+        other.clear()
+    if others:
+        give_back()
     _REMEMBERING[:] = [memory]
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system; else allocators hold it for later."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

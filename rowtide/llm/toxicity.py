@@ -334,9 +334,13 @@ def _shares(rows: list) -> dict[int, float]:
 
 
 def _document_features(
-    model: np.ndarray, shares: dict[int, float], batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None = None
+    model: np.ndarray,
+    shares: dict[int, float],
+    batches: Iterator[pa.RecordBatch],
+    wanted: frozenset[str] | None = None,
+    remembered: int = REMEMBERED,
 ):
-    memo = Memo(lambda c: features_of(c, model), REMEMBERED // 4)
+    memo = Memo(lambda c: features_of(c, model), remembered // 4)
     if wanted is not None:
         possible = skeletons(wanted) if len(wanted) <= FEW else None
         memo.make = lambda c: tuple(f for f in features_of(c, model, possible) if f in wanted)
@@ -347,7 +351,7 @@ def _document_features(
             yield set().union(*map(memo.__getitem__, chunks_of(text.as_py()))), toxic, shares.get(key, 1.0)
 
 
-def _count_features(model, shares, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_features(model, shares, wanted, remembered: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, float] = defaultdict(float)
 
     def flush() -> pa.RecordBatch:
@@ -355,7 +359,7 @@ def _count_features(model, shares, wanted, batches: Iterator[pa.RecordBatch]) ->
         counts.clear()
         return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(n, pa.float64())], ["feature", "n"])
 
-    for found, _, share in _document_features(model, shares, batches, wanted):
+    for found, _, share in _document_features(model, shares, batches, wanted, remembered):
         for feature in found:
             counts[feature] += share
         if len(counts) > 1_000_000:
@@ -363,10 +367,10 @@ def _count_features(model, shares, wanted, batches: Iterator[pa.RecordBatch]) ->
     yield flush()
 
 
-def _contexts(model, wanted: frozenset[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _contexts(model, wanted: frozenset[str], remembered: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wanted features with a hash of the chunks before and after them and the label, distinct within a batch."""
     possible = skeletons(wanted)
-    memo = Memo(lambda c: tuple(f for f in features_of(c, model, possible) if f in wanted), REMEMBERED // 4)
+    memo = Memo(lambda c: tuple(f for f in features_of(c, model, possible) if f in wanted), remembered // 4)
     remember_only(memo)
     for batch in batches:
         seen = set()
@@ -382,12 +386,14 @@ def _contexts(model, wanted: frozenset[str], batches: Iterator[pa.RecordBatch])
         )
 
 
-def _totals(model, shares, weights: dict[int, dict[str, float]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _totals(
+    model, shares, weights: dict[int, dict[str, float]], remembered: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
     """Evidence totals, rounded to tenths, by label; ``weights`` by label, too."""
     counts: dict[tuple[int, int], float] = defaultdict(float)
     by_label = {label: Evidence(model, w, 1.0, 0.0) for label, w in weights.items()}
     wanted = frozenset().union(*weights.values())
-    for found, toxic, share in _document_features(model, shares, batches, wanted):
+    for found, toxic, share in _document_features(model, shares, batches, wanted, remembered):
         known = by_label[toxic].weights
         counts[round(10 * by_label[toxic].total({f for f in found if f in known})), toxic] += share
     keys = list(counts)
@@ -420,6 +426,7 @@ def learn(
     text_col: str = "text",
     label_col: str = "toxic",
     train_rows: int = TRAIN_ROWS,
+    remembered: int = REMEMBERED,
 ) -> Evidence:
     """The character model from all ``docs``, and evidence from labelled rows outside the held-out third.
 
@@ -427,7 +434,7 @@ def learn(
     near-copies of one label count once. A feature counts no more often, with either label, than it has
     different neighbours there. It is evidence if it is in five toxic texts or more, toxic in most, and more often
     so than chance allows over all features looked at. Null labels and ids are not learned from; without
-    toxic or other rows the score is one constant.
+    toxic or other rows the score is one constant. A quarter of ``remembered`` bounds the chunks a Python worker keeps.
     """
     model = character_model(docs, text_col)
     modulus, held = HELD_OUT
@@ -458,7 +465,7 @@ def learn(
     def count(label: int, wanted: frozenset[str] | None) -> DataFrame:
         return (
             train.where(F.col("toxic") == label)
-            .mapInArrow(functools.partial(_count_features, model, shares, wanted), "feature string, n double")
+            .mapInArrow(functools.partial(_count_features, model, shares, wanted, remembered), "feature string, n double")
             .groupBy("feature")
             .agg(F.sum("n").alias("n"))
         )
@@ -478,7 +485,7 @@ def learn(
 
     evident = frozenset(f for f, a in frequent.items() if weigh(a, others.get(f, 0)) is not None)
     varied = (
-        train.mapInArrow(functools.partial(_contexts, model, evident), "feature string, around long, toxic int")
+        train.mapInArrow(functools.partial(_contexts, model, evident, remembered), "feature string, around long, toxic int")
         .distinct()
         .groupBy("feature")
         .agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other"))
@@ -502,7 +509,7 @@ def learn(
     # The logistic is fitted on totals that leave each text's own counts out.
     left_out = {0: weights_without(0, 1), 1: weights_without(1, 0)}
     totals = (
-        train.mapInArrow(functools.partial(_totals, model, shares, left_out), "total long, toxic int, n double")
+        train.mapInArrow(functools.partial(_totals, model, shares, left_out, remembered), "total long, toxic int, n double")
         .groupBy("total", "toxic")
         .agg(F.sum("n").alias("n"))
         .collect()
