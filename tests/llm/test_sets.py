@@ -157,3 +157,22 @@ def test_bounded_memory_leaves_the_rows(spark):
     score(remembered=7)
     assert len(next(iter(toxicity._LATEST.values()))[1]) <= 7
     assert near_dedup._WORDS.limit == near_dedup.WORDS_REMEMBERED <= 200_000
+
+
+def test_learning_is_bounded_and_freed_memory_is_returned(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from rowtide.llm import common, toxicity
+
+    returned = []
+    monkeypatch.setattr(common, "give_back", lambda: returned.append(1))
+    monkeypatch.setattr(common, "_REMEMBERING", [])
+    model = np.zeros((toxicity.SYMBOLS,) * 3, np.float32)
+    texts = pa.array([f"some word{'x' * (k % 50)} and a thing" for k in range(200)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([1] * 200), texts], ["key", "toxic", "text"])
+    found = lambda **bound: list(toxicity._document_features(model, {}, iter([batch]), **bound))
+    whole = found()
+    assert len(common._REMEMBERING[0]) > 20 and not returned
+    assert found(remembered=40) == whole
+    assert len(common._REMEMBERING[0]) <= 10 and len(returned) == 1
