@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import re._constants as sre
 import re._parser as parser
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import bitmap_of, perhaps_in, stored, text_or_empty
+from rowtide.llm.common import bitmap_of, perhaps_in, short_reads, stored, text_or_empty
 from rowtide.llm.spans import count_kind, keyed, listed, match_spans
 
 MAX_STRINGS = 32
+# Trigrams that share a bigint when a document's postings are intersected.
+WORD = 63
 MASK = "[SECRET]"
 
 
@@ -142,10 +145,10 @@ def trigrams_of(query: object) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*map(trigrams_of, query[1:]))
 
 
-def _holds(query: object, present: Column) -> Column:
+def _holds(query: object, has: Callable[[str], Column]) -> Column:
     if isinstance(query, str):
-        return F.array_contains(present, query)
-    parts = [_holds(q, present) for q in query[1:]]
+        return has(query)
+    parts = [_holds(q, has) for q in query[1:]]
     out = parts[0]
     for part in parts[1:]:
         out = (out & part) if query[0] == "and" else (out | part)
@@ -160,6 +163,31 @@ def trigram_index(docs: DataFrame, trigrams: list[str], id_col: str = "doc_id",
     return texts.select(F.explode(present).alias("trigram"), "doc_id")
 
 
+def postings_by_document(postings: DataFrame, trigrams: list[str]) -> DataFrame:
+    """``doc_id`` and the bits of its trigrams: bit ``k % WORD`` of ``bits_{k // WORD}`` is set for the k-th of ``trigrams``.
+
+    Bits are summed up in fixed-width buffers; no set of strings is built for a document.
+    """
+    place = (F.array_position(F.array(*map(F.lit, trigrams)), F.col("trigram")) - 1).alias("place")
+    words = range(-(-len(trigrams) // WORD))
+    bits = [F.expr(f"bit_or(if(place div {WORD} = {w}, shiftleft(1L, cast(place % {WORD} as int)), 0L))") for w in words]
+    return postings.select("doc_id", place).groupBy("doc_id").agg(*[b.alias(f"bits_{w}") for w, b in zip(words, bits, strict=True)])
+
+
+def candidates_of(by_document: DataFrame, queries: list, trigrams: list[str]) -> DataFrame:
+    """``doc_id`` of the documents whose trigrams satisfy one of ``queries``."""
+    places = {t: divmod(k, WORD) for k, t in enumerate(trigrams)}
+
+    def has(trigram: str) -> Column:
+        word, bit = places[trigram]
+        return F.col(f"bits_{word}").bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0
+
+    candidate = F.lit(False)
+    for query in queries:
+        candidate = candidate | _holds(query, has)
+    return by_document.where(candidate).select("doc_id")
+
+
 def _rule_spans(text: Column, rule: Rule) -> Column:
     pattern = _SHORTENED.get(rule, rule.pattern)
     spans = match_spans(text, pattern)
@@ -181,15 +209,12 @@ def find_secrets(
     have no spans. Repeated rows and null ids are rows of their own; no row is moved, lost or
     joined by its id, and columns of any name stay inside ``row``. An empty table gives an empty result.
     """
+    docs = short_reads(docs)
     queries = {rule: trigram_query(rule.pattern) for rule in rules}
     indexed = [rule for rule in rules if queries[rule] is not True]
     trigrams = sorted(set().union(*(trigrams_of(queries[r]) for r in indexed)))
     postings = stored(trigram_index(docs, trigrams, id_col, text_col), "postings")
-    per_doc = postings.groupBy("doc_id").agg(F.collect_set("trigram").alias("present"))
-    candidate = F.lit(False)
-    for rule in indexed:
-        candidate = candidate | _holds(queries[rule], F.col("present"))
-    candidates = per_doc.where(candidate).select("doc_id")
+    candidates = candidates_of(postings_by_document(postings, trigrams), [queries[r] for r in indexed], trigrams)
 
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),

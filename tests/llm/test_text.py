@@ -1,7 +1,9 @@
 """Operators on single texts against brute force on small fixtures."""
 
 import hashlib
+import random
 import re
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -412,3 +414,40 @@ def test_rules_of_callers(documents):
         text = dict(texts)[i]
         found = [(m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.pattern, text) if len(m[0]) >= r.least]
         assert [tuple(s) for s in spans] == sorted(found)
+
+
+def test_secrets_of_many_trigrams(documents):
+    """More trigrams than fit one word of bits; documents without an id or in several rows keep theirs."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=12)) for _ in range(30)]
+    rules = tuple(secret_scan.Rule(f"rule{k}", f"{w}=[0-9]+") for k, w in enumerate(words))
+    trigrams = set().union(*(secret_scan.trigrams_of(secret_scan.trigram_query(r.pattern)) for r in rules))
+    assert len(trigrams) > 3 * secret_scan.WORD
+    texts = [(k, f"so {w.upper()} is {w}={k}") for k, w in enumerate(words)]
+    texts += [(k + 100, f"no {w[:6]} {w[6:]}=1") for k, w in enumerate(words)]
+    texts += [(None, f"{words[-1]}=5 and {words[0]}=7"), (200, None), (3, "a second row"), (3, f"a third: {words[9]}=3")]
+    rows = secret_scan.find_secrets(documents(texts), rules).collect()
+    found = sorted((str(r.row.doc_id), r.row.text or "", [tuple(s) for s in r.spans]) for r in rows)
+    want = lambda t: sorted((m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.pattern, t))
+    assert found == sorted((str(i), t or "", want(t or "")) for i, t in texts)
+    assert sum(len(s) for _, _, s in found) == 33
+
+    postings = secret_scan.trigram_index(documents(texts), sorted(trigrams))
+    queries = [secret_scan.trigram_query(r.pattern) for r in rules]
+    kept = secret_scan.candidates_of(secret_scan.postings_by_document(postings, sorted(trigrams)), queries, sorted(trigrams))
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["None", *map(str, range(30))])
+
+
+def test_secrets_hold_no_sets_and_few_texts(documents, monkeypatch):
+    """Postings are intersected without a set of strings a document; readers hold few texts at once."""
+    docs, plans, store = documents([(k, t) for k, t in enumerate(SECRETS)]), {}, secret_scan.stored
+    docs.sparkSession.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(secret_scan, "stored", watched)
+    assert secret_scan.secret_report(docs).where("spans <> ''").count() == len(SECRETS)
+    assert list(plans) == ["postings", "candidates"] and "collect_set" not in plans["candidates"]
+    assert int(docs.sparkSession.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
