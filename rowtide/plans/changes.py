@@ -234,6 +234,7 @@ def decode_rows(resolved: DataFrame, images: bool | Column = True) -> DataFrame:
         f"""CASE WHEN error_class IS NOT NULL OR kind NOT IN ({dml}) THEN 0
                  WHEN kind <> 'update' OR {flag} = {b.tags('N')} THEN 1
                  WHEN {flag} IN ({b.tags('O', 'K')}) THEN 2 ELSE -1 END AS _images""",
+        f"{flag} AS _flag",  # the last that is read of a payload, which goes no further than the images
     )
     given = (F.col("payload"), F.col("_images"))
     if isinstance(images, Column) or images:
@@ -250,7 +251,7 @@ def decode_rows(resolved: DataFrame, images: bool | Column = True) -> DataFrame:
             "_images",
             "_read",
             f"""CASE WHEN _images = 0 THEN error
-                     WHEN _images < 0 THEN concat('unexpected update flag 0x', hex({flag}))
+                     WHEN _images < 0 THEN concat('unexpected update flag 0x', hex(_flag))
                      WHEN {malformed} THEN 'row image malformed' END AS error""",
             "error_class AS _class",
         )

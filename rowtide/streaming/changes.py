@@ -24,6 +24,8 @@ from rowtide.streaming.deliver import Deliver, DeliveryFailed, deliver_changes,
 from rowtide.streaming.epochs import deliver_epochs, plan_epochs
 from rowtide.streaming.journal import Journal
 
+LOG_FILE_ROWS = 500_000  # of a delivery log
+
 # What dead letters and positions are made of.
 _CONFIRMED = ["session_id", "frame_no", "wal_end", "kind", "position", "error_class", "error"]
 
@@ -92,22 +94,24 @@ def process_batch(
     fence = fence or (lambda: None)
     with intermediates(spark):
         control = changes.read_control(batch, state.carried(spark, consumer, batch_id))
-        # With a delivery, events are decoded once for messages, dead letters and positions; images are built for what is
-        # forwarded. An outbox is written from a reading of its own, as whole events cost more to keep than to read: what is
-        # kept then is checked by lengths only. The micro-batch is bounded by its trigger and spills to disk when it must.
+        # Messages are made from a reading of their own, as whole events cost more to keep than to read: what is kept for dead
+        # letters and positions is checked by lengths only. A delivery by row keys reads events for its plan and its messages,
+        # and keeps them. The micro-batch is bounded by its trigger and spills to disk when it must.
         images = stream.condition()
-        events = changes.decode_changes(batch, control=control, images=images if stream.deliver else False)
-        events = (events if stream.deliver else events.select(_CONFIRMED)).persist()
+        whole = changes.decode_changes(batch, control=control, images=images)
+        if stream.deliver and stream.order == "keys":
+            events = whole = whole.persist()
+        else:
+            events = changes.decode_changes(batch, control=control, images=False).select(_CONFIRMED).persist()
         try:
             failures = None
             fence()
+            forwarded = stream.forward(whole)
+            rows = stream.address(forwarded)
             if stream.deliver is None:
-                whole = changes.decode_changes(batch, control=control, images=images)
-                rows = stream.address(stream.forward(whole))
                 _write_outbox(stream, rows, consumer.batch_folder("outbox", batch_id))
             else:
-                forwarded = stream.forward(events)
-                failures = _deliver(stream, events, forwarded, stream.address(forwarded), batch_id)
+                failures = _deliver(stream, whole, forwarded, rows, batch_id)
             changes.dead_letters(events).write.mode("overwrite").parquet(
                 consumer.batch_folder("dead_letters", batch_id)
             )
@@ -131,8 +135,8 @@ def _write_outbox(stream: ChangeStream, rows: DataFrame, folder: str) -> None:
 
 def _deliver(
     stream: ChangeStream, events: DataFrame, forwarded: DataFrame, rows: DataFrame, batch_id: int
-) -> DataFrame:
-    """Send what this batch has not sent before; return the failures."""
+) -> DataFrame | None:
+    """Send what this batch has not sent before; return the failures, None where there can be none."""
     spark, consumer = rows.sparkSession, stream.consumer
     folder = consumer.batch_folder("delivery_log", batch_id)
     journal = Journal(consumer.batch_folder("journal", batch_id))
@@ -151,16 +155,19 @@ def _deliver(
         plan = plan_epochs(events, forwarded)
         logged = deliver_epochs(open_rows, plan, stream.deliver, strict, stream.tasks, journal)
     else:
-        logged = write_shared(
-            deliver_changes(open_rows, stream.deliver, strict, lanes=stream.lanes, journal=journal), "delivered"
-        )
-    unlogged.unionByName(logged).write.mode("append").parquet(folder)
+        logged = deliver_changes(open_rows, stream.deliver, strict, lanes=stream.lanes, journal=journal)
+    # Two writes: the number of a task that sends, under which its journal goes, must not depend on what was sent before. The
+    # task of a busy lane writes many files, so that more than one can read them.
+    unlogged.write.mode("append").parquet(folder)
+    logged.write.option("maxRecordsPerFile", LOG_FILE_ROWS).mode("append").parquet(folder)
     log = progress.read_or_empty(spark, folder, progress.LOG_SCHEMA)
     outcome = log.groupBy("session_id", "frame_no").agg(F.bool_or("ok").alias("ok"))
     failures = outcome.filter(~F.col("ok"))
-    if strict and not failures.isEmpty():
-        raise DeliveryFailed(f"{failures.count()} messages of batch {batch_id} were not delivered")
-    return failures
+    if not strict:
+        return failures
+    if failed := failures.count():
+        raise DeliveryFailed(f"{failed} messages of batch {batch_id} were not delivered")
+    return None
 
 
 def start(

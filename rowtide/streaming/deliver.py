@@ -10,7 +10,8 @@ from __future__ import annotations
 import pickle
 import sys
 from collections.abc import Callable, Iterator, Sequence
-from itertools import groupby
+from decimal import Decimal
+from itertools import repeat
 
 import pandas as pd
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, MapType, StructField, StructType
 
 from rowtide.streaming import journal as journals
 from rowtide.streaming.journal import Journal
@@ -40,6 +41,9 @@ _LOG_ARROW = pa.schema(list(zip(LOG_COLUMNS, [pa.string(), pa.int64(), pa.string
 SLICE_FRAMES = 1 << 20
 SLICE_ROWS = 2_000
 SLICE_BYTES = 4 << 20
+# What the log of a message that is not sent is made of: a slice has it apart.
+OUTCOME_COLUMNS = ("session_id", "frame_no", "sink")
+_ABSENT = "_absent_"  # name of the column that tells where another is NULL
 
 
 def journaled(spark: SparkSession, journal: Journal) -> DataFrame:
@@ -88,6 +92,17 @@ class Lanes:
             self._outcomes.add(*outcome)
         return outcome
 
+    def send_slice(self, data: bytes, lane, held: bool = False) -> pa.RecordBatch:
+        """Send a slice of a lane; its rows of the delivery log. What is held as a whole is not unpacked."""
+        if not self._accepted and (held or lane in self._stopped):
+            return _logged(data, False, NOT_SENT)
+        oks, errors = [], []
+        for message in unpacked(data):
+            _session, _number, _sink, ok, error = self.send(message, lane, held)
+            oks.append(ok)
+            errors.append(error)
+        return _logged(data, oks, errors)
+
     def newly_failed(self) -> set:
         """Sessions of the lanes stopped since the last call; from then on the caller holds them."""
         sessions = set(self._stopped.values())
@@ -113,64 +128,145 @@ def _values(column: pa.Array) -> list:
         return column.to_pandas().tolist()
     if pa.types.is_integer(column.type) and not column.null_count:
         return column.to_numpy().tolist()
+    if pa.types.is_boolean(column.type) and not column.null_count:
+        return column.to_numpy(zero_copy_only=False).tolist()
     return column.to_pylist()
 
 
-def _messages(batch: pa.RecordBatch) -> list[dict]:
-    """Rows as ``deliver`` takes them; maps become dicts."""
-    names = batch.schema.names
-    return [dict(zip(names, row)) for row in zip(*map(_values, batch.columns))]
+def _whole(column: pa.Array) -> list[int]:
+    """Decimals without fraction as whole numbers."""
+    try:
+        return column.cast(pa.int64()).to_numpy().tolist()
+    except pa.ArrowInvalid:  # beyond 63 bits
+        return [int(value) for value in column.to_pylist()]
+
+
+def _is_whole(kind: pa.DataType) -> bool:
+    return pa.types.is_decimal(kind) and not kind.scale
+
+
+def _sliced(column: list, kind: pa.DataType, begin: int, end: int) -> tuple[str, object]:
+    """How a slice keeps a column: a value all rows share once, decimals as whole numbers, else a list."""
+    values = column[begin:end]
+    if pa.types.is_nested(kind) and any(value is not None for value in values):
+        return "list", values  # values may be changed by who takes them, so each row has its own
+    if not _is_whole(kind) and values.count(values[0]) == len(values):
+        return "same", values[0]
+    return "whole" if _is_whole(kind) and None not in values else "list", values
+
+
+def _opened(rows: int, how: str, kept) -> Iterator | list:
+    if how == "same":
+        return repeat(kept, rows)
+    return map(Decimal, kept) if how == "whole" else kept
+
 
+def _compressed(part: object) -> bytes:
+    data = pickle.dumps(part, protocol=5)
+    body = pa.compress(data, codec="zstd", asbytes=True)
+    return len(data).to_bytes(8, "big") + len(body).to_bytes(8, "big") + body
 
-def _packed(messages: list[dict]) -> Iterator[tuple[int, int, bytes]]:
-    """``(first frame, last frame, slice)`` of messages in frame order."""
-    data = pickle.dumps(messages, protocol=5)
-    if len(messages) > SLICE_ROWS or (len(data) > SLICE_BYTES and len(messages) > 1):
-        half = len(messages) // 2
-        yield from _packed(messages[:half])
-        yield from _packed(messages[half:])
-        return
-    body = len(data).to_bytes(8, "big") + pa.compress(data, codec="zstd", asbytes=True)
-    yield messages[0]["frame_no"], messages[-1]["frame_no"], body
+
+def _part(data: bytes, at: int) -> tuple[object, int]:
+    """The part of a slice that begins at ``at``, and where it ends."""
+    size, end = int.from_bytes(data[at : at + 8], "big"), at + 16 + int.from_bytes(data[at + 8 : at + 16], "big")
+    return pickle.loads(pa.decompress(data[at + 16 : end], size, codec="zstd", asbytes=True)), end
+
+
+def _packed(names: list[str], kinds: list, columns: list[list], begin: int, end: int) -> Iterator[tuple[int, int, bytes]]:
+    """``(first frame, last frame, slice)`` of rows in frame order."""
+    rows = end - begin
+    parts = -(-rows // SLICE_ROWS)
+    if parts == 1:
+        kept = {name: _sliced(column, kind, begin, end) for name, kind, column in zip(names, kinds, columns)}
+        head = {name: kept.get(name, ("same", None)) for name in OUTCOME_COLUMNS}
+        body = _compressed([(name, None if name in head else kept[name]) for name in names])
+        if int.from_bytes(body[:8], "big") <= SLICE_BYTES or rows == 1:
+            numbers = columns[names.index("frame_no")]
+            yield numbers[begin], numbers[end - 1], _compressed((rows, head)) + body
+            return
+        parts = 2
+    bounds = [begin + rows * k // parts for k in range(parts + 1)]
+    for first, last in zip(bounds, bounds[1:]):
+        yield from _packed(names, kinds, columns, first, last)
 
 
 def unpacked(data: bytes) -> list[dict]:
-    """The messages of a slice."""
-    return pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "big"), codec="zstd", asbytes=True))
+    """The messages of a slice as ``deliver`` takes them; maps are dicts."""
+    (rows, head), end = _part(data, 0)
+    body, _ = _part(data, end)
+    columns = [(name, *(kept or head[name])) for name, kept in body]
+    shared = {name: kept if how == "same" else None for name, how, kept in columns}
+    messages = [shared.copy() for _ in range(rows)]
+    for name, how, kept in columns:
+        if how != "same":
+            for message, value in zip(messages, _opened(rows, how, kept)):
+                message[name] = value
+    return messages
+
+
+def _logged(data: bytes, ok: list[bool] | bool, errors: list[str | None] | str) -> pa.RecordBatch:
+    """Outcomes of a slice's messages as rows of the delivery log; one for all, or one of each."""
+    (rows, head), _ = _part(data, 0)
+    columns = [_opened(rows, *head[name]) for name in OUTCOME_COLUMNS]
+    columns += [repeat(one, rows) if isinstance(one, (bool, str)) else one for one in (ok, errors)]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type, size=rows) for c, f in zip(columns, _LOG_ARROW)], schema=_LOG_ARROW)
+
+
+def _present(batch: pa.RecordBatch, name: str) -> list:
+    """Values of a column, those marked absent as None."""
+    column = batch.column(name)
+    if f"{_ABSENT}{name}" not in batch.schema.names:
+        return _whole(column) if _is_whole(column.type) and not column.null_count else _values(column)
+    absent = _values(batch.column(f"{_ABSENT}{name}"))
+    if all(absent):
+        return [None] * len(absent)
+    return [None if gone else value for gone, value in zip(absent, _values(column))]
 
 
 def _packer(keys: Sequence[str], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ranges = batch.column("_range").to_pylist()
-            messages = _messages(batch.drop_columns(["_range"]))
+            if not batch.num_rows:
+                continue
+            names = [n for n in batch.schema.names if n != "_range" and not n.startswith(_ABSENT)]
+            kinds = [batch.schema.field(name).type for name in names]
+            read = {name: _present(batch, name) for name in names}
+            columns, ranges = list(read.values()), _values(batch.column("_range"))
+            places = [*zip(*(read[k] for k in keys), ranges)]
+            cuts = [0, *(i for i, (a, b) in enumerate(zip(places, places[1:]), 1) if a != b), len(places)]
             rows = []
-            for place, run in groupby(zip(messages, ranges), lambda one: (*[one[0][k] for k in keys], one[1])):
-                rows += [(*place[:-1], *part) for part in _packed([message for message, _range in run])]
+            for begin, end in zip(cuts, cuts[1:]):
+                rows += [(*places[begin][:-1], *part) for part in _packed(names, kinds, columns, begin, end)]
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema=schema)
 
     return pack
 
 
+def _with_marks(outbox: DataFrame) -> DataFrame:
+    """Maps and arrays without NULL, and columns that tell which were.
+
+    Spark measures an Arrow batch after every row it adds, and goes through all NULL lists since the last other one each time.
+    """
+    nested = {f.name: f.dataType for f in outbox.schema if isinstance(f.dataType, (ArrayType, MapType))}
+    empty = {name: (F.create_map() if isinstance(kind, MapType) else F.array()).cast(kind) for name, kind in nested.items()}
+    marks = {f"{_ABSENT}{name}": F.col(name).isNull() for name in nested}
+    return outbox.withColumns(marks | {name: F.coalesce(name, none) for name, none in empty.items()}) if nested else outbox
+
+
 def pack_lanes(outbox: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(*keys, _first, _last, _slice)``: the messages of each key in frame order, compressed, many to a row.
 
     Rows become messages here, over all tasks, so the one task that sends a lane only takes slices in order: it neither
     sorts nor converts rows, and holds some ten bytes of a message until its turn.
     """
-    ranged = outbox.withColumn("_range", F.floor(F.col("frame_no") / SLICE_FRAMES))
+    ranged = _with_marks(outbox).withColumn("_range", F.floor(F.col("frame_no") / SLICE_FRAMES))
     ordered = ranged.repartition(*keys, "_range").sortWithinPartitions(*keys, "_range", "frame_no")
     added = [StructField("_first", LongType()), StructField("_last", LongType()), StructField("_slice", BinaryType())]
     schema = StructType([*[StructField(k, outbox.schema[k].dataType) for k in keys], *added])
     return ordered.mapInArrow(_packer(keys, to_arrow_schema(schema)), schema)
 
 
-def log_batch(outcomes: Sequence[tuple]) -> pa.RecordBatch:
-    """Outcomes as rows of the delivery log."""
-    columns = zip(*outcomes)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LOG_ARROW)], schema=_LOG_ARROW)
-
-
 def _lane_sender(
     deliver: Deliver, stop_on_error: bool, lanes: Sequence[str], journal: Journal | None
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -181,7 +277,7 @@ def _lane_sender(
                 places = [batch.column(name) for name in lanes]
                 for i, data in enumerate(batch.column("_slice")):
                     lane = tuple(place[i].as_py() for place in places)
-                    yield log_batch([sent.send(message, lane) for message in unpacked(data.as_py())])
+                    yield sent.send_slice(data.as_py(), lane)
         finally:
             sent.close()
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rowtide.constants import DML
 from rowtide.session import write_shared
-from rowtide.streaming.deliver import Deliver, Lanes, log_batch, pack_lanes, unpacked
+from rowtide.streaming.deliver import Deliver, Lanes, pack_lanes
 from rowtide.streaming.journal import Journal
 from rowtide.streaming.progress import LOG_SCHEMA
 
@@ -132,7 +132,7 @@ def _epoch_sender(deliver: Deliver, stop_on_error: bool, rounds: int, journal: J
                         meet()
                         step += 1
                     held = session in failed
-                    yield log_batch([lanes.send(message, lane, held) for message in unpacked(data.as_py())])
+                    yield lanes.send_slice(data.as_py(), lane, held)
             while step < rounds:
                 meet()
                 step += 1

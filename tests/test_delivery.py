@@ -2,6 +2,9 @@
 
 import glob
 import os
+import signal
+import subprocess
+import sys
 import time
 
 import pytest
@@ -14,7 +17,8 @@ from rowtide.sources.notify import stream_frames
 from rowtide.streaming import changes as stream_changes
 from rowtide.streaming import epochs, lease, notifications, progress, state
 from rowtide.streaming.changes import ChangeStream
-from rowtide.streaming.deliver import deliver_slices, sliced_notifications
+from rowtide.streaming import journal as journals
+from rowtide.streaming.deliver import deliver_slices, journaled, sliced_notifications
 from rowtide.streaming.journal import Journal
 from tests import wire
 
@@ -217,6 +221,46 @@ def test_journal(tmp_path):
     assert len(list(journal.read("task-1"))) == 1 and list(journal.read("task-10")) == []
 
 
+_KILLED = """
+import os, signal, sys
+from rowtide.streaming import journal
+journal._Mapped.ROOM = 4096
+attempt = journal.Journal(sys.argv[1]).write("task-1")
+for n in range(500):
+    attempt.add("s", n, "kafka", n % 2 == 0, None if n % 2 == 0 else 'é"' * 9)
+os.kill(os.getpid(), signal.SIGKILL)
+"""
+
+
+def test_journal_is_written_through_memory(tmp_path):
+    journal = Journal(str(tmp_path / "j"))
+    ended = subprocess.run([sys.executable, "-c", _KILLED, journal.folder], cwd=os.path.dirname(os.path.dirname(__file__)))
+    assert ended.returncode == -signal.SIGKILL
+    (path,) = glob.glob(f"{tmp_path}/j/*.outcomes")
+    data = open(path, "rb").read()
+    assert data.endswith(b"\0") and data.rstrip(b"\0").endswith(b"]\n")  # as it was mapped
+    expected = [("s", n, "kafka", n % 2 == 0, None if n % 2 == 0 else 'é"' * 9) for n in range(500)]
+    assert list(journal.read("task-1")) == expected
+    with open(path, "r+b") as torn:  # a line of which only a part came through
+        torn.seek(2)
+        torn.write(bytes(3))
+    assert list(journal.read("task-1")) == expected[1:]
+    attempt = journal.write("task-2")
+    attempt.add("s" * 9000, 1, None, True, None)
+    attempt.close()
+    (path,) = glob.glob(f"{tmp_path}/j/task-2.*")
+    assert open(path, "rb").read() == b'["' + b"s" * 9000 + b'", 1, null, true, null]\n'
+
+
+def test_journal_cut_by_a_kill_is_read_by_spark(spark, tmp_path):
+    journal = Journal(str(tmp_path / "j"))
+    attempt = journal.write("task-1")
+    attempt.add("s", 1, "kafka", True, None)
+    attempt._stream.write(b'["s", 2, "ka')
+    assert [tuple(r) for r in journaled(spark, journal).collect()] == [("s", 1, "kafka", True, None)]
+    attempt.close()
+
+
 def test_state_is_a_log_of_changes(spark, tmp_path):
     consumer = progress.open_consumer(spark, str(tmp_path / "root"), "c")
 
