@@ -14,14 +14,27 @@ def pretty_size(size: Column) -> Column:
     """Size with a unit: whole numbers, the next unit from about ten of it on.
 
     Bytes are shown below 10240. Each further unit keeps half units while
-    scaling and is shown below 20479 halves, rounded half up.
+    scaling and is shown below 20479 halves, rounded half up. Sizes beyond
+    BIGINT, which DECIMAL holds, are shown in the last unit.
     """
-    text = F.when(size < 10 * 1024, F.concat(size.cast("string"), F.lit(" bytes")))
+    fits = size.try_cast("bigint")
+    text = F.when(fits < 10 * 1024, F.concat(fits.cast("string"), F.lit(" bytes")))
     for power, unit in enumerate(UNITS[1:], start=1):
-        halves = F.shiftright(size, 10 * power - 1)
+        halves = F.shiftright(fits, 10 * power - 1)
         shown = F.concat(F.shiftright(halves + 1, 1).cast("string"), F.lit(f" {unit}"))
         text = text.otherwise(shown) if unit == UNITS[-1] else text.when(halves < 20 * 1024 - 1, shown)
-    return text
+    return F.coalesce(text, _beyond_bigint(size.cast("decimal(38,0)")))
+
+
+def _beyond_bigint(size: Column) -> Column:
+    """The text of a size no BIGINT holds: negative ones in bytes, as all are, others in the last unit."""
+    one = F.lit(1024 ** (len(UNITS) - 1)).cast("decimal(38,0)")
+    raised = size + F.lit(1024 ** (len(UNITS) - 1) // 2).cast("decimal(38,0)")
+    # What is divided is a multiple, so the quotient is exact.
+    whole = ((raised - raised % one) / one).cast("decimal(38,0)")
+    return F.when(size < 0, F.concat(size.cast("string"), F.lit(" bytes"))).otherwise(
+        F.concat(whole.cast("string"), F.lit(f" {UNITS[-1]}"))
+    )
 
 
 def file_sizes(spark: SparkSession, pattern: str) -> DataFrame:

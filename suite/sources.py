@@ -11,7 +11,7 @@ from rowtide.sources import catalog
 from rowtide.sources.notify import read_frames, read_notify, subscribe
 from rowtide.sources.tables import register_tables, run_sql
 from rowtide.session import write_shared
-from suite.base import TABLES, events, frames, notify, over_log, query
+from suite.base import TABLES, events, frames, notify, over_log, query, table
 
 # One text per class of statement; both engines run the same text.
 SQL_TEXTS = {
@@ -175,9 +175,12 @@ def table_sizes(spark, sf_dir):
        FROM (SELECT o_orderkey, CAST(o_orderkey * o_orderkey * o_custkey AS BIGINT) AS bytes FROM orders) o""",
 )
 def pretty_size(spark, sf_dir):
-    sized = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", (F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_custkey")).alias("bytes")
-    )
+    """Sizes are BIGINT, as in SQL. Over tables where a product is beyond it, which SQL refuses, they are exact decimals."""
+    key, customer = (F.col(name).cast("decimal(19,0)") for name in ("o_orderkey", "o_custkey"))
+    sized = table(spark, sf_dir, "orders").select("o_orderkey", (key * key * customer).alias("bytes"))
+    least, most = sized.agg(F.min("bytes"), F.max("bytes")).first()
+    if most is None or (least >= -(2**63) and most < 2**63):
+        sized = sized.withColumn("bytes", F.col("bytes").cast("bigint"))
     return sized.withColumn("size", catalog.pretty_size(F.col("bytes")))
 
 

@@ -1,5 +1,6 @@
 import datetime
 import glob
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from rowtide.operators import results, sheets
 from rowtide.plans import export as ex
 from rowtide.sources import catalog
 from rowtide.sources.tables import register_tables, run_sql
+from suite import ENTRIES
 
 
 def cells(df):
@@ -147,6 +149,31 @@ def test_pretty_sizes(spark):
     assert [r[0] for r in df.select(catalog.pretty_size(F.col("b"))).collect()] == list(sizes.values())
 
 
+def test_pretty_sizes_beyond_bigint(spark):
+    unit = 2**50
+    sizes = {
+        2**63 - 1: "8192 PB", 2**63: "8192 PB", 8200 * unit + unit // 2 - 1: "8200 PB", 8200 * unit + unit // 2: "8201 PB",
+        10**37: f"{(10**37 + unit // 2) // unit} PB", -(2**64): f"{-(2**64)} bytes", 10240: "10 kB", 0: "0 bytes",
+    }
+    df = spark.createDataFrame([(Decimal(k),) for k in [*sizes]] + [(None,)], "b DECIMAL(38,0)")
+    assert [r[0] for r in df.select(catalog.pretty_size(F.col("b"))).collect()] == [*sizes.values(), None]
+
+
+@pytest.mark.parametrize("most", [1_000, 54_000_000])
+def test_pretty_size_query_over_large_keys(spark, tmp_path, most):
+    rows = [(1, 15_000), (most, 15_000), (most, None), (None, 3), (0, 7), (-2, 5)]
+    spark.createDataFrame(rows, "o_orderkey BIGINT, o_custkey BIGINT").write.parquet(f"{tmp_path}/orders.parquet")
+    found = ENTRIES["S8_pretty_size"].run(spark, str(tmp_path))
+    large = most > 1_000
+    assert dict(found.dtypes)["bytes"] == ("decimal(38,0)" if large else "bigint")  # BIGINT wherever SQL has a result
+    text = "38849 PB" if large else "14 GB"
+    expected = [(1, 15_000, "15 kB"), (most, most * most * 15_000, text), (most, None, None), (None, None, None)]
+    expected += [(0, 0, "0 bytes"), (-2, 20, "20 bytes")]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected if not large else [
+        (k, None if b is None else Decimal(b), s) for k, b, s in expected
+    ], key=str)
+
+
 def test_catalog(spark, small):
     tables = catalog.list_tables(catalog.table_sizes(spark, small)).collect()
     assert [r["table"] for r in tables] == sorted(r["table"] for r in tables) and len(tables) == 14
